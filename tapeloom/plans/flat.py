@@ -1,0 +1,38 @@
+"""Cleaned trades with running totals among trades of the same price."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tapeloom.functions import parse_timestamp
+from tapeloom.operators.skew import GROUP_ROWS
+from tapeloom.operators.windows import running_totals
+from tapeloom.plans.trades import CALENDAR, MEASURES, with_calendar, with_measures
+
+
+def cleaned(trades: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Trades with ``Time`` parsed, ``Company`` named ``Stock`` and the measures derived."""
+    timed = trades.withColumnRenamed("Company", "Stock").withColumn("Time", parse_timestamp("Time"))
+    typed = with_measures(with_calendar(timed, F.col("Time")))
+    return typed.select(*CALENDAR, "Stock", "Exchange", *MEASURES, *keep)
+
+
+def flat(trades: DataFrame, row_key: Sequence[str] = ("trade_id",), group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Running total and average of ``Price`` in date order; trades of one day share a value.
+
+    ``row_key`` deals out the rows of a hot price and is not in the result.
+    """
+    totals = running_totals(
+        cleaned(trades, row_key),
+        "Price",
+        "Date",
+        "Price",
+        total="Total_Price",
+        average="Average_Price",
+        group_rows=group_rows,
+        spread_by=list(row_key),
+    )
+    return totals.drop(*row_key)

@@ -1,0 +1,151 @@
+"""Raw trades to the silver table.
+
+As defined, every trade meets every company seen on its exchange, and rank and totals then go by that
+company. The result has trades times companies rows, so nothing is sorted or summed after that join:
+
+* totals come from one count and sum per company and exchange, taken before the join;
+* companies seen on the same set of exchanges meet the same trades, so they share one rank, worked
+  out once per set;
+* the join to companies is the last step and sends a small table to the trades.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tapeloom import scratch
+from tapeloom.functions import category
+from tapeloom.operators.columns import MASK, mask, name_case
+from tapeloom.operators.joins import BROADCAST_BYTES, join_lookup
+from tapeloom.operators.skew import GROUP_ROWS
+from tapeloom.operators.windows import rank_within
+from tapeloom.plans.trades import CALENDAR, MEASURES, with_calendar, with_measures
+
+# Sets of exchanges are compared as arrays up to this many exchanges; beyond it each company ranks alone.
+EXCHANGES_IN_A_SET = 10_000
+
+# The silver columns in table order, before their names are put in upper case.
+COLUMNS = [
+    "Exchange",
+    *CALENDAR,
+    "Stock",
+    *MEASURES,
+    "Company",
+    "Company_Rank",
+    "Price_Category",
+    "Total_Price",
+    "Average_Price",
+]
+
+
+@dataclass(frozen=True)
+class SilverOptions:
+    """Bounds of the price classes, and where rows that fit in one task end."""
+
+    low: float = 2000
+    high: float = 5000
+    null_label: str | None = None
+    mask: str = MASK
+    group_rows: int = GROUP_ROWS
+    broadcast_bytes: int = BROADCAST_BYTES
+    rank_type: str = "int"
+
+
+def enriched(trades: DataFrame, row_key: Sequence[str], options: SilverOptions) -> DataFrame:
+    """Everything that needs the trade alone: cleaned, derived, rounded, classed and masked."""
+    named = trades.withColumn("Stock", F.col("Company"))
+    typed = with_measures(with_calendar(named, F.col("Time")))
+    rounded = typed.withColumns({"Price": F.round("Price"), "return": F.round("return")})
+    classed = rounded.withColumn(
+        "Price_Category", category(F.col("Price"), options.low, options.high, null_label=options.null_label)
+    )
+    chosen = classed.select(*CALENDAR, "Stock", "Exchange", *MEASURES, "Price_Category", *row_key)
+    return mask(chosen, ["earning_ratio"], options.mask)
+
+
+def silver(
+    trades: DataFrame, row_key: Sequence[str] = ("trade_id",), options: SilverOptions = SilverOptions()
+) -> DataFrame:
+    """The silver table as defined: trades joined to companies on the exchange alone.
+
+    ``row_key`` breaks ties in the rank, so it should be unique; it is not in the result.
+    """
+    rows = enriched(trades, row_key, options)
+    companies = scratch.keep(companies_by_exchange(rows), "companies")
+    fits = scratch.measured_bytes(companies) <= options.broadcast_bytes
+    largest = companies.agg(F.max("_set_rows")).first()[0] or 0
+
+    sets = companies.select("Exchange", "_set").distinct()
+    in_sets = join_lookup(
+        rows, sets, "Exchange", "inner", null_safe=True, fits=fits or None, spread_by=list(row_key),
+        broadcast_bytes=options.broadcast_bytes, hot_rows=options.group_rows,
+    )
+    ranked = rank_within(
+        in_sets, "_set", [*row_key, "Stock"], "Company_Rank", options.group_rows, largest, options.rank_type
+    )
+    joined = join_lookup(
+        ranked, companies.drop("_set_rows"), ["Exchange", "_set"], "inner", null_safe=True, fits=fits,
+        spread_by=list(row_key), broadcast_bytes=options.broadcast_bytes, hot_rows=options.group_rows,
+    )
+    return name_case(joined.select(*COLUMNS))
+
+
+def companies_by_exchange(rows: DataFrame) -> DataFrame:
+    """What a trade on an exchange meets: each company, its totals, and its set of exchanges.
+
+    One row per exchange and company, with a NULL company for an exchange that meets none. ``_set`` is
+    a digest of the set, ``_set_rows`` the number of trades it meets.
+    """
+    counts = rows.groupBy("Stock", "Exchange").agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum("Price").alias("_sum"), F.count("Price").alias("_priced")
+    )
+    counts = scratch.keep(counts, "counts")
+    per_exchange = counts.groupBy("Exchange").agg(*[F.sum(name).alias(name) for name in ("_rows", "_sum", "_priced")])
+    seen = counts.where(F.col("Exchange").isNotNull()).select(F.col("Stock").alias("Company"), "Exchange")
+    met = per_exchange.join(seen, "Exchange", "left")
+
+    few = counts.agg(F.approx_count_distinct("Exchange")).first()[0] <= EXCHANGES_IN_A_SET
+    exchange = F.struct(F.col("Exchange").isNull().alias("none"), "Exchange")
+    members = F.sort_array(F.collect_set(exchange)) if few else F.first(F.struct("Company"))
+    per_company = met.groupBy("Company").agg(
+        F.sum("_sum").alias("Total_Price"),
+        (F.sum("_sum") / F.nullif(F.sum("_priced"), F.lit(0))).alias("Average_Price"),
+        F.sum("_rows").alias("_set_rows"),
+        F.unhex(F.sha2(F.to_json(members), 256)).alias("_set"),
+    )
+    named = per_company.withColumnRenamed("Company", "_company")
+    return (
+        met.select("Exchange", "Company")
+        .join(named, F.col("Company").eqNullSafe(F.col("_company")))
+        .select("Exchange", "Company", "_set", "_set_rows", "Total_Price", "Average_Price")
+    )
+
+
+def silver_by_company(
+    trades: DataFrame, row_key: Sequence[str] = ("trade_id",), options: SilverOptions = SilverOptions()
+) -> DataFrame:
+    """The silver table with each trade joined to its own company's totals, so no row is multiplied.
+
+    That join finds exactly one match where company and exchange are known and none elsewhere, so it
+    comes down to a condition. A trade without a match has a NULL company, as in any left join.
+    """
+    rows = enriched(trades, row_key, options)
+    matched = rows.withColumn("Company", F.when(F.col("Exchange").isNotNull(), F.col("Stock")))
+    per_company = matched.groupBy("Company").agg(
+        F.sum("Price").alias("Total_Price"), F.avg("Price").alias("Average_Price"), F.count(F.lit(1)).alias("_rows")
+    )
+    per_company = scratch.keep(per_company, "companies")
+    fits = scratch.measured_bytes(per_company) <= options.broadcast_bytes
+    largest = per_company.agg(F.max("_rows")).first()[0] or 0
+    ranked = rank_within(
+        matched, "Company", [*row_key, "Stock"], "Company_Rank", options.group_rows, largest, options.rank_type
+    )
+    joined = join_lookup(
+        ranked, per_company.drop("_rows"), "Company", "inner", null_safe=True, fits=fits,
+        spread_by=list(row_key), broadcast_bytes=options.broadcast_bytes, hot_rows=options.group_rows,
+    )
+    return name_case(joined.select(*COLUMNS))
