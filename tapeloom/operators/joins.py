@@ -13,6 +13,8 @@ from tapeloom.operators import skew
 
 # A lookup measured at up to this size is sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# A join that puts out at least this many rows for one deals its rows out evenly first.
+MULTIPLIES = 4
 
 
 def join_lookup(
@@ -21,35 +23,38 @@ def join_lookup(
     on: str | Sequence[str],
     how: str = "left",
     null_safe: bool = False,
-    fits: bool | None = None,
     spread_by: Sequence[str] | None = None,
+    size: scratch.Size | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = skew.GROUP_ROWS,
 ) -> DataFrame:
     """Left or inner equi-join of ``rows`` to ``lookup``; keys come first in the result.
 
-    ``lookup`` is written once and measured. If it fits, every executor gets it and ``rows`` are not
-    shuffled. If not, both sides are shuffled by the keys, with the rows of hot keys dealt out by
-    ``spread_by`` (best a unique key; every column by default) over many tasks.
+    ``lookup`` is written once and measured, unless the caller passes its ``size``. If it fits, every
+    executor gets it and ``rows`` stay where they are. If not, both sides are shuffled by the keys, and
+    the rows of hot keys are dealt out over many tasks.
 
-    With ``null_safe`` a NULL key meets a NULL key. ``fits=True`` is for a lookup that is part of one
-    already measured.
+    Rows are dealt out by ``spread_by``, best a unique key; every column by default. That is also done
+    before a join that multiplies them, so that each row is worked out once and then multiplied in
+    tasks of even size. With ``null_safe`` a NULL key meets a NULL key.
     """
     on = [on] if isinstance(on, str) else list(on)
+    spread_by = spread_by or rows.columns
     if how not in ("left", "inner"):
         raise ValueError(f"join_lookup does left and inner joins, not {how}")
     for key in on:
         if rows.schema[_spelt(rows, key)].dataType != lookup.schema[_spelt(lookup, key)].dataType:
             raise TypeError(f"{key} has two types; cast one side first")
-    if fits is None:
-        lookup = scratch.keep(lookup, "lookup")
-        fits = scratch.measured_bytes(lookup) <= broadcast_bytes
-    if fits:
+    if size is None:
+        lookup, size, _ = scratch.keep_measured(lookup, "lookup", on)
+    if size.bytes <= broadcast_bytes:
+        if size.rows >= MULTIPLIES * max(size.keys, 1):
+            rows = rows.repartition(*spread_by)
         return _equi_join(rows, F.broadcast(lookup), on, how, null_safe)
     hot = skew.hot_keys(rows, on, hot_rows)
     if not hot:
         return _equi_join(rows, lookup, on, how, null_safe)
-    dealt, repeated = skew.salted(rows, lookup, on, hot, hot_rows, spread_by or rows.columns)
+    dealt, repeated = skew.salted(rows, lookup, on, hot, hot_rows, spread_by)
     return _equi_join(dealt, repeated, on, how, null_safe, extra=["_salt"])
 
 

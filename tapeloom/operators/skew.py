@@ -43,13 +43,13 @@ def on_hot_and_cold(
     keys: Sequence[str],
     hot: dict[int, int],
     cold_form: Callable[[DataFrame], DataFrame],
-    hot_form: Callable[[DataFrame], DataFrame],
+    hot_form: Callable[[DataFrame, int], DataFrame],
 ) -> DataFrame:
-    """Treat rows of hot keys one way and all others another way."""
+    """Treat rows of hot keys one way, told how many to expect, and all others another way."""
     if not hot:
         return cold_form(df)
     is_hot = key_hash(keys).isin(list(hot))
-    return cold_form(df.where(~is_hot)).unionByName(hot_form(df.where(is_hot)))
+    return cold_form(df.where(~is_hot)).unionByName(hot_form(df.where(is_hot), sum(hot.values())))
 
 
 def salted(

@@ -42,8 +42,8 @@ def rank_within(
         number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
         return part.withColumn(name, number.cast(rank_type))
 
-    def by_position(part: DataFrame) -> DataFrame:
-        spans = _sorted_spans(part, keys, order_by)
+    def by_position(part: DataFrame, rows: int) -> DataFrame:
+        spans = _sorted_spans(part, keys, order_by, rows)
         heads = spans.groupBy(*keys, "_span").agg(F.min("_position").alias("_first"), F.count(F.lit(1)).alias("_rows"))
         earlier = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
         heads = heads.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
@@ -56,13 +56,18 @@ def rank_within(
     return skew.on_hot_and_cold(df, keys, skew.hot_keys(df, keys, group_rows), windowed, by_position)
 
 
-def _sorted_spans(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+def _sorted_spans(df: DataFrame, keys: list[str], order_by: list[str], rows: int) -> DataFrame:
     """The rows in sorted order, cut into spans of about equal size, a written table.
 
     A group of any size spreads over as many spans as it fills; rows equal in every sort column share
-    one. ``_span`` and ``_position`` rise with the order.
+    one. ``_span`` and ``_position`` rise with the order. ``rows`` is the number expected.
     """
-    sorted_rows = df.repartitionByRange(*keys, *order_by).sortWithinPartitions(*keys, *order_by)
+    spans = rows // skew.GROUP_ROWS + 1
+    if spans > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        ranged = df.repartitionByRange(spans, *keys, *order_by)
+    else:
+        ranged = df.repartitionByRange(*keys, *order_by)
+    sorted_rows = ranged.sortWithinPartitions(*keys, *order_by)
     numbered = sorted_rows.withColumns({"_span": F.spark_partition_id(), "_position": F.monotonically_increasing_id()})
     return scratch.keep(numbered, "spans")
 
@@ -119,7 +124,7 @@ def running_totals(
         frame = up_to_here(keys)
         return part.withColumns({total: F.sum(value).over(frame), average: F.avg(value).over(frame)})
 
-    def by_steps(part: DataFrame) -> DataFrame:
+    def by_steps(part: DataFrame, _: int) -> DataFrame:
         steps = part.groupBy(*keys, *order_by).agg(F.sum(value).alias("_sum"), F.count(value).alias("_count"))
         steps = scratch.keep(steps, "steps")
         sums = {"_sum": F.sum("_sum"), "_count": F.sum("_count")}
@@ -128,8 +133,8 @@ def running_totals(
             frame = up_to_here(keys)
             return some.withColumns({name: measure.over(frame) for name, measure in sums.items()})
 
-        def in_spans(some: DataFrame) -> DataFrame:
-            spans = _sorted_spans(some, keys, order_by)
+        def in_spans(some: DataFrame, rows: int) -> DataFrame:
+            spans = _sorted_spans(some, keys, order_by, rows)
             heads = spans.groupBy(*keys, "_span").agg(*[m.alias(f"_before{n}") for n, m in sums.items()])
             earlier = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
             heads = heads.withColumns({f"_before{n}": F.sum(f"_before{n}").over(earlier) for n in sums})

@@ -1,6 +1,6 @@
 """Whole pipelines from raw trades to analytics tables."""
 
-from tapeloom.plans.flat import flat
-from tapeloom.plans.silver import silver, silver_by_company
+from tapeloom.plans.flat_table import flat
+from tapeloom.plans.silver_table import silver, silver_by_company
 
 __all__ = ["flat", "silver", "silver_by_company"]

@@ -12,7 +12,7 @@ company. The result has trades times companies rows, so nothing is sorted or sum
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,22 +75,20 @@ def silver(
     ``row_key`` breaks ties in the rank, so it should be unique; it is not in the result.
     """
     rows = enriched(trades, row_key, options)
-    companies = scratch.keep(companies_by_exchange(rows), "companies")
-    fits = scratch.measured_bytes(companies) <= options.broadcast_bytes
-    largest = companies.agg(F.max("_set_rows")).first()[0] or 0
+    companies, size, largest = scratch.keep_measured(
+        companies_by_exchange(rows), "companies", ["Exchange", "_set"], largest="_set_rows"
+    )
+    limits = {"broadcast_bytes": options.broadcast_bytes, "hot_rows": options.group_rows, "spread_by": list(row_key)}
 
     sets = companies.select("Exchange", "_set").distinct()
-    in_sets = join_lookup(
-        rows, sets, "Exchange", "inner", null_safe=True, fits=fits or None, spread_by=list(row_key),
-        broadcast_bytes=options.broadcast_bytes, hot_rows=options.group_rows,
-    )
+    # Part of the table just measured, one row per key.
+    sets_size = replace(size, rows=size.keys) if size.bytes <= options.broadcast_bytes else None
+    in_sets = join_lookup(rows, sets, "Exchange", "inner", null_safe=True, size=sets_size, **limits)
     ranked = rank_within(
         in_sets, "_set", [*row_key, "Stock"], "Company_Rank", options.group_rows, largest, options.rank_type
     )
-    joined = join_lookup(
-        ranked, companies.drop("_set_rows"), ["Exchange", "_set"], "inner", null_safe=True, fits=fits,
-        spread_by=list(row_key), broadcast_bytes=options.broadcast_bytes, hot_rows=options.group_rows,
-    )
+    companies = companies.drop("_set_rows")
+    joined = join_lookup(ranked, companies, ["Exchange", "_set"], "inner", null_safe=True, size=size, **limits)
     return name_case(joined.select(*COLUMNS))
 
 
@@ -103,12 +101,12 @@ def companies_by_exchange(rows: DataFrame) -> DataFrame:
     counts = rows.groupBy("Stock", "Exchange").agg(
         F.count(F.lit(1)).alias("_rows"), F.sum("Price").alias("_sum"), F.count("Price").alias("_priced")
     )
-    counts = scratch.keep(counts, "counts")
+    counts, exchanges, _ = scratch.keep_measured(counts, "counts", ["Exchange"])
     per_exchange = counts.groupBy("Exchange").agg(*[F.sum(name).alias(name) for name in ("_rows", "_sum", "_priced")])
     seen = counts.where(F.col("Exchange").isNotNull()).select(F.col("Stock").alias("Company"), "Exchange")
     met = per_exchange.join(seen, "Exchange", "left")
 
-    few = counts.agg(F.approx_count_distinct("Exchange")).first()[0] <= EXCHANGES_IN_A_SET
+    few = exchanges.keys <= EXCHANGES_IN_A_SET
     exchange = F.struct(F.col("Exchange").isNull().alias("none"), "Exchange")
     members = F.sort_array(F.collect_set(exchange)) if few else F.first(F.struct("Company"))
     per_company = met.groupBy("Company").agg(
@@ -138,14 +136,19 @@ def silver_by_company(
     per_company = matched.groupBy("Company").agg(
         F.sum("Price").alias("Total_Price"), F.avg("Price").alias("Average_Price"), F.count(F.lit(1)).alias("_rows")
     )
-    per_company = scratch.keep(per_company, "companies")
-    fits = scratch.measured_bytes(per_company) <= options.broadcast_bytes
-    largest = per_company.agg(F.max("_rows")).first()[0] or 0
+    per_company, size, largest = scratch.keep_measured(per_company, "companies", ["Company"], largest="_rows")
     ranked = rank_within(
         matched, "Company", [*row_key, "Stock"], "Company_Rank", options.group_rows, largest, options.rank_type
     )
     joined = join_lookup(
-        ranked, per_company.drop("_rows"), "Company", "inner", null_safe=True, fits=fits,
-        spread_by=list(row_key), broadcast_bytes=options.broadcast_bytes, hot_rows=options.group_rows,
-    )
+        ranked,
+        per_company.drop("_rows"),
+        "Company",
+        "inner",
+        null_safe=True,
+        spread_by=list(row_key),
+        size=size,
+        broadcast_bytes=options.broadcast_bytes,
+        hot_rows=options.group_rows,
+    )
     return name_case(joined.select(*COLUMNS))

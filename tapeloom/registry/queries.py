@@ -42,7 +42,7 @@ from tapeloom.operators import (
     totals_over,
 )
 from tapeloom.plans import flat, silver, silver_by_company
-from tapeloom.plans.silver import SilverOptions
+from tapeloom.plans.silver_table import SilverOptions
 from tapeloom.plans.trades import with_calendar, with_measures
 from tapeloom.registry.inputs import register, table, trades_raw, trades_typed
 from tapeloom.sinks import dated_path, write_files, write_table

@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _own_folder: list[str] = []
@@ -41,13 +43,37 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows of ``df`` in memory: 16 bytes a value, and the length of its text on top."""
-    per_row = F.lit(16 * max(len(df.columns), 1)).cast("bigint")
+@dataclass(frozen=True)
+class Size:
+    """Rows of a table, distinct keys among them (an estimate), and bytes it takes in memory."""
+
+    rows: int
+    keys: int
+    bytes: int
+
+
+def keep_measured(
+    df: DataFrame, label: str, keys: Sequence[str], largest: str | None = None
+) -> tuple[DataFrame, Size, int]:
+    """``keep``, with the size and the largest value of a column observed during the write.
+
+    A value counts as 16 bytes, and the length of its text on top.
+    """
+    per_row = F.lit(16 * len(df.columns)).cast("bigint")
     for field in df.schema.fields:
         if field.dataType.typeName() not in _PLAIN:
             per_row = per_row + F.coalesce(F.octet_length(F.col(f"`{field.name}`").cast("string")), F.lit(0))
-    return df.agg(F.coalesce(F.sum(per_row), F.lit(0)).alias("bytes")).first()["bytes"]
+    seen = Observation()
+    observed = df.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.approx_count_distinct(F.xxhash64(*keys)).alias("keys"),
+        F.coalesce(F.sum(per_row), F.lit(0)).alias("bytes"),
+        F.coalesce(F.max(largest) if largest else F.lit(None), F.lit(0)).cast("bigint").alias("largest"),
+    )
+    kept = keep(observed, label)
+    found = seen.get
+    return kept, Size(found["rows"], found["keys"], found["bytes"]), found["largest"]
 
 
 # Types that fit in the 16 bytes.
