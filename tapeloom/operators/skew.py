@@ -38,6 +38,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], above: int = GROUP_ROWS) -> dic
     return {row["item"]: row["count"] for row in found.take(HOT_KEYS)}
 
 
+def hot_among(counts: DataFrame, keys: Sequence[str], rows: str, above: int = GROUP_ROWS) -> dict[int, int]:
+    """The same from a table that already holds the number of rows per key: the largest ``HOT_KEYS``."""
+    per_key = counts.where(F.col(rows) > above).groupBy(*keys).agg(F.max(rows).alias("_rows"))
+    largest = per_key.orderBy(F.desc("_rows")).limit(HOT_KEYS).select(key_hash(keys).alias("_hash"), "_rows")
+    return {row["_hash"]: row["_rows"] for row in largest.collect()}
+
+
 def on_hot_and_cold(
     df: DataFrame,
     keys: Sequence[str],

@@ -26,13 +26,13 @@ def rank_within(
     order_by: str | Sequence[str],
     name: str = "rank",
     group_rows: int = skew.GROUP_ROWS,
-    largest_group: int | None = None,
+    hot: dict[int, int] | None = None,
     rank_type: str = "int",
 ) -> DataFrame:
     """Number the rows of each group from 1, in the order of ``order_by``, which should be unique.
 
-    ``largest_group`` spares the pass that looks for hot keys when the caller knows a bound. A group
-    of over 2 billion rows needs ``rank_type="bigint"``; with ``int`` it is an error, not a wrap.
+    ``hot``, as ``skew.hot_among`` gives it, spares the pass that looks for hot keys. A group of over
+    2 billion rows needs ``rank_type="bigint"``; with ``int`` it is an error, not a wrap.
     """
     keys, order_by = _listed(keys), _listed(order_by)
     if not order_by:
@@ -51,9 +51,9 @@ def rank_within(
         rank = F.col("_before") + F.col("_position") - F.col("_first") + 1
         return ranked.withColumn(name, rank.cast(rank_type)).select(*part.columns, name)
 
-    if largest_group is not None and largest_group <= group_rows:
-        return windowed(df)
-    return skew.on_hot_and_cold(df, keys, skew.hot_keys(df, keys, group_rows), windowed, by_position)
+    if hot is None:
+        hot = skew.hot_keys(df, keys, group_rows)
+    return skew.on_hot_and_cold(df, keys, hot, windowed, by_position)
 
 
 def _sorted_spans(df: DataFrame, keys: list[str], order_by: list[str], rows: int) -> DataFrame:

@@ -1,6 +1,7 @@
 """Whole pipelines from raw trades to analytics tables."""
 
 from tapeloom.plans.flat_table import flat
+from tapeloom.plans.job import Job, run
 from tapeloom.plans.silver_table import silver, silver_by_company
 
-__all__ = ["flat", "silver", "silver_by_company"]
+__all__ = ["Job", "flat", "run", "silver", "silver_by_company"]

@@ -21,7 +21,7 @@ from tapeloom import scratch
 from tapeloom.functions import category
 from tapeloom.operators.columns import MASK, mask, name_case
 from tapeloom.operators.joins import BROADCAST_BYTES, join_lookup
-from tapeloom.operators.skew import GROUP_ROWS
+from tapeloom.operators.skew import GROUP_ROWS, hot_among
 from tapeloom.operators.windows import rank_within
 from tapeloom.plans.trades import CALENDAR, MEASURES, with_calendar, with_measures
 
@@ -41,6 +41,13 @@ COLUMNS = [
     "Average_Price",
 ]
 
+# Fixed value: names and types of the silver table.
+SILVER_SCHEMA = """
+    EXCHANGE string, DAY int, DATE string, MONTH string, TIME string, STOCK string, PRICE float,
+    PERCENTAGE_CHANGE double, RETURN double, EARNING_PER_SHARE double, EARNING_RATIO string, COMPANY string,
+    COMPANY_RANK int, PRICE_CATEGORY string, TOTAL_PRICE double, AVERAGE_PRICE double
+"""
+
 
 @dataclass(frozen=True)
 class SilverOptions:
@@ -84,9 +91,9 @@ def silver(
     # Part of the table just measured, one row per key.
     sets_size = replace(size, rows=size.keys) if size.bytes <= options.broadcast_bytes else None
     in_sets = join_lookup(rows, sets, "Exchange", "inner", null_safe=True, size=sets_size, **limits)
-    ranked = rank_within(
-        in_sets, "_set", [*row_key, "Stock"], "Company_Rank", options.group_rows, largest, options.rank_type
-    )
+    hot = hot_among(companies, ["_set"], "_set_rows", options.group_rows) if largest > options.group_rows else {}
+    order = [*row_key, "Stock"]
+    ranked = rank_within(in_sets, "_set", order, "Company_Rank", options.group_rows, hot, options.rank_type)
     companies = companies.drop("_set_rows")
     joined = join_lookup(ranked, companies, ["Exchange", "_set"], "inner", null_safe=True, size=size, **limits)
     return name_case(joined.select(*COLUMNS))
@@ -137,9 +144,9 @@ def silver_by_company(
         F.sum("Price").alias("Total_Price"), F.avg("Price").alias("Average_Price"), F.count(F.lit(1)).alias("_rows")
     )
     per_company, size, largest = scratch.keep_measured(per_company, "companies", ["Company"], largest="_rows")
-    ranked = rank_within(
-        matched, "Company", [*row_key, "Stock"], "Company_Rank", options.group_rows, largest, options.rank_type
-    )
+    hot = hot_among(per_company, ["Company"], "_rows", options.group_rows) if largest > options.group_rows else {}
+    order = [*row_key, "Stock"]
+    ranked = rank_within(matched, "Company", order, "Company_Rank", options.group_rows, hot, options.rank_type)
     joined = join_lookup(
         ranked,
         per_company.drop("_rows"),

@@ -41,8 +41,8 @@ from tapeloom.operators import (
     sum_by,
     totals_over,
 )
-from tapeloom.plans import flat, silver, silver_by_company
-from tapeloom.plans.silver_table import SilverOptions
+from tapeloom.plans import Job, flat, run, silver, silver_by_company
+from tapeloom.plans.silver_table import SILVER_SCHEMA, SilverOptions
 from tapeloom.plans.trades import with_calendar, with_measures
 from tapeloom.registry.inputs import register, table, trades_raw, trades_typed
 from tapeloom.sinks import dated_path, write_files, write_table
@@ -51,9 +51,10 @@ from tapeloom.sources import read_table, sql_query, table_exists
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Class bounds that fit the supplied prices, and the day of the dated write.
+# Class bounds that fit the supplied prices, the day of dated writes, the CSV dialect.
 BOUNDS = SilverOptions(low=100_000, high=300_000)
 RUN_DAY = date(2024, 10, 14)
+CSV_OPTIONS = {"header": "true", "delimiter": ","}
 TRADE_SCHEMA = StructType(
     [
         StructField("trade_id", LongType()),
@@ -133,7 +134,7 @@ def write_parquet_roundtrip(spark, sf_dir):
 
 @query("write_csv_roundtrip")
 def write_csv_roundtrip(spark, sf_dir):
-    return _files_back(spark, table(spark, sf_dir, "orders"), "csv", header="true", delimiter=",")
+    return _files_back(spark, table(spark, sf_dir, "orders"), "csv", **CSV_OPTIONS)
 
 
 @query("write_json_roundtrip")
@@ -456,3 +457,13 @@ def silver_pipeline_by_company(spark, sf_dir):
 def flat_pipeline(spark, sf_dir):
     flattened = flat(trades_raw(spark, sf_dir))
     return flattened.withColumn("Time", F.col("Time").cast("timestamp_ntz"))
+
+
+@query("silver_job")
+def silver_job(spark, sf_dir):
+    """The silver pipeline from a named source to CSV files of a day, read back."""
+    trades_raw(spark, sf_dir).createOrReplaceTempView("trades_raw")
+    root = scratch.new_path(spark, "silver")
+    job = Job("trades_raw", target_root=root, day=RUN_DAY, format="csv", writer_options=CSV_OPTIONS, options=BOUNDS)
+    run(spark, job)
+    return spark.read.schema(SILVER_SCHEMA).options(**CSV_OPTIONS).csv(dated_path(root, RUN_DAY))
