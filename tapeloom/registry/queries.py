@@ -41,8 +41,8 @@ from tapeloom.operators import (
     sum_by,
     totals_over,
 )
-from tapeloom.plans import Job, flat, run, silver, silver_by_company
-from tapeloom.plans.silver_table import SILVER_SCHEMA, SilverOptions
+from tapeloom.plans import Job, SilverOptions, flat, run, silver, silver_by_company
+from tapeloom.plans.silver_table import SILVER_SCHEMA
 from tapeloom.plans.trades import with_calendar, with_measures
 from tapeloom.registry.inputs import register, table, trades_raw, trades_typed
 from tapeloom.sinks import dated_path, write_files, write_table
