@@ -34,12 +34,11 @@ def join_lookup(
     executor gets it and ``rows`` stay where they are. If not, both sides are shuffled by the keys, and
     the rows of hot keys are dealt out over many tasks.
 
-    Rows are dealt out by ``spread_by``, best a unique key; every column by default. That is also done
-    before a join that multiplies them, so that each row is worked out once and then multiplied in
-    tasks of even size. With ``null_safe`` a NULL key meets a NULL key.
+    Rows are dealt out by ``spread_by``, best a unique key, or else by turns. That is also done before a
+    join that multiplies them, so that each row is worked out once and then multiplied in tasks of even
+    size. With ``null_safe`` a NULL key meets a NULL key.
     """
     on = [on] if isinstance(on, str) else list(on)
-    spread_by = spread_by or rows.columns
     if how not in ("left", "inner"):
         raise ValueError(f"join_lookup does left and inner joins, not {how}")
     for key in on:
@@ -49,12 +48,13 @@ def join_lookup(
         lookup, size, _ = scratch.keep_measured(lookup, "lookup", on)
     if size.bytes <= broadcast_bytes:
         if size.rows >= MULTIPLIES * max(size.keys, 1):
-            rows = rows.repartition(*spread_by)
+            by_turns = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            rows = rows.repartition(*spread_by) if spread_by else rows.repartition(by_turns)
         return _equi_join(rows, F.broadcast(lookup), on, how, null_safe)
     hot = skew.hot_keys(rows, on, hot_rows)
     if not hot:
         return _equi_join(rows, lookup, on, how, null_safe)
-    dealt, repeated = skew.salted(rows, lookup, on, hot, hot_rows, spread_by)
+    dealt, repeated = skew.salted(rows, lookup, on, hot, hot_rows, spread_by or rows.columns)
     return _equi_join(dealt, repeated, on, how, null_safe, extra=["_salt"])
 
 

@@ -65,7 +65,8 @@ def salted(
     """Both sides of a join with a ``_salt`` column to join on besides the keys.
 
     Rows of a hot key are dealt out over pieces of about ``piece`` rows, and its lookup rows repeated
-    once for each piece. All other rows get salt 0.
+    once for each piece. All other rows get salt 0. The salt also depends on the input partition, which
+    spreads copies of one row and is the same when a task runs again.
     """
     spark = rows.sparkSession
     pieces = spark.createDataFrame([(h, n // piece + 1) for h, n in hot.items()], "_hash bigint, _pieces bigint")
@@ -75,6 +76,6 @@ def salted(
     def with_pieces(df: DataFrame) -> DataFrame:
         return df.withColumn("_hash", key_hash(keys)).join(pieces, "_hash", "left")
 
-    dealt = with_pieces(rows).withColumn("_salt", F.pmod(F.xxhash64(*spread_by), count))
+    dealt = with_pieces(rows).withColumn("_salt", F.pmod(F.xxhash64(*spread_by, F.spark_partition_id()), count))
     repeated = with_pieces(lookup).withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)))
     return dealt.drop("_hash", "_pieces"), repeated.drop("_hash", "_pieces")

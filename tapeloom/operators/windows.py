@@ -81,22 +81,33 @@ def totals_over(
     form: str = "join",
     spread_by: Sequence[str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    group_rows: int = skew.GROUP_ROWS,
 ) -> DataFrame:
     """Sum and average over each whole group, on every row. NULL keys form a group.
 
-    ``form="join"`` totals each group and joins the totals back, so wide rows stay where they are;
-    ``form="window"`` sorts them by key into one task per group, for small groups.
+    ``form="join"`` totals each group and joins the totals back, so wide rows stay where they are.
+    ``form="window"`` reads the rows once and sorts them by key, one task per group; rows of hot keys
+    take the other form. It suits input that is dear to read or already partitioned by the key.
     """
     keys = _listed(keys)
     measures = {total: F.sum(value), average: F.avg(value)}
-    if form == "window":
+
+    def windowed(part: DataFrame) -> DataFrame:
         group = Window.partitionBy(*keys)
-        return df.withColumns({name: measure.over(group) for name, measure in measures.items()})
-    if form != "join":
-        raise ValueError(f"unknown form: {form}")
-    totals = df.groupBy(*keys).agg(*[measure.alias(name) for name, measure in measures.items()])
-    joined = join_lookup(df, totals, keys, null_safe=True, spread_by=spread_by, broadcast_bytes=broadcast_bytes)
-    return joined.select(*df.columns, total, average)
+        return part.withColumns({name: measure.over(group) for name, measure in measures.items()})
+
+    def joined(part: DataFrame, _: int) -> DataFrame:
+        totals = part.groupBy(*keys).agg(*[measure.alias(name) for name, measure in measures.items()])
+        back = join_lookup(
+            part, totals, keys, null_safe=True, spread_by=spread_by, broadcast_bytes=broadcast_bytes, hot_rows=group_rows
+        )
+        return back.select(*part.columns, total, average)
+
+    if form == "join":
+        return joined(df, 0)
+    if form == "window":
+        return skew.on_hot_and_cold(df, keys, skew.hot_keys(df, keys, group_rows), windowed, joined)
+    raise ValueError(f"unknown form: {form}")
 
 
 def running_totals(

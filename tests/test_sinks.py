@@ -79,3 +79,14 @@ def test_scratch_is_in_the_shared_folder(spark, trades, tmp_path):
 def test_size_of_nothing(spark):
     _, size, largest = scratch.keep_measured(spark.sql("select 'x' as a where false"), "none", ["a"])
     assert (size, largest) == (scratch.Size(0, 0, 0), 0)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Elsewhere:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return {"spark.master": "yarn"}.get(key, default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.folder(Elsewhere)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeloom.operators import join_lookup, rank_within, running_totals, totals_over
-from tapeloom.operators.skew import hot_keys, key_hash
+from tapeloom.operators.skew import hot_keys, key_hash, salted
 from tapeloom.plans import flat, silver, silver_by_company
 from tapeloom.plans.silver_table import SilverOptions
 from tapeloom.registry.oracle import FLAT, SILVER, SILVER_BY_COMPANY
@@ -97,9 +97,10 @@ def test_running_totals_are_those_of_sql(skewed):
 
 
 @pytest.mark.parametrize("form", ["join", "window"])
-def test_forms_of_totals_agree(skewed, form):
+@pytest.mark.parametrize("limits", [{}, {"group_rows": 250, "broadcast_bytes": 0}])
+def test_forms_of_totals_agree(skewed, form, limits):
     want = {k: (t, a) for k, t, a in skewed.groupBy("k").agg(F.sum("v"), F.avg("v")).collect()}
-    got = totals_over(skewed, "k", "v", form=form, broadcast_bytes=0).collect()
+    got = totals_over(skewed, "k", "v", form=form, **limits).collect()
     assert len(got) == skewed.count()
     assert all((row["total"], row["average"]) == want[row["k"]] for row in got)
 
@@ -119,6 +120,22 @@ def test_lookup_join_is_a_plain_join(spark, skewed, null_safe, how, limits):
     assert rows_of(got) == rows_of(want)
 
 
+def test_copies_of_one_row_are_spread(spark):
+    copies = spark.range(20_000).selectExpr("'hot' as k", "1 as v").repartition(16)
+    lookup = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, x int")
+    dealt, repeated = salted(copies, lookup, ["k"], hot_keys(copies, ["k"], 100), 1000, ["k", "v"])
+    assert repeated.where("k = 'hot'").count() == 21
+    per_salt = [row["count"] for row in dealt.groupBy("_salt").count().collect()]
+    assert sum(per_salt) == 20_000 and max(per_salt) < 10_000
+
+
+@pytest.mark.parametrize("spread_by", [None, ["id"]])
+def test_rows_are_dealt_out_before_they_are_multiplied(spark, skewed, spread_by):
+    lookup = spark.createDataFrame([(k, x) for k in ("hot", "a") for x in range(10)], "k string, x int")
+    got = join_lookup(skewed, lookup, "k", "inner", spread_by=spread_by)
+    assert rows_of(got) == rows_of(skewed.join(lookup, "k").select("k", "id", "step", "v", "x"))
+
+
 @pytest.mark.parametrize("limits", [{}, SPLIT])
 def test_silver_with_nulls(trades, db, limits):
     got = silver(trades, options=SilverOptions(**BOUNDS, **limits))
