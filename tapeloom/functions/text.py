@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # What each cleaning step removes.
-NOT_DIGIT_OR_DOT = "[^0-9.]"
-NOT_DIGIT_DOT_OR_MINUS = "[^0-9.-]"
+NOT_DIGIT_OR_DOT = "[^0-9.]+"
+NOT_DIGIT_DOT_OR_MINUS = "[^0-9.-]+"
 PERCENT = "%"
 RUPEE = "₹"
 
@@ -16,6 +16,10 @@ def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _without(c: Column, part: str) -> Column:
+    return F.replace(c.cast("string"), F.lit(part), F.lit(""))
+
+
 def clean_price(c: Column | str, signed: bool = False) -> Column:
     """Keep digits and dots, as float. A minus sign is lost unless ``signed``."""
     unwanted = NOT_DIGIT_DOT_OR_MINUS if signed else NOT_DIGIT_OR_DOT
@@ -24,12 +28,12 @@ def clean_price(c: Column | str, signed: bool = False) -> Column:
 
 def clean_percent(c: Column | str) -> Column:
     """``-1.5%`` as the double -1.5."""
-    return F.regexp_replace(_column(c), PERCENT, "").try_cast("double")
+    return _without(_column(c), PERCENT).try_cast("double")
 
 
 def strip_rupee(c: Column | str) -> Column:
     """Remove only the rupee sign, as float. Thousands commas are left and so give NULL."""
-    return F.regexp_replace(_column(c).cast("string"), RUPEE, "").try_cast("float")
+    return _without(_column(c), RUPEE).try_cast("float")
 
 
 def to_float(c: Column | str) -> Column:

@@ -31,7 +31,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], above: int = GROUP_ROWS) -> dic
         .groupBy("part")
         .agg(F.expr(f"approx_top_k_accumulate(key, {TRACKED})").alias("sketch"))
     )
-    top = sketches.agg(
+    # Grouped, as Spark 4.1 cannot combine sketches in a partition that has none.
+    top = sketches.groupBy(F.lit("all")).agg(
         F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED}), {HOT_KEYS})").alias("top")
     )
     found = top.select(F.explode("top").alias("entry")).select("entry.item", "entry.count").where(F.col("count") > above)

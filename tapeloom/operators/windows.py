@@ -29,7 +29,7 @@ def rank_within(
     hot: dict[int, int] | None = None,
     rank_type: str = "int",
 ) -> DataFrame:
-    """Number the rows of each group from 1, in the order of ``order_by``, which should be unique.
+    """Number the rows of each group from 1, in the order of ``order_by``; any order among equals.
 
     ``hot``, as ``skew.hot_among`` gives it, spares the pass that looks for hot keys. A group of over
     2 billion rows needs ``rank_type="bigint"``; with ``int`` it is an error, not a wrap.
@@ -59,15 +59,18 @@ def rank_within(
 def _sorted_spans(df: DataFrame, keys: list[str], order_by: list[str], rows: int) -> DataFrame:
     """The rows in sorted order, cut into spans of about equal size, a written table.
 
-    A group of any size spreads over as many spans as it fills; rows equal in every sort column share
-    one. ``_span`` and ``_position`` rise with the order. ``rows`` is the number expected.
+    A group of any size spreads over as many spans as it fills, and so do rows equal in every sort
+    column: the partition they come from sets them apart, the same one when a task runs again.
+    ``_span`` and ``_position`` rise with the order. ``rows`` is the number expected.
     """
+    order = [*keys, *order_by, "_from"]
+    df = df.withColumn("_from", F.spark_partition_id())
     spans = rows // skew.GROUP_ROWS + 1
     if spans > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-        ranged = df.repartitionByRange(spans, *keys, *order_by)
+        ranged = df.repartitionByRange(spans, *order)
     else:
-        ranged = df.repartitionByRange(*keys, *order_by)
-    sorted_rows = ranged.sortWithinPartitions(*keys, *order_by)
+        ranged = df.repartitionByRange(*order)
+    sorted_rows = ranged.sortWithinPartitions(*order).drop("_from")
     numbered = sorted_rows.withColumns({"_span": F.spark_partition_id(), "_position": F.monotonically_increasing_id()})
     return scratch.keep(numbered, "spans")
 
@@ -118,6 +121,7 @@ def running_totals(
     total: str = "total",
     average: str = "average",
     group_rows: int = skew.GROUP_ROWS,
+    hot: dict[int, int] | None = None,
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Sum and average from the start of each group up to the row; rows equal in order share a value.
@@ -166,4 +170,6 @@ def running_totals(
         mean = F.when(F.col("_count") > 0, F.col("_sum") / F.col("_count"))
         return joined.withColumns({total: F.col("_sum"), average: mean}).select(*part.columns, total, average)
 
-    return skew.on_hot_and_cold(df, keys, skew.hot_keys(df, keys, group_rows), windowed, by_steps)
+    if hot is None:
+        hot = skew.hot_keys(df, keys, group_rows)
+    return skew.on_hot_and_cold(df, keys, hot, windowed, by_steps)

@@ -74,12 +74,18 @@ def enriched(trades: DataFrame, row_key: Sequence[str], options: SilverOptions)
     return mask(chosen, ["earning_ratio"], options.mask)
 
 
+def rank_order(rows: DataFrame, row_key: Sequence[str]) -> list[str]:
+    """The row key, then every other column."""
+    return list(dict.fromkeys([*row_key, "Stock", *(name for name in rows.columns if name != "earning_ratio")]))
+
+
 def silver(
     trades: DataFrame, row_key: Sequence[str] = ("trade_id",), options: SilverOptions = SilverOptions()
 ) -> DataFrame:
     """The silver table as defined: trades joined to companies on the exchange alone.
 
-    ``row_key`` breaks ties in the rank, so it should be unique; it is not in the result.
+    ``row_key`` comes first in the order of the rank and is not in the result. Without a unique key the
+    rank follows the other columns, so that only rows alike in everything may change places.
     """
     rows = enriched(trades, row_key, options)
     companies, size, largest = scratch.keep_measured(
@@ -92,9 +98,10 @@ def silver(
     sets_size = replace(size, rows=size.keys) if size.bytes <= options.broadcast_bytes else None
     in_sets = join_lookup(rows, sets, "Exchange", "inner", null_safe=True, size=sets_size, **limits)
     hot = hot_among(companies, ["_set"], "_set_rows", options.group_rows) if largest > options.group_rows else {}
-    order = [*row_key, "Stock"]
-    ranked = rank_within(in_sets, "_set", order, "Company_Rank", options.group_rows, hot, options.rank_type)
-    companies = companies.drop("_set_rows")
+    ranked = rank_within(
+        in_sets, "_set", rank_order(rows, row_key), "Company_Rank", options.group_rows, hot, options.rank_type
+    )
+    companies, limits["spread_by"] = companies.drop("_set_rows"), [*row_key, "Company_Rank"]
     joined = join_lookup(ranked, companies, ["Exchange", "_set"], "inner", null_safe=True, size=size, **limits)
     return name_case(joined.select(*COLUMNS))
 
@@ -145,15 +152,16 @@ def silver_by_company(
     )
     per_company, size, largest = scratch.keep_measured(per_company, "companies", ["Company"], largest="_rows")
     hot = hot_among(per_company, ["Company"], "_rows", options.group_rows) if largest > options.group_rows else {}
-    order = [*row_key, "Stock"]
-    ranked = rank_within(matched, "Company", order, "Company_Rank", options.group_rows, hot, options.rank_type)
+    ranked = rank_within(
+        matched, "Company", rank_order(rows, row_key), "Company_Rank", options.group_rows, hot, options.rank_type
+    )
     joined = join_lookup(
         ranked,
         per_company.drop("_rows"),
         "Company",
         "inner",
         null_safe=True,
-        spread_by=list(row_key),
+        spread_by=[*row_key, "Company_Rank"],
         size=size,
         broadcast_bytes=options.broadcast_bytes,
         hot_rows=options.group_rows,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.operators import join_lookup, rank_within, running_totals, totals_over
 from tapeloom.operators.skew import hot_keys, key_hash, salted
+from tapeloom.operators.windows import _sorted_spans
 from tapeloom.plans import flat, silver, silver_by_company
 from tapeloom.plans.silver_table import SilverOptions
 from tapeloom.registry.oracle import FLAT, SILVER, SILVER_BY_COMPANY
@@ -23,6 +24,14 @@ def rows_of(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def many_partitions(spark):
+    """Spark would merge such small partitions, and everything would land in one span."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """3,000 rows; one key holds half of them, NULL a tenth; values are whole, steps repeat."""
@@ -76,6 +85,15 @@ def test_rank_in_pieces(skewed, group_rows):
     assert rows_of(split) == rows_of(plain)
 
 
+def test_rank_of_copies_in_pieces(spark):
+    copies = spark.range(8000).selectExpr("'hot' as k", "case when id < 6000 then 0 else id end as v").repartition(8)
+    ranked = rank_within(copies, "k", "v", "r", group_rows=100)
+    assert sorted(row["r"] for row in ranked.collect()) == list(range(1, 8001))
+    assert {row["v"] for row in ranked.where("r <= 6000").select("v").distinct().collect()} == {0}
+    spans = _sorted_spans(copies, ["k"], ["v"], 8000).groupBy("_span").count().collect()
+    assert max(row["count"] for row in spans) < 3000
+
+
 @pytest.mark.parametrize("group_rows", [1, 30, 300, 10_000])
 def test_running_totals_in_pieces(skewed, group_rows):
     plain = running_totals(skewed, "k", "step", "v", group_rows=10**9)
@@ -142,6 +160,17 @@ def test_silver_with_nulls(trades, db, limits):
     assert assert_equal(got, db, f"with {SILVER}") > trades.count()
 
 
+@pytest.mark.parametrize("limits", [{}, SPLIT])
+def test_silver_without_a_row_key(trades, limits):
+    options = SilverOptions(**BOUNDS, **limits)
+    plain = trades.drop("trade_id")
+    copies = plain.unionAll(plain.limit(1).join(plain.selectExpr("1 as one"), how="cross").drop("one"))
+    got, keyed = silver(copies, (), options), silver(copies.withColumn("trade_id", F.rand(1)), options=options)
+    assert rows_of(got.drop("COMPANY_RANK")) == rows_of(keyed.drop("COMPANY_RANK"))
+    for group in got.groupBy("COMPANY").agg(F.sort_array(F.collect_list("COMPANY_RANK")).alias("ranks")).collect():
+        assert group["ranks"] == list(range(1, len(group["ranks"]) + 1))
+
+
 @pytest.mark.parametrize("limits", [{}, SPLIT])
 def test_silver_by_company_with_nulls(trades, db, limits):
     got = silver_by_company(trades, options=SilverOptions(**BOUNDS, **limits))
