@@ -35,8 +35,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], above: int = GROUP_ROWS) -> dic
     top = sketches.groupBy(F.lit("all")).agg(
         F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED}), {HOT_KEYS})").alias("top")
     )
-    found = top.select(F.explode("top").alias("entry")).select("entry.item", "entry.count").where(F.col("count") > above)
-    return {row["item"]: row["count"] for row in found.take(HOT_KEYS)}
+    entries = top.select(F.inline("top"))
+    return {row["item"]: row["count"] for row in entries.where(F.col("count") > above).take(HOT_KEYS)}
 
 
 def hot_among(counts: DataFrame, keys: Sequence[str], rows: str, above: int = GROUP_ROWS) -> dict[int, int]:

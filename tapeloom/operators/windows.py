@@ -101,9 +101,8 @@ def totals_over(
 
     def joined(part: DataFrame, _: int) -> DataFrame:
         totals = part.groupBy(*keys).agg(*[measure.alias(name) for name, measure in measures.items()])
-        back = join_lookup(
-            part, totals, keys, null_safe=True, spread_by=spread_by, broadcast_bytes=broadcast_bytes, hot_rows=group_rows
-        )
+        limits = {"broadcast_bytes": broadcast_bytes, "hot_rows": group_rows}
+        back = join_lookup(part, totals, keys, null_safe=True, spread_by=spread_by, **limits)
         return back.select(*part.columns, total, average)
 
     if form == "join":

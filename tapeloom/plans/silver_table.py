@@ -75,8 +75,8 @@ def enriched(trades: DataFrame, row_key: Sequence[str], options: SilverOptions)
 
 
 def rank_order(rows: DataFrame, row_key: Sequence[str]) -> list[str]:
-    """The row key, then every other column."""
-    return list(dict.fromkeys([*row_key, "Stock", *(name for name in rows.columns if name != "earning_ratio")]))
+    """The row key and the stock; without a key every column, so that only rows alike in all are equal."""
+    return [*row_key, "Stock"] if row_key else [name for name in rows.columns if name != "earning_ratio"]
 
 
 def silver(
@@ -84,8 +84,8 @@ def silver(
 ) -> DataFrame:
     """The silver table as defined: trades joined to companies on the exchange alone.
 
-    ``row_key`` comes first in the order of the rank and is not in the result. Without a unique key the
-    rank follows the other columns, so that only rows alike in everything may change places.
+    ``row_key`` is a unique key that orders the rank and is not in the result. Where there is none, pass
+    ``()`` and the rank follows the other columns.
     """
     rows = enriched(trades, row_key, options)
     companies, size, largest = scratch.keep_measured(
@@ -101,7 +101,7 @@ def silver(
     ranked = rank_within(
         in_sets, "_set", rank_order(rows, row_key), "Company_Rank", options.group_rows, hot, options.rank_type
     )
-    companies, limits["spread_by"] = companies.drop("_set_rows"), [*row_key, "Company_Rank"]
+    companies, limits["spread_by"] = companies.drop("_set_rows"), list(row_key) or ["Company_Rank"]
     joined = join_lookup(ranked, companies, ["Exchange", "_set"], "inner", null_safe=True, size=size, **limits)
     return name_case(joined.select(*COLUMNS))
 
@@ -161,7 +161,7 @@ def silver_by_company(
         "Company",
         "inner",
         null_safe=True,
-        spread_by=[*row_key, "Company_Rank"],
+        spread_by=list(row_key) or ["Company_Rank"],
         size=size,
         broadcast_bytes=options.broadcast_bytes,
         hot_rows=options.group_rows,

@@ -77,4 +77,16 @@ def keep_measured(
 
 
 # Types that fit in the 16 bytes.
-_PLAIN = {"boolean", "byte", "short", "integer", "long", "float", "double", "date", "timestamp", "timestamp_ntz", "decimal"}
+_PLAIN = {
+    "boolean",
+    "byte",
+    "short",
+    "integer",
+    "long",
+    "float",
+    "double",
+    "decimal",
+    "date",
+    "timestamp",
+    "timestamp_ntz",
+}
