@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Names of the price classes, and the default bounds between them.
+LABELS = ("Low", "Medium", "High")
+LOW, HIGH = 2000, 5000
+
 
 def total_return(price: Column, percentage_change: Column) -> Column:
     return price * (F.lit(1) + percentage_change / F.lit(100))
@@ -21,9 +25,9 @@ def guarded_ratio(numerator: Column, divisor: Column) -> Column:
 
 def category(
     value: Column,
-    low: float,
-    high: float,
-    labels: tuple[str, str, str] = ("Low", "Medium", "High"),
+    low: float = LOW,
+    high: float = HIGH,
+    labels: tuple[str, str, str] = LABELS,
     null_label: str | None = None,
 ) -> Column:
     """Below ``low``, between both bounds inclusive, or neither.

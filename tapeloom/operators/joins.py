@@ -27,6 +27,7 @@ def join_lookup(
     size: scratch.Size | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = skew.GROUP_ROWS,
+    dealt: bool = False,
 ) -> DataFrame:
     """Left or inner equi-join of ``rows`` to ``lookup``; keys come first in the result.
 
@@ -36,7 +37,8 @@ def join_lookup(
 
     Rows are dealt out by ``spread_by``, best a unique key, or else by turns. That is also done before a
     join that multiplies them, so that each row is worked out once and then multiplied in tasks of even
-    size. With ``null_safe`` a NULL key meets a NULL key.
+    size; ``dealt`` says that they come stored in even parts already. With ``null_safe`` a NULL key meets
+    a NULL key.
     """
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("left", "inner"):
@@ -47,7 +49,7 @@ def join_lookup(
     if size is None:
         lookup, size, _ = scratch.keep_measured(lookup, "lookup", on)
     if size.bytes <= broadcast_bytes:
-        if size.rows >= MULTIPLIES * max(size.keys, 1):
+        if size.rows >= MULTIPLIES * max(size.keys, 1) and not dealt:
             by_turns = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
             rows = rows.repartition(*spread_by) if spread_by else rows.repartition(by_turns)
         return _equi_join(rows, F.broadcast(lookup), on, how, null_safe)
@@ -76,7 +78,8 @@ def _equi_join(rows, lookup, on, how, null_safe, extra=()) -> DataFrame:
         F.col(key).eqNullSafe(F.col(f"_of_{key}")) if null_safe else F.col(key) == F.col(f"_of_{key}") for key in keys
     ]
     joined = rows.join(renamed, reduce(lambda a, b: a & b, same), how)
-    return joined.select(*on, *[F.col(f"`{name}`") for name in row_columns + lookup_columns])
+    key_columns = [_spelt(rows, key) for key in on]
+    return joined.select(*[F.col(f"`{name}`") for name in key_columns + row_columns + lookup_columns])
 
 
 def fanout_report(rows: DataFrame, lookup: DataFrame, on: str | Sequence[str]) -> DataFrame:

@@ -69,6 +69,8 @@ def schema_violations(df: DataFrame, expected: StructType) -> DataFrame:
 
 def quality_report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Rows that pass, fail, or leave undecided each named boolean rule, counted in one pass."""
+    if not rules:
+        raise ValueError("no rules to check")
     counts = [F.count(F.lit(1)).alias("rows")]
     for i, rule in enumerate(rules.values()):
         counts += [F.count_if(rule).alias(f"passed_{i}"), F.count_if(~rule).alias(f"failed_{i}")]

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tapeloom import scratch
 from tapeloom.functions import category
+from tapeloom.functions.measures import HIGH, LOW
 from tapeloom.operators.columns import MASK, mask, name_case
 from tapeloom.operators.joins import BROADCAST_BYTES, join_lookup
 from tapeloom.operators.skew import GROUP_ROWS, hot_among
@@ -53,8 +54,8 @@ SILVER_SCHEMA = """
 class SilverOptions:
     """Bounds of the price classes, and where rows that fit in one task end."""
 
-    low: float = 2000
-    high: float = 5000
+    low: float = LOW
+    high: float = HIGH
     null_label: str | None = None
     mask: str = MASK
     group_rows: int = GROUP_ROWS
@@ -97,12 +98,17 @@ def silver(
     # Part of the table just measured, one row per key.
     sets_size = replace(size, rows=size.keys) if size.bytes <= options.broadcast_bytes else None
     in_sets = join_lookup(rows, sets, "Exchange", "inner", null_safe=True, size=sets_size, **limits)
-    hot = hot_among(companies, ["_set"], "_set_rows", options.group_rows) if largest > options.group_rows else {}
+    hot, stored = {}, False
+    if largest > options.group_rows:
+        hot = hot_among(companies, ["_set"], "_set_rows", options.group_rows)
+        stored = len(hot) == companies.select("_set").distinct().count()
     ranked = rank_within(
         in_sets, "_set", rank_order(rows, row_key), "Company_Rank", options.group_rows, hot, options.rank_type
     )
     companies, limits["spread_by"] = companies.drop("_set_rows"), list(row_key) or ["Company_Rank"]
-    joined = join_lookup(ranked, companies, ["Exchange", "_set"], "inner", null_safe=True, size=size, **limits)
+    joined = join_lookup(
+        ranked, companies, ["Exchange", "_set"], "inner", null_safe=True, size=size, dealt=stored, **limits
+    )
     return name_case(joined.select(*COLUMNS))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.functions import clean_percent, clean_price, earning_per_share, formatted, guarded_ratio, total_return
+from tapeloom.functions.times import DATE, MONTH
 from tapeloom.operators.columns import in_order
 
 # The measures a cleaned trade has, in table order.
@@ -17,7 +18,7 @@ def with_calendar(df: DataFrame, time: Column) -> DataFrame:
     """Day of month, date text and short month name of a timestamp, or of text that reads as one."""
     moment = time.try_cast("timestamp")
     return df.withColumns(
-        {"Day": F.dayofmonth(moment), "Date": formatted(moment, "yyyy-MM-dd"), "Month": formatted(moment, "MMM")}
+        {"Day": F.dayofmonth(moment), "Date": formatted(moment, DATE), "Month": formatted(moment, MONTH)}
     )
 
 

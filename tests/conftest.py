@@ -13,7 +13,8 @@ from tapeloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8, **{"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    session = local_session(8, **{"spark.sql.warehouse.dir": warehouse, "spark.sql.shuffle.partitions": "4"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

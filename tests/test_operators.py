@@ -221,6 +221,12 @@ def test_join_puts_keys_first_and_keeps_unmatched(sides):
     assert {r["id"]: r["total"] for r in got.collect() if r["e"] != "x"} == {3: 30, 4: None, 5: None}
 
 
+def test_join_keeps_the_spelling_of_the_rows(sides):
+    rows, lookup = sides
+    got = join_lookup(rows.withColumnRenamed("e", "E"), lookup, "e")
+    assert got.columns == ["E", "id", "total"]
+
+
 def test_join_to_unique_keys_keeps_the_row_count(sides):
     rows, lookup = sides
     assert join_lookup(rows, sum_by(lookup, "e", "total"), "e").count() == rows.count()
@@ -260,6 +266,13 @@ def test_rank_is_an_int_from_one(sides):
     assert {r["id"]: r["r"] for r in got.collect()} == {1: 1, 2: 2, 3: 1, 4: 1, 5: 1}
 
 
+def test_rank_of_large_groups_is_a_bigint(sides):
+    for group_rows in (1, 100):
+        got = rank_within(sides[0], "e", "id", "r", group_rows=group_rows, rank_type="bigint")
+        assert dict(got.dtypes)["r"] == "bigint"
+        assert sorted(r["r"] for r in got.collect()) == [1, 1, 1, 1, 2]
+
+
 def test_totals_group_nulls(sides):
     got = totals_over(sides[1], "e", "total", "t", "a")
     assert {(r["e"], r["t"], r["a"]) for r in got.collect()} == {
@@ -302,6 +315,11 @@ def test_quality_report(prices):
     assert got == {"known": (9, 6, 3, 0), "small": (9, 2, 4, 3)}
 
 
+def test_a_report_needs_rules(prices):
+    with pytest.raises(ValueError, match="rules"):
+        quality_report(prices, {})
+
+
 def test_preview_and_row_count(prices):
     assert [r["id"] for r in preview(prices, "id", 3).collect()] == [0, 1, 2]
     assert row_count(prices).first()["rows"] == 9

@@ -154,7 +154,7 @@ def test_rows_are_dealt_out_before_they_are_multiplied(spark, skewed, spread_by)
     assert rows_of(got) == rows_of(skewed.join(lookup, "k").select("k", "id", "step", "v", "x"))
 
 
-@pytest.mark.parametrize("limits", [{}, SPLIT])
+@pytest.mark.parametrize("limits", [{}, SPLIT, {"group_rows": 40}, {"group_rows": 400}])
 def test_silver_with_nulls(trades, db, limits):
     got = silver(trades, options=SilverOptions(**BOUNDS, **limits))
     assert assert_equal(got, db, f"with {SILVER}") > trades.count()
