@@ -24,7 +24,7 @@ from tapeloom.operators.columns import MASK, mask, name_case
 from tapeloom.operators.joins import BROADCAST_BYTES, join_lookup
 from tapeloom.operators.skew import GROUP_ROWS, hot_among
 from tapeloom.operators.windows import rank_within
-from tapeloom.plans.trades import CALENDAR, MEASURES, with_calendar, with_measures
+from tapeloom.plans.trades import CALENDAR, MEASURES, with_calendar, with_derived, with_numbers
 
 # Sets of exchanges are compared as arrays up to this many exchanges; beyond it each company ranks alone.
 EXCHANGES_IN_A_SET = 10_000
@@ -63,21 +63,25 @@ class SilverOptions:
     rank_type: str = "int"
 
 
-def enriched(trades: DataFrame, row_key: Sequence[str], options: SilverOptions) -> DataFrame:
-    """Everything that needs the trade alone: cleaned, derived, rounded, classed and masked."""
+def typed_trades(trades: DataFrame, row_key: Sequence[str]) -> DataFrame:
+    """The columns all others follow from, with the numbers cleaned."""
     named = trades.withColumn("Stock", F.col("Company"))
-    typed = with_measures(with_calendar(named, F.col("Time")))
-    rounded = typed.withColumns({"Price": F.round("Price"), "return": F.round("return")})
+    return with_numbers(named).select(*row_key, "Time", "Stock", "Exchange", "Price", "percentage_change")
+
+
+def enriched(rows: DataFrame, options: SilverOptions) -> DataFrame:
+    """Everything that needs the trade alone: derived, rounded, classed and masked."""
+    derived = with_derived(with_calendar(rows, F.col("Time")))
+    rounded = derived.withColumns({"Price": F.round("Price"), "return": F.round("return")})
     classed = rounded.withColumn(
         "Price_Category", category(F.col("Price"), options.low, options.high, null_label=options.null_label)
     )
-    chosen = classed.select(*CALENDAR, "Stock", "Exchange", *MEASURES, "Price_Category", *row_key)
-    return mask(chosen, ["earning_ratio"], options.mask)
+    return mask(classed, ["earning_ratio"], options.mask)
 
 
 def rank_order(rows: DataFrame, row_key: Sequence[str]) -> list[str]:
     """The row key and the stock; without a key every column, so that only rows alike in all are equal."""
-    return [*row_key, "Stock"] if row_key else [name for name in rows.columns if name != "earning_ratio"]
+    return [*row_key, "Stock"] if row_key else rows.columns
 
 
 def silver(
@@ -88,7 +92,7 @@ def silver(
     ``row_key`` is a unique key that orders the rank and is not in the result. Where there is none, pass
     ``()`` and the rank follows the other columns.
     """
-    rows = enriched(trades, row_key, options)
+    rows = typed_trades(trades, row_key)
     companies, size, largest = scratch.keep_measured(
         companies_by_exchange(rows), "companies", ["Exchange", "_set"], largest="_set_rows"
     )
@@ -102,12 +106,17 @@ def silver(
     if largest > options.group_rows:
         hot = hot_among(companies, ["_set"], "_set_rows", options.group_rows)
         stored = len(hot) == companies.select("_set").distinct().count()
-    ranked = rank_within(
-        in_sets, "_set", rank_order(rows, row_key), "Company_Rank", options.group_rows, hot, options.rank_type
-    )
+
+    def ranked(some: DataFrame) -> DataFrame:
+        order = rank_order(rows, row_key)
+        return rank_within(some, "_set", order, "Company_Rank", options.group_rows, hot, options.rank_type)
+
+    # Enriched late, fewer columns are sorted; but rows that come stored are enriched in store, so that
+    # the work is not done again for each row a trade is multiplied to.
+    full = ranked(enriched(in_sets, options)) if stored else enriched(ranked(in_sets), options)
     companies, limits["spread_by"] = companies.drop("_set_rows"), list(row_key) or ["Company_Rank"]
     joined = join_lookup(
-        ranked, companies, ["Exchange", "_set"], "inner", null_safe=True, size=size, dealt=stored, **limits
+        full, companies, ["Exchange", "_set"], "inner", null_safe=True, size=size, dealt=stored, **limits
     )
     return name_case(joined.select(*COLUMNS))
 
@@ -116,10 +125,10 @@ def companies_by_exchange(rows: DataFrame) -> DataFrame:
     """What a trade on an exchange meets: each company, its totals, and its set of exchanges.
 
     One row per exchange and company, with a NULL company for an exchange that meets none. ``_set`` is
-    a digest of the set, ``_set_rows`` the number of trades it meets.
+    a digest of the set, 128 bits, and ``_set_rows`` the number of trades it meets.
     """
     counts = rows.groupBy("Stock", "Exchange").agg(
-        F.count(F.lit(1)).alias("_rows"), F.sum("Price").alias("_sum"), F.count("Price").alias("_priced")
+        F.count(F.lit(1)).alias("_rows"), F.sum(F.round("Price")).alias("_sum"), F.count("Price").alias("_priced")
     )
     counts, exchanges, _ = scratch.keep_measured(counts, "counts", ["Exchange"])
     per_exchange = counts.groupBy("Exchange").agg(*[F.sum(name).alias(name) for name in ("_rows", "_sum", "_priced")])
@@ -133,7 +142,7 @@ def companies_by_exchange(rows: DataFrame) -> DataFrame:
         F.sum("_sum").alias("Total_Price"),
         (F.sum("_sum") / F.nullif(F.sum("_priced"), F.lit(0))).alias("Average_Price"),
         F.sum("_rows").alias("_set_rows"),
-        F.unhex(F.sha2(F.to_json(members), 256)).alias("_set"),
+        F.substring(F.unhex(F.sha2(F.to_json(members), 256)), 1, 16).alias("_set"),
     )
     named = per_company.withColumnRenamed("Company", "_company")
     return (
@@ -151,10 +160,11 @@ def silver_by_company(
     That join finds exactly one match where company and exchange are known and none elsewhere, so it
     comes down to a condition. A trade without a match has a NULL company, as in any left join.
     """
-    rows = enriched(trades, row_key, options)
+    rows = typed_trades(trades, row_key)
     matched = rows.withColumn("Company", F.when(F.col("Exchange").isNotNull(), F.col("Stock")))
+    price = F.round("Price")
     per_company = matched.groupBy("Company").agg(
-        F.sum("Price").alias("Total_Price"), F.avg("Price").alias("Average_Price"), F.count(F.lit(1)).alias("_rows")
+        F.sum(price).alias("Total_Price"), F.avg(price).alias("Average_Price"), F.count(F.lit(1)).alias("_rows")
     )
     per_company, size, largest = scratch.keep_measured(per_company, "companies", ["Company"], largest="_rows")
     hot = hot_among(per_company, ["Company"], "_rows", options.group_rows) if largest > options.group_rows else {}
@@ -162,7 +172,7 @@ def silver_by_company(
         matched, "Company", rank_order(rows, row_key), "Company_Rank", options.group_rows, hot, options.rank_type
     )
     joined = join_lookup(
-        ranked,
+        enriched(ranked, options),
         per_company.drop("_rows"),
         "Company",
         "inner",

@@ -22,15 +22,26 @@ def with_calendar(df: DataFrame, time: Column) -> DataFrame:
     )
 
 
-def with_measures(df: DataFrame) -> DataFrame:
-    """Clean the two text numbers, then derive return, earning per share and their ratio."""
+def with_numbers(df: DataFrame) -> DataFrame:
+    """Clean the two text numbers."""
+    return df.withColumns(
+        {"Price": clean_price("Price"), "percentage_change": clean_percent("percentage_change")}
+    )
+
+
+def with_derived(df: DataFrame) -> DataFrame:
+    """Return, earning per share and their ratio from the two numbers."""
     price, change, returned, earned = (F.col(name) for name in MEASURES[:4])
     return in_order(
         df,
         [
-            {"Price": clean_price(price), "percentage_change": clean_percent(change)},
             ("return", total_return(price, change)),
             ("earning_per_share", earning_per_share(returned, price)),
             ("earning_ratio", guarded_ratio(returned, earned)),
         ],
     )
+
+
+def with_measures(df: DataFrame) -> DataFrame:
+    """All five measures from the two text numbers."""
+    return with_derived(with_numbers(df))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.functions import clean_percent, clean_price
+from tapeloom.plans.trades import with_numbers
 from tapeloom.session import configure
 
 # The tables the operators are shown on.
@@ -39,7 +39,4 @@ def trades_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trades_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades with the two text numbers cleaned."""
-    trades = trades_raw(spark, sf_dir)
-    return trades.withColumns(
-        {"Price": clean_price("Price"), "percentage_change": clean_percent("percentage_change")}
-    )
+    return with_numbers(trades_raw(spark, sf_dir))
