@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tapeloom.llm.byte_bpe import round_trip, serialized_ranks
+from tapeloom.llm import language_id, quality_rules
 from tapeloom.llm.token_files import tokens_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,9 +25,21 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), serialized_ranks())
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(_table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predicted(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_token_files": op3_token_files,
     "op5_byte_bpe": op5_byte_bpe,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_language_id": op9_language_id,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_quality_rules": quality_rules.ORACLE_SQL,
+}
