@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tapeloom.llm.byte_bpe import round_trip, serialized_ranks
-from tapeloom.llm import language_id, quality_rules
+from tapeloom.llm import language_id, license_scan, quality_rules
 from tapeloom.llm.token_files import tokens_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,11 +33,16 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predicted(_table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_token_files": op3_token_files,
     "op5_byte_bpe": op5_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE: dict[str, str] = {
