@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tapeloom.llm.byte_bpe import round_trip, serialized_ranks
-from tapeloom.llm import language_id, license_scan, quality_rules
+from tapeloom.llm import language_id, license_scan, lz_fingerprint, mixing, quality_rules, url_filters
 from tapeloom.llm.token_files import tokens_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,14 +17,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_fingerprint.compared_with_edits(_table(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return url_filters.judged(url_filters.captures_of(pages), url_filters.entries_of(pages))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), serialized_ranks())
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.selected(mixing.leaves_of(_table(spark, sf_dir, "documents")), mixing.TARGETS)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(_table(spark, sf_dir, "documents"))
 
@@ -38,13 +51,17 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_lz_fingerprint": op2_lz_fingerprint,
     "op3_token_files": op3_token_files,
+    "op4_url_filters": op4_url_filters,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_license_scan": op10_license_scan,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_url_filters": url_filters.ORACLE_SQL,
     "op8_quality_rules": quality_rules.ORACLE_SQL,
 }
