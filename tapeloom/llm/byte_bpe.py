@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -25,7 +26,9 @@ from tapeloom.llm.common import id_and_text, slices
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 # Pieces a worker remembers; when they are more it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
+# Characters that are a match of their own where they end a word.
+ENDS = ".,;:!?"
 
 
 def byte_characters() -> list[str]:
@@ -108,44 +111,66 @@ def encode_with_offsets(tokenizer: Tokenizer, text: str) -> tuple[list[int], lis
     return encoded.ids, encoded.offsets
 
 
+class _Whole(Exception):
+    """The text must be encoded in one piece."""
+
+
+class _Pieces(dict):
+    """Ids of pieces that follow a space, worked out when first asked for."""
+
+    def __init__(self, tokenizer: Tokenizer, dtype: type):
+        super().__init__()
+        self.tokenizer, self.model, self.code = tokenizer, tokenizer.model, np.dtype(dtype).char
+        self.shown = dict(enumerate(byte_characters()))
+        self.ends = {end: self._match(end) for end in ENDS}
+
+    def _match(self, text: str) -> bytes:
+        """Ids of text that is one match of the pattern, straight from the library's model."""
+        written = text.encode().decode("latin-1").translate(self.shown)
+        return array(self.code, [token.id for token in self.model.tokenize(written)]).tobytes()
+
+    def __missing__(self, piece: str) -> bytes:
+        if not piece or piece[0].isspace():
+            raise _Whole
+        if piece.isalpha():
+            ids = self._match(f" {piece}")
+        elif piece[-1] in self.ends and piece[:-1].isalpha():
+            ids = self[piece[:-1]] + self.ends[piece[-1]]
+        else:
+            ids = array(self.code, self.tokenizer.encode(f" {piece}", add_special_tokens=False).ids).tobytes()
+        self[piece] = ids
+        return ids
+
+
 class PieceEncoder:
     """Ids of whole texts, as a numpy array each.
 
     A text may be cut before a space that stands before a character other than white space: no match of
     the pattern goes over such a cut, and the matches on both sides are the same without the other side.
-    A text in which a space stands elsewhere is encoded in one piece.
+    A text in which a space stands elsewhere is encoded in one piece. A space and letters are one match,
+    and one of ENDS after letters is another.
     """
 
     def __init__(self, tokenizer: Tokenizer, remembered: int = REMEMBERED):
-        self.tokenizer = tokenizer
-        self.remembered = remembered
+        self.tokenizer, self.remembered = tokenizer, remembered
         self.dtype = np.uint16 if tokenizer.get_vocab_size() <= 65536 else np.uint32
-        self.known: dict[str, bytes] = {}
+        self.pieces = _Pieces(tokenizer, self.dtype)
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(entry.ids, self.dtype).tobytes() for entry in found]
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        if len(self.known) > self.remembered:
-            self.known.clear()
-        heads, tails, whole = [], [], []
-        for i, text in enumerate(texts):
+        found = []
+        for text in texts:
+            if len(self.pieces) > self.remembered:
+                self.pieces.clear()
             head, *tail = text.split(" ")
-            if any(not piece or piece[0].isspace() for piece in set(tail).difference(self.known)):
-                whole.append(i)
-                head, tail = "", []
-            heads.append(head)
-            tails.append(tail)
-        new = list(set().union(*tails).difference(self.known))
-        self.known.update(zip(new, self._encoded([f" {piece}" for piece in new])))
-        firsts = list(set(heads))
-        first = dict(zip(firsts, self._encoded(firsts)))
-        piece_ids = self.known.__getitem__
-        joined = [first[head] + b"".join(map(piece_ids, tail)) for head, tail in zip(heads, tails)]
-        for i, ids in zip(whole, self._encoded([texts[i] for i in whole])):
-            joined[i] = ids
-        return [np.frombuffer(ids, self.dtype) for ids in joined]
+            try:
+                ids = self._whole(head) + b"".join(map(self.pieces.__getitem__, tail))
+            except _Whole:
+                ids = self._whole(text)
+            found.append(np.frombuffer(ids, self.dtype))
+        return found
 
 
 @lru_cache(maxsize=4)
