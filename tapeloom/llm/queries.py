@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tapeloom.llm.byte_bpe import round_trip, serialized_ranks
-from tapeloom.llm import language_id, license_scan, lz_fingerprint, mixing, quality_rules, url_filters
+from tapeloom.llm import language_id, license_scan, lz_fingerprint, mixing, ngram_join, quality_rules, url_filters
 from tapeloom.llm.token_files import tokens_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op2_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_fingerprint.compared_with_edits(_table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_lz_fingerprint": op2_lz_fingerprint,
     "op3_token_files": op3_token_files,
     "op4_url_filters": op4_url_filters,
