@@ -43,7 +43,7 @@ class Settings:
     """Words in a shingle, and the percentage of the union that the intersection must reach.
 
     ``often``: a shingle is noted as frequent in a task when it is in that many of its documents, and
-    ``noted`` such shingles at most are put last in the order. Both only move work, never results.
+    fewer than ``noted`` such shingles are put last in the order. Both only move work, never results.
     ``members``: rows of a group, block or pivot in one task, about.
     """
 
@@ -122,7 +122,7 @@ def _signed(array: np.ndarray) -> pa.Array:
 
 
 def frequent_shingles(docs: DataFrame, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles of all documents and about how many have them, at most ``noted``.
+    """The frequent shingles of all documents and about how many have them, fewer than ``noted``.
 
     Shingles are counted exactly inside a task, in stretches of bounded size, and those seen ``often``
     there are summed up over all tasks.
@@ -148,9 +148,10 @@ def frequent_shingles(docs: DataFrame, settings: Settings) -> tuple[np.ndarray,
         yield flush()
 
     counted = id_and_text(docs).mapInArrow(count, "shingle bigint, times bigint")
-    summed = counted.groupBy("shingle").agg(F.sum("times").alias("times"))
-    top = summed.orderBy(F.desc("times"), "shingle").limit(settings.noted).toPandas()
-    top = top.sort_values("shingle")
+    summed = scratch.keep(counted.groupBy("shingle").agg(F.sum("times").alias("times")), "frequent")
+    total = summed.agg(F.sum("times")).first()[0] or 0
+    # Fewer than ``noted`` shingles can each have more than one in ``noted`` of what was counted.
+    top = summed.where(F.col("times") * settings.noted > total).toPandas()
     values = top["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(values)
     return values[order], top["times"].to_numpy(np.int64)[order]

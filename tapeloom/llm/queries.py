@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tapeloom.llm.byte_bpe import round_trip, serialized_ranks
-from tapeloom.llm import language_id, license_scan, lz_fingerprint, mixing, ngram_join, quality_rules, url_filters
+from tapeloom.llm import language_id, license_scan, lm_score, lz_fingerprint, mixing, ngram_join, quality_rules, url_filters
 from tapeloom.llm.token_files import tokens_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), serialized_ranks())
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.scored(_table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.selected(mixing.leaves_of(_table(spark, sf_dir, "documents")), mixing.TARGETS)
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_files": op3_token_files,
     "op4_url_filters": op4_url_filters,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_lm_score": op6_lm_score,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
