@@ -118,7 +118,9 @@ def _with_next(docs: DataFrame, parts: int | None) -> DataFrame:
     That last row has ``guest`` set; the last range ends with the first row of all. Equal ids are ordered
     by text, and NULL ids come first.
     """
-    rows = id_and_text(docs).withColumn("key", F.coalesce("doc_id", F.lit(_FIRST_KEY)))
+    rows = id_and_text(docs).withColumns(
+        {"key": F.coalesce("doc_id", F.lit(_FIRST_KEY)), "text": F.coalesce("text", F.lit(""))}
+    )
     bounds = F.lit(id_bounds(docs, parts=parts)).cast("array<bigint>")
     rows = rows.withColumn("part", F.size(F.filter(bounds, lambda bound: bound <= F.col("key"))))
     # One entry for each range, of which there are as many as shuffle partitions at most.
