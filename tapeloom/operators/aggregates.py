@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tapeloom.functions.text import clean_price, strip_rupee
+from tapeloom.functions.text import strip_rupee
 
 
 def sum_by(df: DataFrame, keys: str | Sequence[str], value: str, alias: str = "total") -> DataFrame:
@@ -20,13 +20,14 @@ def sum_by(df: DataFrame, keys: str | Sequence[str], value: str, alias: str = "t
 def ceil_sum(
     df: DataFrame, keys: str | Sequence[str], value: str, alias: str = "total", clean: bool = True
 ) -> DataFrame:
-    """Round every value up, then sum per group, as bigint.
+    """Round every value up as a float, then sum per group, as bigint.
 
-    Text is cleaned to a number first; ``clean=False`` strips only the rupee sign, so text with
-    thousands commas counts as NULL.
+    Of text the rupee sign and thousands commas are removed first; sign and exponent count. With
+    ``clean=False`` only the rupee sign is, so text with commas counts as NULL. What is no number is NULL.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     amount = F.col(value)
     if isinstance(df.select(value).schema[0].dataType, StringType):
-        amount = clean_price(amount) if clean else strip_rupee(amount)
-    return df.groupBy(*keys).agg(F.sum(F.ceil(amount)).alias(alias))
+        amount = strip_rupee(F.replace(amount, F.lit(","), F.lit("")) if clean else amount)
+    whole = F.ceil(amount.try_cast("float")).cast("bigint")
+    return df.groupBy(*keys).agg(F.sum(whole).alias(alias))

@@ -53,11 +53,10 @@ def join_lookup(
             by_turns = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
             rows = rows.repartition(*spread_by) if spread_by else rows.repartition(by_turns)
         return _equi_join(rows, F.broadcast(lookup), on, how, null_safe)
-    hot = skew.hot_keys(rows, on, hot_rows)
-    if not hot:
+    split = skew.salted(rows, lookup, on, hot_rows, spread_by or rows.columns)
+    if split is None:
         return _equi_join(rows, lookup, on, how, null_safe)
-    dealt, repeated = skew.salted(rows, lookup, on, hot, hot_rows, spread_by or rows.columns)
-    return _equi_join(dealt, repeated, on, how, null_safe, extra=["_salt"])
+    return _equi_join(*split, on, how, null_safe, extra=[skew.SALT])
 
 
 def _spelt(df: DataFrame, key: str) -> str:

@@ -3,80 +3,106 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with more than 1 / HOT_KEYS of all rows is always found, so there are never more than that many.
-HOT_KEYS = 4000
-# Counters per sketch; the sketch errs by about 3.5 / 32768 of all rows, under half of 1 / HOT_KEYS.
-TRACKED = 20000
-# Sketches are merged in this many groups before the last merge.
-MERGES = 256
+from tapeloom import scratch
+
 # A group of up to this many rows is one task's work.
 GROUP_ROWS = 5_000_000
+# A table of hot keys measured at up to this size is sent to every executor.
+HOT_BYTES = 64 * 1024 * 1024
+# Names of helper columns, which no table of a user has.
+HASH, ROWS, PIECES, SALT = "__tapeloom_hash", "__tapeloom_rows", "__tapeloom_pieces", "__tapeloom_salt"
+
+
+@dataclass(frozen=True)
+class Hot:
+    """The keys over the bound: a written table of their hashes and rows, how many they are, and their rows.
+
+    A table of n rows has fewer than n / bound such keys, so nothing limits their number.
+    """
+
+    table: DataFrame
+    keys: int
+    rows: int
+
+    def small(self) -> DataFrame:
+        """The table, to be broadcast if it is measured to fit."""
+        return F.broadcast(self.table) if 32 * self.keys <= HOT_BYTES else self.table
 
 
 def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(key) for key in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], above: int = GROUP_ROWS) -> dict[int, int]:
-    """Hash and estimated rows of every key that holds over ``above`` rows.
+def _kept(counts: DataFrame) -> Hot | None:
+    table, size, _ = scratch.keep_measured(counts, "hot", [HASH])
+    if not size.rows:
+        return None
+    return Hot(table, size.rows, table.agg(F.sum(ROWS)).first()[0])
 
-    One narrow pass with a sketch of fixed size per task; at most ``HOT_KEYS`` entries come back.
+
+def hot_keys(df: DataFrame, keys: Sequence[str], above: int = GROUP_ROWS) -> Hot | None:
+    """Every key that holds over ``above`` rows, counted exactly; None if there is none.
+
+    One narrow pass with partial counts, so a hot key shuffles one row per task.
     """
-    sketches = (
-        df.select(key_hash(keys).alias("key"), F.pmod(F.spark_partition_id(), F.lit(MERGES)).alias("part"))
-        .groupBy("part")
-        .agg(F.expr(f"approx_top_k_accumulate(key, {TRACKED})").alias("sketch"))
-    )
-    # Grouped, as Spark 4.1 cannot combine sketches in a partition that has none.
-    top = sketches.groupBy(F.lit("all")).agg(
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED}), {HOT_KEYS})").alias("top")
-    )
-    entries = top.select(F.inline("top"))
-    return {row["item"]: row["count"] for row in entries.where(F.col("count") > above).take(HOT_KEYS)}
-
-
-def hot_among(counts: DataFrame, keys: Sequence[str], rows: str, above: int = GROUP_ROWS) -> dict[int, int]:
-    """The same from a table that already holds the number of rows per key: the largest ``HOT_KEYS``."""
-    per_key = counts.where(F.col(rows) > above).groupBy(*keys).agg(F.max(rows).alias("_rows"))
-    largest = per_key.orderBy(F.desc("_rows")).limit(HOT_KEYS).select(key_hash(keys).alias("_hash"), "_rows")
-    return {row["_hash"]: row["_rows"] for row in largest.collect()}
+    counts = df.select(key_hash(keys).alias(HASH)).groupBy(HASH).agg(F.count(F.lit(1)).alias(ROWS))
+    return _kept(counts.where(F.col(ROWS) > above))
+
+
+def hot_among(counts: DataFrame, keys: Sequence[str], rows: str, above: int = GROUP_ROWS) -> Hot | None:
+    """The same from a table that already holds the number of rows per key."""
+    over = counts.where(F.col(rows) > above).select(key_hash(keys).alias(HASH), F.col(rows).alias(ROWS))
+    return _kept(over.groupBy(HASH).agg(F.max(ROWS).alias(ROWS)))
 
 
 def on_hot_and_cold(
     df: DataFrame,
     keys: Sequence[str],
-    hot: dict[int, int],
+    hot: Hot | None,
     cold_form: Callable[[DataFrame], DataFrame],
     hot_form: Callable[[DataFrame, int], DataFrame],
 ) -> DataFrame:
-    """Treat rows of hot keys one way, told how many to expect, and all others another way."""
+    """Treat rows of hot keys one way, told how many to expect, and all others another way.
+
+    The result has the types of the cold form whether or not a key is hot.
+    """
     if not hot:
         return cold_form(df)
-    is_hot = key_hash(keys).isin(list(hot))
-    return cold_form(df.where(~is_hot)).unionByName(hot_form(df.where(is_hot), sum(hot.values())))
+    is_hot = key_hash(keys) == F.col(HASH)
+    cold = cold_form(df.join(hot.small(), is_hot, "left_anti"))
+    split = hot_form(df.join(hot.small(), is_hot, "left_semi"), hot.rows)
+    return cold.unionByName(split.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in cold.schema]))
 
 
 def salted(
-    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], hot: dict[int, int], piece: int, spread_by: Sequence[str]
-) -> tuple[DataFrame, DataFrame]:
-    """Both sides of a join with a ``_salt`` column to join on besides the keys.
-
-    Rows of a hot key are dealt out over pieces of about ``piece`` rows, and its lookup rows repeated
-    once for each piece. All other rows get salt 0. The salt also depends on the input partition, which
-    spreads copies of one row and is the same when a task runs again.
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], above: int, spread_by: Sequence[str]
+) -> tuple[DataFrame, DataFrame] | None:
+    """Both sides of a join with a SALT column to join on besides the keys; None if no key puts out much.
+
+    Rows of a key that puts out over ``above`` rows are dealt out over pieces of about that output, one
+    row in a piece at least, and its lookup rows repeated once for each piece. All other rows get salt 0.
+    The salt also depends on the input partition, which spreads copies of one row and is the same when a
+    task runs again.
     """
-    spark = rows.sparkSession
-    pieces = spark.createDataFrame([(h, n // piece + 1) for h, n in hot.items()], "_hash bigint, _pieces bigint")
-    pieces = F.broadcast(pieces)  # one row per hot key: HOT_KEYS at most
-    count = F.coalesce("_pieces", F.lit(1))
+    left = rows.select(key_hash(keys).alias(HASH)).groupBy(HASH).agg(F.count(F.lit(1)).alias(ROWS))
+    right = lookup.select(key_hash(keys).alias(HASH)).groupBy(HASH).agg(F.count(F.lit(1)).alias(PIECES))
+    output = F.col(ROWS).cast("decimal(38,0)") * F.greatest(F.coalesce(PIECES, F.lit(1)), F.lit(1))
+    both = left.join(right, HASH, "left").where(output > above)
+    wanted = F.least(F.floor(output / above) + 1, F.col(ROWS)).cast("bigint")
+    pieces, size, _ = scratch.keep_measured(both.select(HASH, wanted.alias(PIECES)), "pieces", [HASH])
+    if not size.rows:
+        return None
+    pieces = F.broadcast(pieces) if size.bytes <= HOT_BYTES else pieces
+    count = F.coalesce(PIECES, F.lit(1).cast("bigint"))
 
     def with_pieces(df: DataFrame) -> DataFrame:
-        return df.withColumn("_hash", key_hash(keys)).join(pieces, "_hash", "left")
+        return df.withColumn(HASH, key_hash(keys)).join(pieces, HASH, "left")
 
-    dealt = with_pieces(rows).withColumn("_salt", F.pmod(F.xxhash64(*spread_by, F.spark_partition_id()), count))
-    repeated = with_pieces(lookup).withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)))
-    return dealt.drop("_hash", "_pieces"), repeated.drop("_hash", "_pieces")
+    dealt = with_pieces(rows).withColumn(SALT, F.pmod(F.xxhash64(*spread_by, F.spark_partition_id()), count))
+    repeated = with_pieces(lookup).withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)))
+    return dealt.drop(HASH, PIECES), repeated.drop(HASH, PIECES)

@@ -16,6 +16,10 @@ from tapeloom.operators import skew
 from tapeloom.operators.joins import BROADCAST_BYTES, join_lookup
 
 
+# Names of helper columns, which no table of a user has.
+_BEFORE = {"__tapeloom_sum": "__tapeloom_before_sum", "__tapeloom_count": "__tapeloom_before_count"}
+
+
 def _listed(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
@@ -26,12 +30,14 @@ def rank_within(
     order_by: str | Sequence[str],
     name: str = "rank",
     group_rows: int = skew.GROUP_ROWS,
-    hot: dict[int, int] | None = None,
+    hot: skew.Hot | None = None,
     rank_type: str = "int",
+    looked: bool = False,
 ) -> DataFrame:
     """Number the rows of each group from 1, in the order of ``order_by``; any order among equals.
 
-    ``hot``, as ``skew.hot_among`` gives it, spares the pass that looks for hot keys. A group of over
+    ``hot``, as ``skew.hot_among`` gives it, spares the pass that looks for hot keys, and so does
+    ``looked`` where there are none. A group of over
     2 billion rows needs ``rank_type="bigint"``; with ``int`` it is an error, not a wrap.
     """
     keys, order_by = _listed(keys), _listed(order_by)
@@ -44,14 +50,14 @@ def rank_within(
 
     def by_position(part: DataFrame, rows: int) -> DataFrame:
         spans = _sorted_spans(part, keys, order_by, rows)
-        heads = spans.groupBy(*keys, "_span").agg(F.min("_position").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-        earlier = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-        heads = heads.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
-        ranked = join_lookup(spans, heads, [*keys, "_span"], "inner", null_safe=True, spread_by=["_position"])
-        rank = F.col("_before") + F.col("_position") - F.col("_first") + 1
+        heads = spans.groupBy(*keys, "__tapeloom_span").agg(F.min("__tapeloom_position").alias("__tapeloom_first"), F.count(F.lit(1)).alias("__tapeloom_rows"))
+        earlier = Window.partitionBy(*keys).orderBy("__tapeloom_span").rowsBetween(Window.unboundedPreceding, -1)
+        heads = heads.withColumn("__tapeloom_before", F.coalesce(F.sum("__tapeloom_rows").over(earlier), F.lit(0))).drop("__tapeloom_rows")
+        ranked = join_lookup(spans, heads, [*keys, "__tapeloom_span"], "inner", null_safe=True, spread_by=["__tapeloom_position"])
+        rank = F.col("__tapeloom_before") + F.col("__tapeloom_position") - F.col("__tapeloom_first") + 1
         return ranked.withColumn(name, rank.cast(rank_type)).select(*part.columns, name)
 
-    if hot is None:
+    if hot is None and not looked:
         hot = skew.hot_keys(df, keys, group_rows)
     return skew.on_hot_and_cold(df, keys, hot, windowed, by_position)
 
@@ -63,15 +69,15 @@ def _sorted_spans(df: DataFrame, keys: list[str], order_by: list[str], rows: int
     column: the partition they come from sets them apart, the same one when a task runs again.
     ``_span`` and ``_position`` rise with the order. ``rows`` is the number expected.
     """
-    order = [*keys, *order_by, "_from"]
-    df = df.withColumn("_from", F.spark_partition_id())
+    order = [*keys, *order_by, "__tapeloom_from"]
+    df = df.withColumn("__tapeloom_from", F.spark_partition_id())
     spans = rows // skew.GROUP_ROWS + 1
     if spans > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         ranged = df.repartitionByRange(spans, *order)
     else:
         ranged = df.repartitionByRange(*order)
-    sorted_rows = ranged.sortWithinPartitions(*order).drop("_from")
-    numbered = sorted_rows.withColumns({"_span": F.spark_partition_id(), "_position": F.monotonically_increasing_id()})
+    sorted_rows = ranged.sortWithinPartitions(*order).drop("__tapeloom_from")
+    numbered = sorted_rows.withColumns({"__tapeloom_span": F.spark_partition_id(), "__tapeloom_position": F.monotonically_increasing_id()})
     return scratch.keep(numbered, "spans")
 
 
@@ -120,7 +126,7 @@ def running_totals(
     total: str = "total",
     average: str = "average",
     group_rows: int = skew.GROUP_ROWS,
-    hot: dict[int, int] | None = None,
+    hot: skew.Hot | None = None,
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Sum and average from the start of each group up to the row; rows equal in order share a value.
@@ -139,9 +145,9 @@ def running_totals(
         return part.withColumns({total: F.sum(value).over(frame), average: F.avg(value).over(frame)})
 
     def by_steps(part: DataFrame, _: int) -> DataFrame:
-        steps = part.groupBy(*keys, *order_by).agg(F.sum(value).alias("_sum"), F.count(value).alias("_count"))
+        steps = part.groupBy(*keys, *order_by).agg(F.sum(value).alias("__tapeloom_sum"), F.count(value).alias("__tapeloom_count"))
         steps = scratch.keep(steps, "steps")
-        sums = {"_sum": F.sum("_sum"), "_count": F.sum("_count")}
+        sums = {"__tapeloom_sum": F.sum("__tapeloom_sum"), "__tapeloom_count": F.sum("__tapeloom_count")}
 
         def summed(some: DataFrame) -> DataFrame:
             frame = up_to_here(keys)
@@ -149,25 +155,25 @@ def running_totals(
 
         def in_spans(some: DataFrame, rows: int) -> DataFrame:
             spans = _sorted_spans(some, keys, order_by, rows)
-            heads = spans.groupBy(*keys, "_span").agg(*[m.alias(f"_before{n}") for n, m in sums.items()])
-            earlier = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-            heads = heads.withColumns({f"_before{n}": F.sum(f"_before{n}").over(earlier) for n in sums})
-            frame = up_to_here([*keys, "_span"])
+            heads = spans.groupBy(*keys, "__tapeloom_span").agg(*[m.alias(_BEFORE[n]) for n, m in sums.items()])
+            earlier = Window.partitionBy(*keys).orderBy("__tapeloom_span").rowsBetween(Window.unboundedPreceding, -1)
+            heads = heads.withColumns({_BEFORE[n]: F.sum(_BEFORE[n]).over(earlier) for n in sums})
+            frame = up_to_here([*keys, "__tapeloom_span"])
             local = spans.withColumns({name: measure.over(frame) for name, measure in sums.items()})
-            offset = join_lookup(local, heads, [*keys, "_span"], "inner", null_safe=True, spread_by=["_position"])
+            offset = join_lookup(local, heads, [*keys, "__tapeloom_span"], "inner", null_safe=True, spread_by=["__tapeloom_position"])
             zero = F.lit(0)
             both = F.when(
-                F.coalesce("_sum", "_before_sum").isNotNull(),
-                F.coalesce("_sum", zero) + F.coalesce("_before_sum", zero),
+                F.coalesce("__tapeloom_sum", "__tapeloom_before_sum").isNotNull(),
+                F.coalesce("__tapeloom_sum", zero) + F.coalesce("__tapeloom_before_sum", zero),
             )
-            count = F.col("_count") + F.coalesce("_before_count", zero)
-            return offset.withColumns({"_sum": both, "_count": count}).select(*some.columns)
+            count = F.col("__tapeloom_count") + F.coalesce("__tapeloom_before_count", zero)
+            return offset.withColumns({"__tapeloom_sum": both, "__tapeloom_count": count}).select(*some.columns)
 
         hot_steps = skew.hot_keys(steps, keys, group_rows)
         steps = skew.on_hot_and_cold(steps, keys, hot_steps, summed, in_spans)
         joined = join_lookup(part, steps, [*keys, *order_by], "inner", null_safe=True, spread_by=spread_by)
-        mean = F.when(F.col("_count") > 0, F.col("_sum") / F.col("_count"))
-        return joined.withColumns({total: F.col("_sum"), average: mean}).select(*part.columns, total, average)
+        mean = F.when(F.col("__tapeloom_count") > 0, F.col("__tapeloom_sum") / F.col("__tapeloom_count"))
+        return joined.withColumns({total: F.col("__tapeloom_sum"), average: mean}).select(*part.columns, total, average)
 
     if hot is None:
         hot = skew.hot_keys(df, keys, group_rows)

@@ -42,7 +42,13 @@ class Job:
 
 
 def run(spark: SparkSession, job: Job) -> dict[str, int]:
-    """Run a job; returns the rows written, and the rows that fail each rule."""
+    """Run a job; returns the rows written, and for each rule the rows that fail it.
+
+    Rows for which a rule is NULL are counted as ``<rule> undecided``. With mode ``ignore`` and a target
+    table that exists nothing runs and the result is empty.
+    """
+    if "rows" in job.rules:
+        raise ValueError("a rule cannot be named rows")
     if bool(job.target_table) == bool(job.target_root):
         raise ValueError("give a target table or a target root")
     if job.target_root and job.day is None:
@@ -62,7 +68,9 @@ def run(spark: SparkSession, job: Job) -> dict[str, int]:
     else:
         build = silver if job.plan == "silver" else silver_by_company
         result = build(trades, job.row_key, job.options)
-    observe = {"rows": F.count(F.lit(1)), **{name: F.count_if(~rule) for name, rule in job.rules.items()}}
+    observe = {"rows": F.count(F.lit(1))}
+    for name, rule in job.rules.items():
+        observe |= {name: F.count_if(~rule), f"{name} undecided": F.count_if(rule.isNull())}
     if job.target_table:
         return write_table(result, job.target_table, job.mode, job.format, job.writer_options, observe)
     path = dated_path(job.target_root, job.day)

@@ -26,8 +26,8 @@ from tapeloom.operators.skew import GROUP_ROWS, hot_among
 from tapeloom.operators.windows import rank_within
 from tapeloom.plans.trades import CALENDAR, MEASURES, with_calendar, with_derived, with_numbers
 
-# Sets of exchanges are compared as arrays up to this many exchanges; beyond it each company ranks alone.
-EXCHANGES_IN_A_SET = 10_000
+# Fixed value: the most rows an int rank can number.
+INT_RANK = 2**31 - 1
 
 # The silver columns in table order, before their names are put in upper case.
 COLUMNS = [
@@ -84,6 +84,12 @@ def rank_order(rows: DataFrame, row_key: Sequence[str]) -> list[str]:
     return [*row_key, "Stock"] if row_key else rows.columns
 
 
+def checked_rank(rank_type: str, largest: int) -> None:
+    """Refuse before the run what would overflow at its end."""
+    if rank_type == "int" and largest > INT_RANK:
+        raise ValueError(f"a group has {largest} rows; use rank_type='bigint'")
+
+
 def silver(
     trades: DataFrame, row_key: Sequence[str] = ("trade_id",), options: SilverOptions = SilverOptions()
 ) -> DataFrame:
@@ -102,14 +108,15 @@ def silver(
     # Part of the table just measured, one row per key.
     sets_size = replace(size, rows=size.keys) if size.bytes <= options.broadcast_bytes else None
     in_sets = join_lookup(rows, sets, "Exchange", "inner", null_safe=True, size=sets_size, **limits)
-    hot, stored = {}, False
+    checked_rank(options.rank_type, largest)
+    hot, stored = None, False
     if largest > options.group_rows:
         hot = hot_among(companies, ["_set"], "_set_rows", options.group_rows)
-        stored = len(hot) == companies.select("_set").distinct().count()
+        stored = hot is not None and hot.keys == companies.select("_set").distinct().count()
 
     def ranked(some: DataFrame) -> DataFrame:
         order = rank_order(rows, row_key)
-        return rank_within(some, "_set", order, "Company_Rank", options.group_rows, hot, options.rank_type)
+        return rank_within(some, "_set", order, "Company_Rank", options.group_rows, hot, options.rank_type, looked=True)
 
     # Enriched late, fewer columns are sorted; but rows that come stored are enriched in store, so that
     # the work is not done again for each row a trade is multiplied to.
@@ -130,14 +137,15 @@ def companies_by_exchange(rows: DataFrame) -> DataFrame:
     counts = rows.groupBy("Stock", "Exchange").agg(
         F.count(F.lit(1)).alias("_rows"), F.sum(F.round("Price")).alias("_sum"), F.count("Price").alias("_priced")
     )
-    counts, exchanges, _ = scratch.keep_measured(counts, "counts", ["Exchange"])
+    counts = scratch.keep(counts, "counts")
     per_exchange = counts.groupBy("Exchange").agg(*[F.sum(name).alias(name) for name in ("_rows", "_sum", "_priced")])
     seen = counts.where(F.col("Exchange").isNotNull()).select(F.col("Stock").alias("Company"), "Exchange")
     met = per_exchange.join(seen, "Exchange", "left")
 
-    few = exchanges.keys <= EXCHANGES_IN_A_SET
-    exchange = F.struct(F.col("Exchange").isNull().alias("none"), "Exchange")
-    members = F.sort_array(F.collect_set(exchange)) if few else F.first(F.struct("Company"))
+    # A digest of the set that needs no array: rows are distinct here, so sums and a count tell sets apart.
+    code = F.md5(F.to_json(F.struct(F.col("Exchange").isNull().alias("none"), "Exchange")))
+    halves = [F.conv(F.substring(code, at, 15), 16, 10).cast("decimal(38,0)") for at in (1, 17)]
+    members = F.struct(F.count(F.lit(1)).alias("n"), *[F.sum(half).alias(f"h{i}") for i, half in enumerate(halves)])
     per_company = met.groupBy("Company").agg(
         F.sum("_sum").alias("Total_Price"),
         (F.sum("_sum") / F.nullif(F.sum("_priced"), F.lit(0))).alias("Average_Price"),
@@ -167,9 +175,10 @@ def silver_by_company(
         F.sum(price).alias("Total_Price"), F.avg(price).alias("Average_Price"), F.count(F.lit(1)).alias("_rows")
     )
     per_company, size, largest = scratch.keep_measured(per_company, "companies", ["Company"], largest="_rows")
-    hot = hot_among(per_company, ["Company"], "_rows", options.group_rows) if largest > options.group_rows else {}
+    checked_rank(options.rank_type, largest)
+    hot = hot_among(per_company, ["Company"], "_rows", options.group_rows) if largest > options.group_rows else None
     ranked = rank_within(
-        matched, "Company", rank_order(rows, row_key), "Company_Rank", options.group_rows, hot, options.rank_type
+        matched, "Company", rank_order(rows, row_key), "Company_Rank", options.group_rows, hot, options.rank_type, looked=True
     )
     joined = join_lookup(
         enriched(ranked, options),

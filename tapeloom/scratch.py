@@ -23,7 +23,7 @@ def folder(spark: SparkSession) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         if not _own_folder:
             _own_folder.append(tempfile.mkdtemp(prefix="tapeloom-"))

@@ -24,7 +24,12 @@ def write_table(
     options: Mapping[str, object] | None = None,
     observe: Mapping[str, Column] | None = None,
 ) -> dict[str, object]:
-    """Save as a catalog table; returns the observed values, if any were asked for."""
+    """Save as a catalog table; returns the observed values, if any were asked for.
+
+    With ``ignore`` and a table that exists nothing is written and nothing observed: an empty result.
+    """
+    if mode.lower() == "ignore" and table and df.sparkSession.catalog.tableExists(table):
+        return {}
     return _write(df, mode, format, options, observe, table, lambda writer: writer.saveAsTable(table))
 
 

@@ -195,6 +195,15 @@ def test_ceil_sum(spark):
     assert ceil_sum(df, "k", "price").dtypes[1] == ("total", "bigint")
 
 
+def test_ceil_sum_keeps_sign_and_exponent(spark):
+    for text, total in (("-12.5", -12), ("₹-3", -3), ("1e3", 1000), ("₹1,234.5", 1235), ("x", None)):
+        df = spark.createDataFrame([("a", text)], "k string, price string")
+        assert ceil_sum(df, "k", "price").first()["total"] == total
+    wide = spark.sql("select 'a' as k, cast(100000000.3 as double) as v, cast(1.5 as decimal(12,2)) as d")
+    assert ceil_sum(wide, "k", "v").first()["total"] == 100_000_000
+    assert ceil_sum(wide, "k", "d").dtypes[1] == ("total", "bigint") and ceil_sum(wide, "k", "d").first()["total"] == 2
+
+
 def test_ceil_sum_of_numbers(spark):
     df = spark.createDataFrame([("a", 1.2), ("a", -1.2), ("a", 3.0)], "k string, v double")
     assert ceil_sum(df, "k", "v").first()["total"] == 2 - 1 + 3

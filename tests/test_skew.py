@@ -9,10 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeloom.operators import join_lookup, rank_within, running_totals, totals_over
-from tapeloom.operators.skew import hot_keys, key_hash, salted
+from tapeloom.operators.skew import HASH, ROWS, SALT, hot_among, hot_keys, key_hash, salted
 from tapeloom.operators.windows import _sorted_spans
 from tapeloom.plans import flat, silver, silver_by_company
-from tapeloom.plans.silver_table import SilverOptions
+from tapeloom.plans.silver_table import SilverOptions, checked_rank
 from tapeloom.registry.oracle import FLAT, SILVER, SILVER_BY_COMPANY
 from tests.compare import assert_equal
 
@@ -73,8 +73,27 @@ def db(trades):
 def test_hot_keys_are_found(skewed):
     found = hot_keys(skewed, ["k"], 250)
     names = {row["h"]: row["k"] for row in skewed.select("k", key_hash(["k"]).alias("h")).distinct().collect()}
-    assert {names[h] for h in found} == {"hot", None}
-    assert hot_keys(skewed, ["id"], 1) == {}
+    counts = {names[row[HASH]]: row[ROWS] for row in found.table.collect()}
+    assert counts == {k: skewed.where(F.col("k").eqNullSafe(F.lit(k))).count() for k in ("hot", None)}
+    assert found.keys == 2 and found.rows == sum(counts.values())
+    assert hot_keys(skewed, ["id"], 1) is None
+
+
+def test_every_key_over_the_bound_is_split(spark):
+    many = spark.range(8_000 * 250).selectExpr("id % 8000 as k", "id div 8000 as v")
+    assert hot_keys(many, ["k"], 100).keys == 8_000
+    assert hot_among(many.groupBy("k").count(), ["k"], "count", 249).keys == 8_000
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "float", "double", "decimal(15,2)"])
+def test_types_do_not_depend_on_size(spark, kind):
+    rows = spark.range(300).selectExpr("id % 3 as k", "id % 7 as step", "id as __from", "id as _from", f"cast(id as {kind}) as v")
+    plain, split = (running_totals(rows, "k", "step", "v", group_rows=n) for n in (10**9, 1))
+    assert plain.dtypes == split.dtypes and rows_of(plain) == rows_of(split)
+    plain, split = (totals_over(rows, "k", "v", form="window", group_rows=n) for n in (10**9, 1))
+    assert plain.dtypes == split.dtypes and rows_of(plain) == rows_of(split)
+    plain, split = (rank_within(rows, "k", ["step", "_from"], group_rows=n) for n in (10**9, 1))
+    assert plain.dtypes == split.dtypes and rows_of(plain) == rows_of(split)
 
 
 @pytest.mark.parametrize("group_rows", [1, 300, 10_000])
@@ -90,7 +109,7 @@ def test_rank_of_copies_in_pieces(spark):
     ranked = rank_within(copies, "k", "v", "r", group_rows=100)
     assert sorted(row["r"] for row in ranked.collect()) == list(range(1, 8001))
     assert {row["v"] for row in ranked.where("r <= 6000").select("v").distinct().collect()} == {0}
-    spans = _sorted_spans(copies, ["k"], ["v"], 8000).groupBy("_span").count().collect()
+    spans = _sorted_spans(copies, ["k"], ["v"], 8000).groupBy("__tapeloom_span").count().collect()
     assert max(row["count"] for row in spans) < 3000
 
 
@@ -141,9 +160,9 @@ def test_lookup_join_is_a_plain_join(spark, skewed, null_safe, how, limits):
 def test_copies_of_one_row_are_spread(spark):
     copies = spark.range(20_000).selectExpr("'hot' as k", "1 as v").repartition(16)
     lookup = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, x int")
-    dealt, repeated = salted(copies, lookup, ["k"], hot_keys(copies, ["k"], 100), 1000, ["k", "v"])
+    dealt, repeated = salted(copies, lookup, ["k"], 1000, ["k", "v"])
     assert repeated.where("k = 'hot'").count() == 21
-    per_salt = [row["count"] for row in dealt.groupBy("_salt").count().collect()]
+    per_salt = [row["count"] for row in dealt.groupBy(SALT).count().collect()]
     assert sum(per_salt) == 20_000 and max(per_salt) < 10_000
 
 
@@ -177,9 +196,10 @@ def test_silver_by_company_with_nulls(trades, db, limits):
     assert assert_equal(got, db, f"with {SILVER_BY_COMPANY}") == trades.count()
 
 
-def test_silver_when_sets_are_too_large_to_compare(trades, db, monkeypatch):
-    monkeypatch.setattr("tapeloom.plans.silver_table.EXCHANGES_IN_A_SET", 0)
-    assert_equal(silver(trades, options=SilverOptions(**BOUNDS)), db, f"with {SILVER}")
+def test_a_rank_that_would_overflow_is_refused():
+    checked_rank("bigint", 2**31)
+    with pytest.raises(ValueError, match="bigint"):
+        checked_rank("int", 2**31)
 
 
 @pytest.mark.parametrize("group_rows", [5, 20, 10_000])
