@@ -5,8 +5,8 @@ Exact: two documents link when ``100 * intersection >= percent * union``, and no
 * Documents with one and the same set are one class; only one of each goes on.
 * Shingles are ordered from rare to frequent, in one order for all. Documents that link share one of the first
   few in that order, so only those are looked up, and passages that many documents share come last.
-* In a first round each document is held against two others of each group that shares such a shingle. Most
-  copies are then in one component, and a pair inside a component needs no further look.
+* In a first round each document is held against one other, the one that heads most of the groups it is in.
+  Most copies are then in one component, and a pair inside a component needs no further look.
 * In a second round groups are cut into tiles by bands of size, and tiles into blocks where they are large. All
   pairs of a tile from two components are looked at there, and only those that may link leave it.
 * A pair's bitmaps, in which each shingle turns one bit, bound its overlap from above. What passes is decided
@@ -49,8 +49,8 @@ class Settings:
 
     words: int = 4
     percent: int = 85
-    often: int = 8
-    noted: int = 1 << 18
+    often: int = 2
+    noted: int = 1 << 20
     members: int = 4_000
 
     def least_overlap(self, sizes: np.ndarray | int) -> np.ndarray | int:
@@ -151,10 +151,10 @@ def frequent_shingles(docs: DataFrame, settings: Settings) -> tuple[np.ndarray,
     summed = scratch.keep(counted.groupBy("shingle").agg(F.sum("times").alias("times")), "frequent")
     total = summed.agg(F.sum("times")).first()[0] or 0
     # Fewer than ``noted`` shingles can each have more than one in ``noted`` of what was counted.
-    top = summed.where(F.col("times") * settings.noted > total).toPandas()
-    values = top["shingle"].to_numpy(np.int64).view(np.uint64)
+    top = summed.where(F.col("times") * settings.noted > total).toArrow()
+    values = top.column("shingle").to_numpy().view(np.uint64)
     order = np.argsort(values)
-    return values[order], top["times"].to_numpy(np.int64)[order]
+    return values[order], top.column("times").to_numpy()[order]
 
 
 def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
@@ -206,17 +206,16 @@ def _may_link(n: np.ndarray, at: np.ndarray, m: np.ndarray, other: np.ndarray, s
 
 
 def _groups(postings: DataFrame, settings: Settings) -> DataFrame:
-    """Postings of shingles that at least two classes have among their first, with up to two partners.
+    """Postings of shingles that at least two classes have among their first, and the smallest of them.
 
-    The partners are the smallest class of the group and the next smaller one. Groups are read in order,
-    so a task holds a row of the group before, whatever its size.
+    ``partner`` is that smallest class where the two may link. Groups are read in order, so a task holds
+    two rows of the group before, whatever its size.
     """
-    names = ["shingle", "salt", "n", "rep", "at"]
+    names = ["shingle", "salt", "n", "rep", "at", "spread"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None  # rows not put out yet: the last one read
-        head = prior = None  # the first row of the last row's group, and the row before it
-        previous = None
+        head = previous = None  # the first row of the last row's group, and the last row put out
 
         def emit(rows: np.ndarray, following: np.ndarray | None) -> Iterator[pa.RecordBatch]:
             nonlocal head, previous
@@ -228,21 +227,18 @@ def _groups(postings: DataFrame, settings: Settings) -> DataFrame:
             index = np.arange(len(rows))
             starts = np.maximum.accumulate(np.where(same, -1, index))
             heads = np.where((starts >= 0)[:, None], rows[np.maximum(starts, 0)], head if head is not None else rows[0])
-            before = np.vstack([previous if previous is not None else rows[0], rows[:-1]])
             next_same = np.zeros(len(rows), bool)
             next_same[:-1] = same[1:]
             next_same[-1] = following is not None and bool((rows[-1, :2] == following[:2]).all())
-            active = same | next_same
-            partners = []
-            for other in (heads, before):
-                fits = same & (other[:, 3] != rows[:, 3]) & _may_link(rows[:, 2], rows[:, 4], other[:, 2], other[:, 4], settings)
-                partners.append(pa.array(other[:, 3][active], mask=~fits[active]))
+            active = same | next_same | (rows[:, 5] > 1)  # others of the shingle may have another salt
+            fits = same & (heads[:, 3] != rows[:, 3]) & _may_link(rows[:, 2], rows[:, 4], heads[:, 2], heads[:, 4], settings)
+            partner = pa.array(heads[:, 3][active], mask=~fits[active])
             head, previous = heads[-1].copy(), rows[-1].copy()
             if active.any():
                 kept = rows[active]
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(np.ascontiguousarray(kept[:, i])) for i in (0, 2, 3, 4)), *partners],
-                    ["shingle", "n", "rep", "at", "first", "before"],
+                    [*(pa.array(np.ascontiguousarray(kept[:, i])) for i in (0, 2, 3, 4)), partner],
+                    ["shingle", "n", "rep", "at", "partner"],
                 )
 
         for batch in batches:
@@ -256,11 +252,11 @@ def _groups(postings: DataFrame, settings: Settings) -> DataFrame:
             yield from emit(rest, None)
 
     dealt = postings.select(*[F.col(name).cast("bigint") for name in names]).repartition("shingle", "salt")
-    schema = "shingle bigint, n bigint, rep bigint, at bigint, first bigint, before bigint"
+    schema = "shingle bigint, n bigint, rep bigint, at bigint, partner bigint"
     return dealt.sortWithinPartitions(*names).mapInArrow(run, schema)
 
 
-def _bounded(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+def _bounded(pairs: DataFrame, signed: DataFrame, settings: Settings) -> DataFrame:
     """The pairs (a, b) whose bitmaps leave it open that they link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,10 +269,10 @@ def _bounded(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFr
             yield batch.select(["a", "b"]).filter(pa.array(open_ones, pa.bool_()))
 
     def side(name: str) -> DataFrame:
-        return classes.select(F.col("rep").alias(name), F.col("n").alias(f"n_{name}"), F.col("bitmap").alias(f"bits_{name}"))
+        return signed.select(F.col("doc_id").alias(name), F.col("n").alias(f"n_{name}"), F.col("bitmap").alias(f"bits_{name}"))
 
     both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    return both.mapInArrow(run, "a bigint, b bigint").distinct()
+    return scratch.keep(both.mapInArrow(run, "a bigint, b bigint").distinct(), "pairs")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
@@ -367,6 +363,10 @@ def _tiles(groups: DataFrame, labels: DataFrame, settings: Settings) -> DataFram
             if fits.any():
                 yield rep[start:i][fits], np.full(int(fits.sum()), rep[i])
 
+    def together(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        sides = [pa.array(np.concatenate([pair[i] for pair in found])) for i in (0, 1)]
+        return pa.RecordBatch.from_arrays(sides, ["a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = np.zeros((0, len(names)), np.int64)
         for last, batch in _with_last(batches):
@@ -375,9 +375,16 @@ def _tiles(groups: DataFrame, labels: DataFrame, settings: Settings) -> DataFram
             edges = [0, *cuts.tolist(), len(rows)]
             if not last:
                 rest, edges = rows[edges[-2] :], edges[:-1]
-            found = [pair for a, b in zip(edges, edges[1:]) if b - a > 1 for pair in pairs_of(rows[a:b])]
-            sides = [np.concatenate([pair[i] for pair in found]) if found else np.zeros(0, np.int64) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array(side) for side in sides], ["a", "b"])
+            found, size = [], 0
+            for a, b in zip(edges, edges[1:]):
+                for pair in pairs_of(rows[a:b]) if b - a > 1 else ():
+                    found.append(pair)
+                    size += len(pair[0])
+                    if size > 200_000:
+                        yield together(found)
+                        found, size = [], 0
+            if found:
+                yield together(found)
 
     dealt = tiled.select(*names).repartition(*keys).sortWithinPartitions(*names[:6])
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
@@ -406,24 +413,28 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     signed = scratch.keep(signatures(docs, settings), "signatures")
     filled = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     kinds = scratch.keep(filled.groupBy("digest", "n").agg(F.min("doc_id").alias("rep")), "kinds")
-    # A class is represented by the document with its smallest id.
-    chosen = kinds.select(F.col("rep").alias("doc_id"), "digest").distinct()
-    classes = filled.join(chosen, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
-    classes = scratch.keep(classes.withColumnRenamed("doc_id", "rep"), "classes")
-
-    posted = classes.select("rep", "n", F.posexplode(F.arrays_zip("first", "spread")).alias("at", "entry"))
-    postings = posted.select(
-        F.col("entry.first").alias("shingle"), F.pmod(F.xxhash64("rep"), F.col("entry.spread")).alias("salt"), "n", "rep", "at"
+    # A class is represented by the document with its smallest id; its other documents go no further.
+    own = join_lookup(filled.select("doc_id", "digest", "n"), kinds, ["digest", "n"], "inner")
+    copies = own.where("doc_id <> rep").select("doc_id", "digest", F.lit(True).alias("is_copy")).distinct()
+    firsts = join_lookup(filled.select("doc_id", "digest", "n", "first", "spread"), copies, ["doc_id", "digest"], "left")
+    posted = firsts.where(F.col("is_copy").isNull()).select(
+        F.col("doc_id").alias("rep"), "n", F.posexplode(F.arrays_zip("first", "spread")).alias("at", "entry")
     )
+    postings = posted.select(
+        F.col("entry.first").alias("shingle"), F.pmod(F.xxhash64("rep"), F.col("entry.spread")).alias("salt"),
+        "n", "rep", "at", F.col("entry.spread").alias("spread"),
+    )
     groups = scratch.keep(_groups(postings, settings), "groups")
 
-    first = groups.select(F.explode(F.array("first", "before")).alias("a"), F.col("rep").alias("b"))
-    first = scratch.keep(first.where(F.col("a").isNotNull()).distinct(), "pairs")
-    links = scratch.keep(_linked(_bounded(first, classes, settings), docs, settings), "links")
+    # The first round takes for each class the one partner that it shares most with.
+    shared = groups.where(F.col("partner").isNotNull()).groupBy("rep", "partner").agg(F.count(F.lit(1)).alias("n"))
+    best = shared.groupBy("rep").agg(F.max(F.struct(F.col("n"), F.col("partner"))).alias("best"))
+    first = scratch.keep(best.select(F.col("best.partner").alias("a"), F.col("rep").alias("b")), "first")
+    links = scratch.keep(_linked(_bounded(first, filled, settings), docs, settings), "links")
     labels = components(links)
 
     second = _tiles(groups, labels, settings).join(first, ["a", "b"], "left_anti")
-    more = scratch.keep(_linked(_bounded(second, classes, settings), docs, settings), "links")
+    more = scratch.keep(_linked(_bounded(second, filled, settings), docs, settings), "links")
     final = components(links.unionByName(more)) if not more.isEmpty() else labels
 
     joined = join_lookup(kinds, final.withColumnRenamed("node", "rep"), "rep", "left")
