@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tapeloom import scratch
 from tapeloom.llm.byte_bpe import round_trip, serialized_ranks
 from tapeloom.llm import language_id, license_scan, lm_score, lz_fingerprint, mixing, ngram_join, quality_rules, url_filters
 from tapeloom.llm.token_files import tokens_round_trip
@@ -43,7 +44,9 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.selected(mixing.leaves_of(_table(spark, sf_dir, "documents")), mixing.TARGETS)
+    # Words are counted once; what follows reads the small table.
+    leaves = scratch.keep(mixing.leaves_of(_table(spark, sf_dir, "documents")), "leaves")
+    return mixing.selected(leaves, mixing.TARGETS)
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
