@@ -34,6 +34,9 @@ from tapeloom.operators.joins import join_lookup
 SPREAD = np.array(
     [0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64
 )
+# 64-bit words of the bitmap that goes into a tile.
+SKETCH = 8
+SKETCHES = [f"sketch_{i}" for i in range(SKETCH)]
 # Words whose hashes a Python worker remembers.
 REMEMBERED = 500_000
 
@@ -94,6 +97,13 @@ def bitmap(shingles: np.ndarray) -> bytes:
     return np.packbits(turned.astype(np.uint8), bitorder="little").tobytes()
 
 
+def sketch(first: np.ndarray) -> np.ndarray:
+    """A bitmap of SKETCH words for the first shingles alone, turned in the same way."""
+    width = 64 * SKETCH
+    turned = np.bincount((first & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(turned.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def most_overlap(left: bytes, right: bytes, sizes: int) -> int:
     """A bound from above on the intersection: each bit that differs is a shingle that one set lacks.
 
@@ -168,7 +178,7 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
         frequent, times = shared.value
 
         for part in slices(batches):
-            sizes, digests, bitmaps, firsts, spreads = [], [], [], [], []
+            sizes, digests, bitmaps, firsts, spreads, sketches = [], [], [], [], [], []
             for text in part.column("text").to_pylist():
                 own = shingle_set(text, settings.words)
                 sizes.append(len(own))
@@ -181,6 +191,7 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
                 needed = len(own) - settings.least_size(len(own)) + 1 if len(own) else 0
                 first = np.argsort(seen, kind="stable")[:needed]
                 firsts.append(own[first].view(np.int64))
+                sketches.append(sketch(own[first]))
                 spreads.append((seen[first] // settings.members + 1).astype(np.int32))
             ends = pa.array(np.cumsum([0, *map(len, firsts)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
@@ -191,11 +202,13 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
                     pa.array(bitmaps, pa.binary()),
                     pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*firsts, np.zeros(0, np.int64)]))),
                     pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*spreads, np.zeros(0, np.int32)]))),
+                    *(pa.array([words[i] for words in sketches], pa.int64()) for i in range(SKETCH)),
                 ],
-                ["doc_id", "n", "digest", "bitmap", "first", "spread"],
+                ["doc_id", "n", "digest", "bitmap", "first", "spread", *SKETCHES],
             )
 
     schema = "doc_id bigint, n bigint, digest binary, bitmap binary, first array<bigint>, spread array<int>"
+    schema += "".join(f", {name} bigint" for name in SKETCHES)
     return id_and_text(docs).mapInArrow(sign, schema)
 
 
@@ -324,7 +337,19 @@ def _linked(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     return placed.mapInArrow(decide, "a bigint, b bigint")
 
 
-def _tiles(groups: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+def _firsts_may_link(n: int, bits: np.ndarray, m: np.ndarray, others: np.ndarray, settings: Settings) -> np.ndarray:
+    """Whether enough of the first shingles can be shared, by the bitmaps of those.
+
+    Of the first p of n shingles at most n - p of the needed overlap can lie behind, and what one set has
+    before its own cut the other has before its cut, for the set whose cut comes first.
+    """
+    least = settings.least_overlap(n + m)
+    first_n, first_m = n - settings.least_size(n) + 1, m - settings.least_size(m) + 1
+    shared = np.minimum(least - n + first_n, least - m + first_m)
+    return np.bitwise_count((others ^ bits).view(np.uint64)).sum(axis=1) <= first_n + first_m - 2 * shared
+
+
+def _tiles(groups: DataFrame, labels: DataFrame, signed: DataFrame, settings: Settings) -> DataFrame:
     """Pairs (a, b), a before b in size, of two components that share one of their first shingles.
 
     A tile is a shingle and a band of sizes, with the classes of the band and those of the band below. A
@@ -346,20 +371,25 @@ def _tiles(groups: DataFrame, labels: DataFrame, settings: Settings) -> DataFram
     tiled = tiled.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     other = F.explode(F.expr("sequence(0L, blocks - 1)"))
     tiled = tiled.select("*", other.alias("other"))
+    bits = signed.select(F.col("doc_id").alias("rep"), *SKETCHES, F.col("n").alias("size")).distinct()
+    tiled = join_lookup(tiled, bits, "rep", "inner").where("n = size").drop("size")
     tiled = tiled.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    names = ["shingle", "band", "low", "high", "n", "rep", "at", "label", "own", "block"]
+    names = ["shingle", "band", "low", "high", "n", "rep", "at", "label", "own", "block", *SKETCHES]
     keys = names[:4]
 
     def pairs_of(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """``rows`` of one tile in order of size."""
         band, low, high = rows[0, 1], rows[0, 2], rows[0, 3]
-        n, rep, at, label, own, block = rows[:, 4:].T
+        n, rep, at, label, own, block = rows[:, 4:10].T
+        bits = rows[:, 10:]
         least = np.searchsorted(n, settings.least_size(n))
         for i in np.flatnonzero(own == band):
             start = least[i]
             fits = (label[start:i] != label[i]) & _may_link(n[i], at[i], n[start:i], at[start:i], settings)
             if low != high:
                 fits &= block[start:i] != block[i]
+            if fits.any():
+                fits[fits] = _firsts_may_link(n[i], bits[i], n[start:i][fits], bits[start:i][fits], settings)
             if fits.any():
                 yield rep[start:i][fits], np.full(int(fits.sum()), rep[i])
 
@@ -433,7 +463,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     links = scratch.keep(_linked(_bounded(first, filled, settings), docs, settings), "links")
     labels = components(links)
 
-    second = _tiles(groups, labels, settings).join(first, ["a", "b"], "left_anti")
+    second = _tiles(groups, labels, filled, settings).join(first, ["a", "b"], "left_anti")
     more = scratch.keep(_linked(_bounded(second, filled, settings), docs, settings), "links")
     final = components(links.unionByName(more)) if not more.isEmpty() else labels
 

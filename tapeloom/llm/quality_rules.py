@@ -103,7 +103,9 @@ def measured(docs: DataFrame) -> DataFrame:
         "n_dup_lines": _count(lines) - _count(F.array_distinct(lines)),
         "n_repeat_words": F.coalesce(repeated, F.lit(0).cast("bigint")),
     }
-    return step.select(*[F.col(f"`{name}`") for name in kept], *[value.alias(name) for name, value in measures.items()])
+    # Through a generator: filters and groupings above would else take the expressions in and work them out again.
+    row = F.struct(*[value.alias(name) for name, value in measures.items()])
+    return step.select(*[F.col(f"`{name}`") for name in kept], F.inline(F.array(row)))
 
 
 def ledger(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
