@@ -6,7 +6,9 @@ Exact: two documents link when ``100 * intersection >= percent * union``, and no
 * Shingles are ordered from rare to frequent, in one order for all. Documents that link share one of the first
   few in that order, so only those are looked up, and passages that many documents share come last.
 * In a first round each document is held against one other, the one that heads most of the groups it is in.
-  Most copies are then in one component, and a pair inside a component needs no further look.
+  A group's head is the document with the fewest shingles of its own, so the original among its edited copies:
+  two copies may be too far apart, but the original links with both. Most copies are then in one component, and
+  a pair inside a component needs no further look.
 * In a second round groups are cut into tiles by bands of size, and tiles into blocks where they are large. All
   pairs of a tile from two components are looked at there, and only those that may link leave it.
 * A pair's bitmaps, in which each shingle turns one bit, bound its overlap from above. What passes is decided
@@ -170,7 +172,8 @@ def frequent_shingles(docs: DataFrame, settings: Settings) -> tuple[np.ndarray,
 def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
     """What the join needs of each document: its size, a digest of its set, its bitmap and first shingles.
 
-    ``spread`` holds for each of those over how many tasks its group is dealt.
+    ``spread`` holds for each of those over how many tasks its group is dealt. ``alone`` is the number of
+    shingles that are not noted as frequent.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, settings))
 
@@ -178,7 +181,7 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
         frequent, times = shared.value
 
         for part in slices(batches):
-            sizes, digests, bitmaps, firsts, spreads, sketches = [], [], [], [], [], []
+            sizes, digests, bitmaps, firsts, spreads, sketches, alone = [], [], [], [], [], [], []
             for text in part.column("text").to_pylist():
                 own = shingle_set(text, settings.words)
                 sizes.append(len(own))
@@ -188,6 +191,7 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
                 if len(frequent) and len(own):
                     at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
                     seen = np.where(frequent[at] == own, times[at], 0)
+                alone.append(int(np.count_nonzero(seen == 0)))
                 needed = len(own) - settings.least_size(len(own)) + 1 if len(own) else 0
                 first = np.argsort(seen, kind="stable")[:needed]
                 firsts.append(own[first].view(np.int64))
@@ -202,12 +206,13 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
                     pa.array(bitmaps, pa.binary()),
                     pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*firsts, np.zeros(0, np.int64)]))),
                     pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*spreads, np.zeros(0, np.int32)]))),
+                    pa.array(alone, pa.int64()),
                     *(pa.array([words[i] for words in sketches], pa.int64()) for i in range(SKETCH)),
                 ],
-                ["doc_id", "n", "digest", "bitmap", "first", "spread", *SKETCHES],
+                ["doc_id", "n", "digest", "bitmap", "first", "spread", "alone", *SKETCHES],
             )
 
-    schema = "doc_id bigint, n bigint, digest binary, bitmap binary, first array<bigint>, spread array<int>"
+    schema = "doc_id bigint, n bigint, digest binary, bitmap binary, first array<bigint>, spread array<int>, alone bigint"
     schema += "".join(f", {name} bigint" for name in SKETCHES)
     return id_and_text(docs).mapInArrow(sign, schema)
 
@@ -219,12 +224,12 @@ def _may_link(n: np.ndarray, at: np.ndarray, m: np.ndarray, other: np.ndarray, s
 
 
 def _groups(postings: DataFrame, settings: Settings) -> DataFrame:
-    """Postings of shingles that at least two classes have among their first, and the smallest of them.
+    """Postings of shingles that at least two classes have among their first, and the head of their group.
 
-    ``partner`` is that smallest class where the two may link. Groups are read in order, so a task holds
+    ``partner`` is that head where the two may link: the class with the fewest shingles alone. Groups are read in order, so a task holds
     two rows of the group before, whatever its size.
     """
-    names = ["shingle", "salt", "n", "rep", "at", "spread"]
+    names = ["shingle", "salt", "alone", "n", "rep", "at", "spread"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None  # rows not put out yet: the last one read
@@ -243,14 +248,16 @@ def _groups(postings: DataFrame, settings: Settings) -> DataFrame:
             next_same = np.zeros(len(rows), bool)
             next_same[:-1] = same[1:]
             next_same[-1] = following is not None and bool((rows[-1, :2] == following[:2]).all())
-            active = same | next_same | (rows[:, 5] > 1)  # others of the shingle may have another salt
-            fits = same & (heads[:, 3] != rows[:, 3]) & _may_link(rows[:, 2], rows[:, 4], heads[:, 2], heads[:, 4], settings)
-            partner = pa.array(heads[:, 3][active], mask=~fits[active])
+            active = same | next_same | (rows[:, 6] > 1)  # others of the shingle may have another salt
+            larger = (rows[:, 3] >= heads[:, 3])[:, None]
+            (n, at), (m, other) = np.where(larger, rows, heads)[:, [3, 5]].T, np.where(larger, heads, rows)[:, [3, 5]].T
+            fits = same & (heads[:, 4] != rows[:, 4]) & _may_link(n, at, m, other, settings)
+            partner = pa.array(heads[:, 4][active], mask=~fits[active])
             head, previous = heads[-1].copy(), rows[-1].copy()
             if active.any():
                 kept = rows[active]
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(np.ascontiguousarray(kept[:, i])) for i in (0, 2, 3, 4)), partner],
+                    [*(pa.array(np.ascontiguousarray(kept[:, i])) for i in (0, 3, 4, 5)), partner],
                     ["shingle", "n", "rep", "at", "partner"],
                 )
 
@@ -446,13 +453,13 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     # A class is represented by the document with its smallest id; its other documents go no further.
     own = join_lookup(filled.select("doc_id", "digest", "n"), kinds, ["digest", "n"], "inner")
     copies = own.where("doc_id <> rep").select("doc_id", "digest", F.lit(True).alias("is_copy")).distinct()
-    firsts = join_lookup(filled.select("doc_id", "digest", "n", "first", "spread"), copies, ["doc_id", "digest"], "left")
+    firsts = join_lookup(filled.select("doc_id", "digest", "n", "first", "spread", "alone"), copies, ["doc_id", "digest"], "left")
     posted = firsts.where(F.col("is_copy").isNull()).select(
-        F.col("doc_id").alias("rep"), "n", F.posexplode(F.arrays_zip("first", "spread")).alias("at", "entry")
+        F.col("doc_id").alias("rep"), "n", "alone", F.posexplode(F.arrays_zip("first", "spread")).alias("at", "entry")
     )
     postings = posted.select(
         F.col("entry.first").alias("shingle"), F.pmod(F.xxhash64("rep"), F.col("entry.spread")).alias("salt"),
-        "n", "rep", "at", F.col("entry.spread").alias("spread"),
+        "alone", "n", "rep", "at", F.col("entry.spread").alias("spread"),
     )
     groups = scratch.keep(_groups(postings, settings), "groups")
 
@@ -463,7 +470,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     links = scratch.keep(_linked(_bounded(first, filled, settings), docs, settings), "links")
     labels = components(links)
 
-    second = _tiles(groups, labels, filled, settings).join(first, ["a", "b"], "left_anti")
+    seen = first.unionByName(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    second = _tiles(groups, labels, filled, settings).join(seen, ["a", "b"], "left_anti")
     more = scratch.keep(_linked(_bounded(second, filled, settings), docs, settings), "links")
     final = components(links.unionByName(more)) if not more.isEmpty() else labels
 
