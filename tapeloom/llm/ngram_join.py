@@ -277,7 +277,7 @@ def _groups(postings: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _bounded(pairs: DataFrame, signed: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) whose bitmaps leave it open that they link."""
+    """The pairs (a, b), a written table, whose bitmaps leave it open that they link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,6 +288,9 @@ def _bounded(pairs: DataFrame, signed: DataFrame, settings: Settings) -> DataFra
             ]
             yield batch.select(["a", "b"]).filter(pa.array(open_ones, pa.bool_()))
 
+    met = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    signed = join_lookup(signed.select("doc_id", "n", "bitmap"), met, "doc_id", "inner")
+
     def side(name: str) -> DataFrame:
         return signed.select(F.col("doc_id").alias(name), F.col("n").alias(f"n_{name}"), F.col("bitmap").alias(f"bits_{name}"))
 
@@ -371,9 +374,10 @@ def _tiles(groups: DataFrame, labels: DataFrame, signed: DataFrame, settings: Se
     placed = rows.select("*", F.explode(below).alias("band"))
     mixed = placed.groupBy("shingle", "band").agg(
         F.expr(f"count(1) div {settings.members} + 1").alias("blocks"),
-        F.min("label").alias("least"), F.max("label").alias("largest"),
+        F.min("label").alias("least"), F.max("label").alias("largest"), F.max("own").alias("highest"),
     )
-    mixed = mixed.where(F.col("least") != F.col("largest")).drop("least", "largest")
+    # The larger one of a pair is of the tile's own band, so a tile without such a row has no pairs.
+    mixed = mixed.where("least != largest and highest = band").drop("least", "largest", "highest")
     tiled = join_lookup(placed, mixed, ["shingle", "band"], "inner")
     tiled = tiled.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     other = F.explode(F.expr("sequence(0L, blocks - 1)"))
@@ -471,7 +475,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     labels = components(links)
 
     seen = first.unionByName(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    second = _tiles(groups, labels, filled, settings).join(seen, ["a", "b"], "left_anti")
+    second = scratch.keep(_tiles(groups, labels, filled, settings).join(seen, ["a", "b"], "left_anti"), "second")
     more = scratch.keep(_linked(_bounded(second, filled, settings), docs, settings), "links")
     final = components(links.unionByName(more)) if not more.isEmpty() else labels
 
