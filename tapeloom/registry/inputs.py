@@ -8,17 +8,14 @@ from pyspark.sql import functions as F
 from tapeloom.plans.trades import with_numbers
 from tapeloom.session import configure
 
-# The tables the operators are shown on.
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register(spark: SparkSession, sf_dir: str) -> None:
-    """Make every table a temporary view of its own name."""
-    for name in TABLES:
+def register(spark: SparkSession, sf_dir: str, *names: str) -> None:
+    """Make each table named a temporary view of its own name."""
+    for name in names:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 

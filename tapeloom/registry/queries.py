@@ -80,13 +80,13 @@ def query(name: str) -> Callable[[Query], Query]:
 
 @query("scan_table")
 def scan_table(spark, sf_dir):
-    register(spark, sf_dir)
+    register(spark, sf_dir, "orders")
     return read_table(spark, "orders")
 
 
 @query("scan_filtered")
 def scan_filtered(spark, sf_dir):
-    register(spark, sf_dir)
+    register(spark, sf_dir, "lineitem")
     return read_table(spark, "lineitem", "l_quantity > 30")
 
 
@@ -100,7 +100,7 @@ def sql_query_text(spark, sf_dir):
 @query("table_exists")
 def table_exists_rows(spark, sf_dir):
     """Which of some names can be read, and the rows of those that can."""
-    register(spark, sf_dir)
+    register(spark, sf_dir, "orders", "lineitem")
     lines = []
     for name in ("orders", "lineitem", "no_such_table", "no_such_catalog.no_such_schema.orders"):
         there = table_exists(spark, name)
@@ -382,6 +382,13 @@ def rank_in_company(spark, sf_dir):
     return rank_within(trades, "Company", "trade_id", "company_rank")
 
 
+@query("rank_in_company_split")
+def rank_in_company_split(spark, sf_dir):
+    """The same by positions in spans, as for keys too large for one task."""
+    trades = trades_raw(spark, sf_dir).select("trade_id", "Company")
+    return rank_within(trades, "Company", "trade_id", "company_rank", group_rows=100)
+
+
 def _rounded(spark, sf_dir):
     trades = trades_typed(spark, sf_dir)
     return trades.select("trade_id", "Company", "Time", F.round("Price").alias("price"))
@@ -397,6 +404,13 @@ def totals_over_company_window(spark, sf_dir):
     return totals_over(_rounded(spark, sf_dir), "Company", "price", form="window")
 
 
+@query("totals_over_company_split")
+def totals_over_company_split(spark, sf_dir):
+    """The same with a shuffled join whose hot keys are split."""
+    limits = {"group_rows": 100, "broadcast_bytes": 0}
+    return totals_over(_rounded(spark, sf_dir), "Company", "price", spread_by=["trade_id"], **limits)
+
+
 @query("running_totals")
 def running_totals_by_bucket(spark, sf_dir):
     trades = format_date(_rounded(spark, sf_dir), "Time", "yyyy-MM-dd").drop("Company", "Time")
