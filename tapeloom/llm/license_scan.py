@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import json
 import re
+import re._constants as parts
+import re._parser as parser
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 from string import ascii_lowercase, ascii_uppercase
@@ -28,11 +30,8 @@ WINDOW = 16
 BASE, NAMED, VERSIONED, EXACT = 0, 1, 2, 3
 CONFIDENCE = (0.6, 0.7, 0.9, 1.0)
 
-# No rule matches in a document without one of these.
-GATES = (
-    "licens", "licenc", "spdx", "copyleft", "public domain", "creative commons", "copyright", " cc by ", " cc0 ",
-    " gpl", " lgpl", " agpl", " bsd ", "unlicense", "wtfpl",
-)
+# Literals in most rules, looked for first; gates_of() adds what the other rules need.
+GATES = ("licen", "spdx")
 
 _LICENSE = "licen[cs]e"
 _V = "(?:version |v )?"
@@ -180,6 +179,36 @@ def rules_of(
     return tuple(made)
 
 
+def literals_of(pattern: str) -> list[str]:
+    """Texts that every match of a pattern contains, with the spaces around the match."""
+    found, run = [], " "
+    for kind, value in parser.parse(pattern):
+        if kind is parts.LITERAL:
+            run += chr(value)
+        else:
+            found, run = [*found, run], ""
+    return [text for text in [*found, run + " "] if text.strip()]
+
+
+def gates_of(rules: Sequence[Rule], common: Sequence[str] = GATES) -> tuple[str, ...]:
+    """Phrases of which each match of a rule contains at least one: ``common`` ones, then what each other rule starts with."""
+    gates: list[str] = []
+    starts = []
+    for rule in rules:
+        literals = literals_of(rule.pattern)
+        if not literals:
+            raise ValueError(f"a rule without a literal: {rule.pattern}")
+        met = [gate for gate in common if any(gate in text for text in literals)]
+        if met:
+            gates += met[:1]
+        else:
+            starts.append(literals[0])
+    for text in sorted(starts, key=len):
+        if not any(gate in text for gate in gates):
+            gates.append(text)
+    return tuple(dict.fromkeys(gates))
+
+
 RULES = rules_of()
 _RULE = "array<struct<label:string,keyword:string,pattern:string,priority:int,rule:int>>"
 
@@ -210,9 +239,7 @@ def detected(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     norm_name, words_name, found_name = (fresh(docs.columns, name) for name in ("_norm", "_words", "_found"))
     norm, words, found = F.col(norm_name), F.col(words_name), F.col(found_name)
 
-    gate = F.contains(norm, F.lit(GATES[0]))
-    for phrase in GATES[1:]:
-        gate = gate | F.contains(norm, F.lit(phrase))
+    gate = F.exists(F.lit(list(gates_of(rules))), lambda phrase: F.contains(norm, phrase))
     listed = [
         {**asdict(rule), "pattern": f"^(?:{rule.pattern})(?= )", "rule": i} for i, rule in enumerate(rules)
     ]

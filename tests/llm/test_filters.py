@@ -126,6 +126,36 @@ def test_every_rule_can_pass_the_gate():
         assert re.match(r"\w+", rule.pattern)[0] == rule.keyword
 
 
+def least_match(parsed) -> str:
+    """A text that a parsed pattern matches, without anything optional in it."""
+    text = ""
+    for kind, value in parsed:
+        name = str(kind)
+        if name == "LITERAL":
+            text += chr(value)
+        elif name == "IN":
+            text += chr(value[0][1] if str(value[0][0]) == "LITERAL" else value[0][1][0])
+        elif name == "BRANCH":
+            text += min((least_match(branch) for branch in value[1]), key=len)
+        elif name == "SUBPATTERN":
+            text += least_match(value[3])
+        else:
+            assert name == "MAX_REPEAT"
+            text += least_match(value[2]) * value[0]
+    return text
+
+
+def test_a_document_with_one_match_and_nothing_else_is_found(spark):
+    texts = [least_match(re._parser.parse(rule.pattern)) for rule in license_scan.RULES]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {row["doc_id"]: row for row in license_scan.detected(docs).select("doc_id", F.col("found.rule").alias("rules")).collect()}
+    assert [i for i, text in enumerate(texts) if i not in got[i]["rules"]] == []
+    texts = ["All rights reserved.", "Apache 2.0", "MPL-2.0", "GNU General Public version 3", "Do what the fuck you want", "CC Zero"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    labels = {row["doc_id"]: row["labels"] for row in license_scan.scanned(docs).collect()}
+    assert [labels[i] for i in range(len(texts))] == ["proprietary", "apache", "mpl", "gpl", "wtfpl", "cc0"]
+
+
 def test_url_entries_hold_until_the_next_one(spark):
     day = lambda n: datetime(2024, 1, n)
     entries = [
