@@ -97,6 +97,9 @@ FAMILIES: tuple[tuple[str, tuple[str, ...], tuple[str, ...]], ...] = (
     ("rpl", ("reciprocal public", "rpl"), ("1 1", "1 5")),
 )
 
+# SPDX identifiers as words, of families whose names do not have them. EDL, OpenRAIL and Llama have none there.
+SPDX = {"bsd": ("0bsd",), "cpl": ("cpl",), "nasa": ("nasa",), "spl": ("spl", "sissl")}
+
 # Creative Commons: the parts of a name, as short and as long words.
 CC_PARTS = {"by": "attribution", "nc": "non ?commercial", "nd": "no ?deriv(?:ative)?s?(?: works)?", "sa": "share ?alike"}
 CC_KINDS = ("by", "by nc", "by nd", "by sa", "by nc nd", "by nc sa")
@@ -159,8 +162,9 @@ def rules_of(
             if versions:
                 made.append(Rule(label, keyword, f"{name}(?: {_LICENSE})? {_V}(?:{number})", VERSIONED))
                 made.append(Rule(label, keyword, f"{name}(?: {_LICENSE})? {_V}(?:{number}) (?:only|or (?:any )?later)", EXACT))
-        tag = names[-1]
-        made.append(Rule(label, "spdx", f"spdx license identifier {tag}(?: (?:{number}))?", EXACT))
+        # One rule for all names, the longer ones first, as one of them may start another.
+        tags = "|".join(sorted((*names, *SPDX.get(label, ())), key=len, reverse=True))
+        made.append(Rule(label, "spdx", f"spdx license identifier (?:{tags})(?: (?:{number}))?", EXACT))
     for kind in CC_KINDS:
         parts, number = kind.split(), "|".join(CC_VERSIONS)
         words = " ".join(CC_PARTS[part] for part in parts)

@@ -156,6 +156,25 @@ def test_a_document_with_one_match_and_nothing_else_is_found(spark):
     assert [labels[i] for i in range(len(texts))] == ["proprietary", "apache", "mpl", "gpl", "wtfpl", "cc0"]
 
 
+def test_spdx_identifiers_of_all_families(spark):
+    tags = {
+        "mit": "MIT", "x11": "X11", "apache": "Apache-2.0", "gpl": "GPL-3.0-or-later", "lgpl": "LGPL-2.1-only", "agpl": "AGPL-3.0-only",
+        "gfdl": "GFDL-1.3-or-later", "bsd": "0BSD", "mpl": "MPL-2.0", "epl": "EPL-2.0", "cddl": "CDDL-1.0", "cpl": "CPL-1.0",
+        "cpal": "CPAL-1.0", "eupl": "EUPL-1.2", "artistic": "Artistic-2.0", "zlib": "Zlib", "libpng": "libpng-2.0", "isc": "ISC",
+        "boost": "BSL-1.0", "unlicense": "Unlicense", "wtfpl": "WTFPL", "ofl": "OFL-1.1", "osl": "OSL-3.0", "afl": "AFL-3.0",
+        "ms-pl": "MS-PL", "ms-rl": "MS-RL", "psf": "PSF-2.0", "php": "PHP-3.01", "zpl": "ZPL-2.1", "ruby": "Ruby", "openssl": "OpenSSL",
+        "postgresql": "PostgreSQL", "lppl": "LPPL-1.3c", "cecill": "CECILL-2.1", "odbl": "ODbL-1.0", "odc-by": "ODC-By-1.0",
+        "pddl": "PDDL-1.0", "ncsa": "NCSA", "upl": "UPL-1.0", "sspl": "SSPL-1.0", "busl": "BUSL-1.1", "elastic": "Elastic-2.0",
+        "vim": "Vim", "curl": "curl", "json": "JSON", "beerware": "Beerware", "fair": "Fair", "qpl": "QPL-1.0", "spl": "SPL-1.0",
+        "apsl": "APSL-2.0", "npl": "NPL-1.1", "nasa": "NASA-1.3", "rpl": "RPL-1.5",
+    }
+    assert {label for label, _, _ in license_scan.FAMILIES} - set(tags) == {"edl", "openrail", "llama"}
+    cases = [*tags.items(), ("spl", "SISSL"), ("bsd", "BSD-3-Clause"), ("psf", "Python-2.0"), ("cc0", "CC0-1.0")]
+    docs = spark.createDataFrame([(i, f"SPDX-License-Identifier: {tag}") for i, (_, tag) in enumerate(cases)], "doc_id int, text string")
+    got = {row["doc_id"]: row["labels"] for row in license_scan.scanned(docs).collect()}
+    assert [(got[i], tag) for i, (_, tag) in enumerate(cases)] == cases
+
+
 def test_url_entries_hold_until_the_next_one(spark):
     day = lambda n: datetime(2024, 1, n)
     entries = [
