@@ -36,16 +36,16 @@ class Settings:
     """``vocabulary`` words in classes of ``class_words``; ``hidden`` is the size of state and embedding.
 
     ``window`` tokens are one step of backpropagation. In each of ``rounds`` rounds every training task
-    learns from one in ``one_in`` of its training documents, another part each round; so the work grows
-    with the corpus. ``lanes`` documents are run side by side. ``known`` bounds the table of frequent words.
+    learns from one in ``one_in`` of its training documents, another part each round. With as many rounds as
+    parts every training document is learnt from once; with fewer the rest is left out. ``lanes`` documents are run side by side. ``known`` bounds the table of frequent words.
     """
 
     vocabulary: int = 2048
     class_words: int = 32
     hidden: int = 16
     window: int = 16
-    rounds: int = 2
-    one_in: int = 20
+    rounds: int = 4
+    one_in: int = 4
     lanes: int = 64
     rate: float = 0.01
     seed: int = 7

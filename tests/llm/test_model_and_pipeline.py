@@ -45,6 +45,16 @@ def test_model_is_better_than_the_base_on_held_out_documents(spark, testdata):
     assert held["sum(score)"] > held["sum(base_score)"]
 
 
+def test_every_training_document_reaches_the_network(spark):
+    settings = lm_score.Settings()
+    assert {turn % settings.one_in for turn in range(settings.rounds)} == set(range(settings.one_in))
+    own = lm_score.Settings(**{**SMALL.__dict__, "rounds": settings.rounds, "one_in": settings.one_in})
+    start = lm_score.Network.new(own).packed()
+    for key in range(4):
+        docs = spark.createDataFrame([(key, "a b a c")], "doc_id bigint, text string")
+        assert lm_score.train(docs, "true", {b"a": 1, b"b": 2}, lm_score.Network.new(own)).packed() != start
+
+
 def test_gradients():
     settings = lm_score.Settings(vocabulary=8, class_words=4, hidden=3, window=3, rate=0.0)
     network = lm_score.Network.new(settings)
