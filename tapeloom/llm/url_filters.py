@@ -14,8 +14,6 @@ from tapeloom.operators.skew import GROUP_ROWS
 
 # Fixed value: scheme, user, host and port of a URL; what follows is path and query, up to a fragment.
 PARTS = r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/:?#]*)(?::\d*)?([^#]*)"
-# Labels of a host that are looked up as domains, counted from the right.
-LABELS = 8
 
 
 def host_of(url: Column) -> Column:
@@ -29,10 +27,10 @@ def page_of(url: Column) -> Column:
 
 
 def keys_of(url: Column) -> Column:
-    """What a list can name to meet a URL: its host, the domains above it, and the page itself."""
+    """What a list can name to meet a URL: its host, all domains above it, and the page itself."""
     labels = F.split(host_of(url), r"\.")
     size = F.size(labels)
-    counts = F.sequence(F.lit(1), F.least(size, F.lit(LABELS)))
+    counts = F.sequence(F.lit(1), size)
     domains = F.transform(counts, lambda n: F.array_join(F.slice(labels, size - n + 1, n), "."))
     page = F.concat(F.lit("="), page_of(url))
     return F.when(host_of(url) == "", F.array().cast("array<string>")).otherwise(F.concat(domains, F.array(page)))

@@ -200,6 +200,18 @@ def test_url_entries_hold_until_the_next_one(spark):
     ]
 
 
+def test_hosts_of_many_labels_meet_their_own_and_every_higher_entry(spark):
+    host, at = "a.b.c.d.e.f.g.h.example.com", datetime(2024, 1, 2)
+    captures = [(i, f"http://{name}/x", at) for i, name in enumerate([host, f"z.{host}", f"z{host}", host[2:]])]
+    entries = [("own", host, datetime(2024, 1, 1), "add"), ("above", host[2:], datetime(2024, 1, 1), "add")]
+    got = url_filters.judged(
+        spark.createDataFrame(captures, "page_id int, url string, fetched_at timestamp"),
+        spark.createDataFrame(entries, "list string, key string, dated timestamp, action string"),
+    )
+    found = {row["page_id"]: (row["blocked"], row["lists"]) for row in got.collect()}
+    assert found == {0: (True, "above,own"), 1: (True, "above,own"), 2: (True, "above"), 3: (True, "above")}
+
+
 @pytest.mark.parametrize("limits", [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "hot_rows": 20}])
 def test_url_judgement_is_one_in_every_form(spark, testdata, limits):
     pages = spark.read.parquet(f"{testdata}/sf0.01/pages.parquet")
