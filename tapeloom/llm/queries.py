@@ -8,7 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tapeloom import scratch
 from tapeloom.llm.byte_bpe import round_trip, serialized_ranks
-from tapeloom.llm import language_id, license_scan, lm_score, lz_fingerprint, mixing, ngram_join, quality_rules, url_filters
+from tapeloom.llm import (
+    decontamination,
+    filter_audit,
+    language_id,
+    license_scan,
+    lm_score,
+    lz_fingerprint,
+    mixing,
+    ngram_join,
+    quality_rules,
+    url_filters,
+    whitening,
+)
 from tapeloom.llm.token_files import tokens_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +73,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scanned(_table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_lz_fingerprint": op2_lz_fingerprint,
@@ -72,9 +96,14 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_license_scan": op10_license_scan,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_whitening": op12_whitening,
+    "op13_decontamination": op13_decontamination,
 }
 
 ORACLE: dict[str, str] = {
     "op4_url_filters": url_filters.ORACLE_SQL,
     "op8_quality_rules": quality_rules.ORACLE_SQL,
+    "op11_filter_audit": filter_audit.ORACLE_SQL,
+    "op13_decontamination": decontamination.ORACLE_SQL,
 }
