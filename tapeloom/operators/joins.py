@@ -13,8 +13,10 @@ from tapeloom.operators import skew
 
 # A lookup measured at up to this size is sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A join that puts out at least this many rows for one deals its rows out evenly first.
+# A join in which some row meets at least this many deals its rows out evenly first.
 MULTIPLIES = 4
+# Fixed value: a helper column, which no table of a user has.
+_MET = "__tapeloom_met"
 
 
 def join_lookup(
@@ -28,17 +30,19 @@ def join_lookup(
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = skew.GROUP_ROWS,
     dealt: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """Left or inner equi-join of ``rows`` to ``lookup``; keys come first in the result.
 
     ``lookup`` is written once and measured, unless the caller passes its ``size``. If it fits, every
-    executor gets it and ``rows`` stay where they are. If not, both sides are shuffled by the keys, and
-    the rows of hot keys are dealt out over many tasks.
+    executor gets it and ``rows`` stay where they are. If not, both sides are shuffled by the keys, and what
+    a hot key puts out is cut into a grid of cells, about ``hot_rows`` rows in each, whether it has many
+    rows, many lookup rows or both.
 
     Rows are dealt out by ``spread_by``, best a unique key, or else by turns. That is also done before a
     join that multiplies them, so that each row is worked out once and then multiplied in tasks of even
-    size; ``dealt`` says that they come stored in even parts already. With ``null_safe`` a NULL key meets
-    a NULL key.
+    size; ``dealt`` says that they come stored in even parts already, and ``unique`` that no key is twice in
+    ``lookup``. With ``null_safe`` a NULL key meets a NULL key.
     """
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("left", "inner"):
@@ -49,14 +53,21 @@ def join_lookup(
     if size is None:
         lookup, size, _ = scratch.keep_measured(lookup, "lookup", on)
     if size.bytes <= broadcast_bytes:
-        if size.rows >= MULTIPLIES * max(size.keys, 1) and not dealt:
+        if not dealt and not unique and _most_met(lookup, on) >= MULTIPLIES:
             by_turns = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
             rows = rows.repartition(*spread_by) if spread_by else rows.repartition(by_turns)
         return _equi_join(rows, F.broadcast(lookup), on, how, null_safe)
-    split = skew.salted(rows, lookup, on, hot_rows, spread_by or rows.columns)
-    if split is None:
+    grid = skew.gridded(rows, lookup, on, hot_rows, spread_by or rows.columns, null_safe)
+    if grid is None:
         return _equi_join(rows, lookup, on, how, null_safe)
-    return _equi_join(*split, on, how, null_safe, extra=[skew.SALT])
+    met = grid.lookup.withColumn(_MET, F.lit(True))
+    joined = _equi_join(grid.rows, met, on, how, null_safe, extra=skew.CELL)
+    return joined.where(F.col(_MET).isNotNull() | (F.col(skew.LOOKUP_PARTS) == 1)).drop(_MET, skew.LOOKUP_PARTS)
+
+
+def _most_met(lookup: DataFrame, on: list[str]) -> int:
+    """Rows of the key that has most of them in a lookup that fits in memory."""
+    return lookup.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
 
 
 def _spelt(df: DataFrame, key: str) -> str:
@@ -107,3 +118,11 @@ def fanout_report(rows: DataFrame, lookup: DataFrame, on: str | Sequence[str]) -
         F.when(F.col("_matches") == 0, F.col("left_rows")).otherwise(F.lit(0)).alias("unmatched_left_rows"),
         (F.col("right_rows") > 1).alias("right_repeats"),
     )
+
+
+def join_rows(rows: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left") -> int:
+    """How many rows a left or inner join will put out, from counts per key on both sides; no pair is formed."""
+    if how not in ("left", "inner"):
+        raise ValueError(f"left and inner joins are counted, not {how}")
+    wanted = F.col("output_rows") if how == "left" else F.col("output_rows") - F.col("unmatched_left_rows")
+    return int(fanout_report(rows, lookup, on).agg(F.sum(wanted.cast("decimal(38,0)"))).first()[0] or 0)

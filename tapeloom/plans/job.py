@@ -6,12 +6,15 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tapeloom.operators.quality import schema_violations
 from tapeloom.plans.flat_table import flat
-from tapeloom.plans.silver_table import SilverOptions, silver, silver_by_company
-from tapeloom.sinks import dated_path, write_files, write_table
+from tapeloom.plans.silver_table import SilverOptions, silver, silver_by_company, silver_rows
+from tapeloom.sinks import Refused, dated_path, write_days, write_files, write_judged, write_table
+from tapeloom.sinks.judged import counts_of
 from tapeloom.sources import read_table, table_exists
 
 # The columns raw trades have.
@@ -23,8 +26,15 @@ class Job:
     """What to read, which pipeline to run, and where to write.
 
     With ``target_table`` the result is saved as a table; otherwise as files in a folder of the day
-    below ``target_root``. ``rules`` are conditions on the result; rows that fail one are counted while
-    they are written.
+    below ``target_root``. With ``day_column`` the table is partitioned by that column, which holds ``day``,
+    and only that day is replaced; ``mode`` does not count then.
+
+    ``rules`` are conditions on the result; rows that fail one are counted while they are written. With
+    ``most_failing``, the share of rows that may fail a rule, or with ``rejects_root``, below which rows that
+    fail go to a folder of the day, the result is judged before it takes its place: see ``write_judged``.
+
+    Before anything is written, ``schema`` is held against the source, and ``most_rows`` against the number
+    of rows that the plan will put out. Columns that the schema does not name are let through.
     """
 
     source_table: str
@@ -39,20 +49,32 @@ class Job:
     row_key: tuple[str, ...] = ("trade_id",)
     options: SilverOptions = SilverOptions()
     rules: Mapping[str, Column] = field(default_factory=dict)
+    most_failing: Mapping[str, float] = field(default_factory=dict)
+    rejects_root: str | None = None
+    day_column: str | None = None
+    schema: StructType | None = None
+    most_rows: int | None = None
 
 
 def run(spark: SparkSession, job: Job) -> dict[str, int]:
     """Run a job; returns the rows written, and for each rule the rows that fail it.
 
-    Rows for which a rule is NULL are counted as ``<rule> undecided``. With mode ``ignore`` and a target
-    table that exists nothing runs and the result is empty.
+    Rows for which a rule is NULL are counted as ``<rule> undecided``. With ``most_rows`` the result also has
+    the ``rows foreseen``. A job over one of its bounds raises ``Refused`` and leaves the target as it was.
+    With mode ``ignore`` and a target that exists nothing is written and the result has nothing counted.
     """
-    if "rows" in job.rules:
-        raise ValueError("a rule cannot be named rows")
+    if {"rows", "rows foreseen"} & set(job.rules):
+        raise ValueError("a rule cannot be named rows or rows foreseen")
     if bool(job.target_table) == bool(job.target_root):
         raise ValueError("give a target table or a target root")
     if job.target_root and job.day is None:
         raise ValueError("files go to a folder of the day, so give a day")
+    if (job.day_column or job.rejects_root) and job.day is None:
+        raise ValueError("give the day that is replaced, or of which rows are rejected")
+    if job.day_column and (job.target_root or job.most_failing or job.rejects_root):
+        raise ValueError("a day of a table is replaced; its rows are counted, not judged")
+    if (job.most_failing or job.rejects_root) and not job.rules:
+        raise ValueError("no rules to judge by")
     if job.plan not in ("silver", "silver_by_company", "flat"):
         raise ValueError(f"unknown plan: {job.plan}")
     if not table_exists(spark, job.source_table):
@@ -63,15 +85,35 @@ def run(spark: SparkSession, job: Job) -> dict[str, int]:
     if missing:
         raise ValueError(f"{job.source_table} lacks {', '.join(missing)}")
 
+    if job.schema is not None:
+        wrong = schema_violations(trades, job.schema).where("problem != 'extra'").collect()
+        if wrong:
+            listed = ", ".join(f"{row['column']} {row['problem']}" for row in wrong)
+            raise Refused(f"{job.source_table}: {listed}", {f"{row['column']} {row['problem']}": row["unfit"] or 0 for row in wrong})
+    foreseen = {}
+    if job.most_rows is not None:
+        foreseen = {"rows foreseen": silver_rows(trades) if job.plan == "silver" else trades.count()}
+        if foreseen["rows foreseen"] > job.most_rows:
+            raise Refused(f"{job.plan} puts out {foreseen['rows foreseen']} rows, {job.most_rows} at most are wanted", foreseen)
+
     if job.plan == "flat":
         result = flat(trades, job.row_key, job.options.group_rows)
     else:
         build = silver if job.plan == "silver" else silver_by_company
         result = build(trades, job.row_key, job.options)
-    observe = {"rows": F.count(F.lit(1))}
-    for name, rule in job.rules.items():
-        observe |= {name: F.count_if(~rule), f"{name} undecided": F.count_if(rule.isNull())}
+    return {**_written(result, job), **foreseen}
+
+
+def _written(result: DataFrame, job: Job) -> dict[str, int]:
+    observe = counts_of(job.rules)
+    if job.day_column:
+        dated = result.withColumn(job.day_column, F.lit(job.day))
+        return write_days(dated, job.target_table, job.day_column, [job.day], job.format, job.writer_options, observe)
+    path = dated_path(job.target_root, job.day) if job.target_root else None
+    if job.most_failing or job.rejects_root:
+        rejects = dated_path(job.rejects_root, job.day) if job.rejects_root else None
+        judged = {"most_failing": job.most_failing, "mode": job.mode, "format": job.format, "options": job.writer_options}
+        return write_judged(result, job.rules, path, job.target_table, rejects, **judged)
     if job.target_table:
         return write_table(result, job.target_table, job.mode, job.format, job.writer_options, observe)
-    path = dated_path(job.target_root, job.day)
     return write_files(result, path, job.mode, job.format, job.writer_options, observe)

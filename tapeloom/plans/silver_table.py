@@ -21,7 +21,7 @@ from tapeloom import scratch
 from tapeloom.functions import category
 from tapeloom.functions.measures import HIGH, LOW
 from tapeloom.operators.columns import MASK, mask, name_case
-from tapeloom.operators.joins import BROADCAST_BYTES, join_lookup
+from tapeloom.operators.joins import BROADCAST_BYTES, join_lookup, join_rows
 from tapeloom.operators.skew import GROUP_ROWS, hot_among
 from tapeloom.operators.windows import rank_within
 from tapeloom.plans.trades import CALENDAR, MEASURES, with_calendar, with_derived, with_numbers
@@ -190,5 +190,12 @@ def silver_by_company(
         size=size,
         broadcast_bytes=options.broadcast_bytes,
         hot_rows=options.group_rows,
+        unique=True,
     )
     return name_case(joined.select(*COLUMNS))
+
+
+def silver_rows(trades: DataFrame) -> int:
+    """How many rows ``silver`` will put out, from counts per exchange."""
+    seen = trades.select(F.col("Company").alias("seen"), "Exchange").where(F.col("Exchange").isNotNull()).distinct()
+    return join_rows(trades.select("Exchange"), seen, "Exchange")

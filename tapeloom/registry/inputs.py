@@ -37,3 +37,26 @@ def trades_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trades_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades with the two text numbers cleaned."""
     return with_numbers(trades_raw(spark, sf_dir))
+
+
+def trades_rough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' balances in the shape of raw trades, with all that text can hold: signs, commas, exponents, no numbers."""
+    customer, nation = (table(spark, sf_dir, name) for name in ("customer", "nation"))
+    plain, kind = F.col("c_acctbal").cast("string"), F.col("c_custkey") % 8
+    price = (
+        F.when(kind == 0, plain)
+        .when(kind == 1, F.concat(F.lit("₹"), plain))
+        .when(kind == 2, F.concat(F.lit("₹"), F.format_number("c_acctbal", 2)))
+        .when(kind == 4, F.lit("n/a"))
+        .when(kind == 5, F.lit(""))
+        .when(kind == 6, F.concat((F.col("c_custkey") % 100).cast("string"), F.lit("e2")))
+        .when(kind == 7, F.concat(F.lit(" "), plain))
+    )
+    change = F.concat((F.col("c_custkey") % 31 - 15).cast("string"), F.lit(".5%"))
+    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").alias("trade_id"),
+        F.col("n_name").alias("Company"),
+        F.col("c_mktsegment").alias("Exchange"),
+        price.alias("Price"),
+        F.when(kind == 3, F.lit("x%")).when(kind != 4, change).alias("percentage_change"),
+    )

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, MapType, StringType, StructField, StructType
 
 from tapeloom import scratch
 from tapeloom.functions import (
@@ -29,6 +29,7 @@ from tapeloom.operators import (
     format_date,
     in_order,
     join_lookup,
+    join_rows,
     mask,
     name_case,
     preview,
@@ -37,6 +38,7 @@ from tapeloom.operators import (
     row_count,
     running_totals,
     sample_by_key,
+    sample_exact,
     schema_violations,
     sum_by,
     totals_over,
@@ -44,16 +46,16 @@ from tapeloom.operators import (
 from tapeloom.plans import Job, SilverOptions, flat, run, silver, silver_by_company
 from tapeloom.plans.silver_table import SILVER_SCHEMA
 from tapeloom.plans.trades import with_calendar, with_measures
-from tapeloom.registry.inputs import register, table, trades_raw, trades_typed
-from tapeloom.sinks import dated_path, write_files, write_table
-from tapeloom.sources import read_table, sql_query, table_exists
+from tapeloom.registry.inputs import register, table, trades_raw, trades_rough, trades_typed
+from tapeloom.sinks import dated_path, write_days, write_files, write_judged, write_table
+from tapeloom.sources import read_dated, read_table, sql_query, table_exists
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Class bounds that fit the supplied prices, the day of dated writes, the CSV dialect.
 BOUNDS = SilverOptions(low=100_000, high=300_000)
-RUN_DAY = date(2024, 10, 14)
+RUN_DAY = date(2025, 3, 9)
 CSV_OPTIONS = {"header": "true", "delimiter": ","}
 TRADE_SCHEMA = StructType(
     [
@@ -66,6 +68,28 @@ TRADE_SCHEMA = StructType(
     ]
 )
 
+NESTED_SCHEMA = StructType(
+    [
+        StructField("o_orderkey", LongType(), nullable=False),
+        StructField(
+            "buyer",
+            StructType(
+                [
+                    StructField("key", StringType()),
+                    StructField("status", StringType(), nullable=False),
+                    StructField("region", StringType()),
+                ]
+            ),
+        ),
+        StructField(
+            "lines",
+            ArrayType(StructType([StructField("number", LongType()), StructField("flag", IntegerType())])),
+            nullable=False,
+        ),
+        StructField("marks", MapType(StringType(), DoubleType(), valueContainsNull=False)),
+    ]
+)
+
 
 def query(name: str) -> Callable[[Query], Query]:
     def register_query(run: Query) -> Query:
@@ -109,6 +133,17 @@ def table_exists_rows(spark, sf_dir):
     return lines[0].union(lines[1]).union(lines[2]).union(lines[3])
 
 
+@query("scan_dated")
+def scan_dated(spark, sf_dir):
+    """Orders in a folder for each of seven days, of which three are read."""
+    orders, root = table(spark, sf_dir, "orders"), scratch.new_path(spark, "days")
+    for i in range(7):
+        write_files(orders.where(F.col("o_orderkey") % 7 == i), dated_path(root, RUN_DAY + timedelta(i)))
+    wanted = f"run_day between '{RUN_DAY + timedelta(2)}' and '{RUN_DAY + timedelta(4)}'"
+    days = read_dated(spark, root, wanted, schema=orders.schema, day_column="run_day")
+    return days.withColumn("run_day", F.col("run_day").cast("string"))
+
+
 # Sinks
 
 
@@ -124,7 +159,9 @@ def write_table_roundtrip(spark, sf_dir):
     write_table(
         table(spark, sf_dir, "orders"), name, "overwrite", "parquet", {"path": scratch.new_path(spark, "table")}
     )
-    return read_table(spark, name)
+    back = read_table(spark, name)
+    spark.sql(f"drop table {name}")  # the files stay
+    return back
 
 
 @query("write_parquet_roundtrip")
@@ -172,6 +209,38 @@ def observed_write(spark, sf_dir):
     return spark.createDataFrame([(seen["rows"], seen["large"])], "rows bigint, large bigint")
 
 
+@query("write_day_replaced")
+def write_day_replaced(spark, sf_dir):
+    """Orders in a table by year, of which two years are written anew, twice."""
+    year = F.make_date(F.year("o_orderdate"), F.lit(1), F.lit(1))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", year.alias("run_day"))
+    name = f"tapeloom_days_{uuid.uuid4().hex}"
+    write_days(orders, name, "run_day", options={"path": scratch.new_path(spark, "days")})
+    days = [date(1995, 1, 1), date(1996, 1, 1)]
+    changed = orders.where(F.col("run_day").isin(days)).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    for _ in range(2):
+        write_days(changed, name, "run_day", days)
+    back = scratch.keep(read_table(spark, name), "days")
+    spark.sql(f"drop table {name}")
+    return back.withColumn("run_day", F.col("run_day").cast("string"))
+
+
+def _rough_rules():
+    price, change = clean_price("Price", signed=True), clean_percent("percentage_change")
+    return {"price is known": price.isNotNull(), "price is positive": price > 0, "change is small": change < 10}
+
+
+@query("write_judged")
+def write_judged_rows(spark, sf_dir):
+    """Rows that pass all rules, and the others with the rules they fail, from one write to two folders."""
+    trades = trades_rough(spark, sf_dir)
+    target, rejects = scratch.new_path(spark, "passed"), scratch.new_path(spark, "rejects")
+    write_judged(trades, _rough_rules(), target, rejects=rejects, most_failing={"price is known": 0.5})
+    passed = spark.read.schema(trades.schema).parquet(target).withColumn("failed_rules", F.lit("passed"))
+    failed = spark.read.schema(trades.schema.add("failed_rules", "string")).parquet(rejects)
+    return passed.unionByName(failed)
+
+
 # Columns
 
 
@@ -191,7 +260,7 @@ def sequential_columns(spark, sf_dir):
 @query("concat_suffix")
 def concat_suffix(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return in_order(customer, [("name_with_suffix", F.concat("c_name", F.lit("_Doe")))])
+    return in_order(customer, [("label", F.concat(F.lit("No. "), "c_custkey", F.lit(" / "), "c_name"))])
 
 
 @query("select_columns")
@@ -290,7 +359,7 @@ def percent_number(spark, sf_dir):
 @query("cast_float")
 def cast_float(spark, sf_dir):
     """Direct casts: text that is no number gives NULL, and so do thousands commas."""
-    trades = trades_raw(spark, sf_dir)
+    trades = trades_rough(spark, sf_dir)
     return trades.select(
         "trade_id",
         to_float("Price").alias("as_it_is"),
@@ -299,6 +368,16 @@ def cast_float(spark, sf_dir):
     )
 
 
+@query("clean_price_signed")
+def price_with_sign(spark, sf_dir):
+    trades = trades_rough(spark, sf_dir)
+    unsigned, signed = clean_price("Price"), clean_price("Price", signed=True)
+    classes = category(signed, -100, 5000, null_label="None")
+    return trades.select(
+        "trade_id", "Price", unsigned.alias("unsigned"), signed.alias("signed"), classes.alias("price_category")
+    )
+
+
 @query("round_columns")
 def round_columns(spark, sf_dir):
     trades = with_measures(trades_raw(spark, sf_dir))
@@ -329,6 +408,12 @@ def ceil_sum_by_company(spark, sf_dir):
     return ceil_sum(trades_raw(spark, sf_dir), ["Company", "Exchange"], "Price", "Total_Price")
 
 
+@query("ceil_sum_rough")
+def ceil_sum_of_rough(spark, sf_dir):
+    """Sums over text with signs, commas, exponents and no numbers at all."""
+    return ceil_sum(trades_rough(spark, sf_dir), ["Company", "Exchange"], "Price", "Total_Price")
+
+
 @query("sum_by")
 def sum_by_key(spark, sf_dir):
     return sum_by(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_quantity")
@@ -354,6 +439,22 @@ def join_exchange_fanout(spark, sf_dir):
     return join_lookup(trades, totals, "Exchange", spread_by=["trade_id"])
 
 
+@query("join_exchange_fanout_shuffled")
+def join_exchange_fanout_shuffled(spark, sf_dir):
+    """The same as for a lookup too large to send, with every exchange cut into a grid."""
+    trades, totals = _trades_and_totals(spark, sf_dir)
+    return join_lookup(trades, totals, "Exchange", spread_by=["trade_id"], broadcast_bytes=0, hot_rows=1000)
+
+
+@query("join_rows")
+def join_rows_foreseen(spark, sf_dir):
+    """How many rows two joins will put out, without joining."""
+    trades, totals = _trades_and_totals(spark, sf_dir)
+    some = totals.where("Exchange != '1-URGENT'")
+    rows = [(join_rows(trades, some, "Exchange", how), how) for how in ("left", "inner")]
+    return spark.createDataFrame(rows, "rows bigint, how string")
+
+
 @query("join_exchange_total")
 def join_exchange_total(spark, sf_dir):
     trades, _ = _trades_and_totals(spark, sf_dir)
@@ -413,9 +514,35 @@ def totals_over_company_split(spark, sf_dir):
 
 @query("running_totals")
 def running_totals_by_bucket(spark, sf_dir):
+    return running_totals(_bucketed(spark, sf_dir), "bucket", "Date", "price", spread_by=["trade_id"])
+
+
+@query("running_totals_split")
+def running_totals_split(spark, sf_dir):
+    """The same by steps and spans, as for keys too large for one task."""
+    return running_totals(_bucketed(spark, sf_dir), "bucket", "Date", "price", spread_by=["trade_id"], group_rows=50)
+
+
+def _bucketed(spark, sf_dir):
     trades = format_date(_rounded(spark, sf_dir), "Time", "yyyy-MM-dd").drop("Company", "Time")
-    bucketed = trades.withColumn("bucket", F.floor(F.col("price") / 50_000))
-    return running_totals(bucketed, "bucket", "Date", "price", spread_by=["trade_id"])
+    return trades.withColumn("bucket", F.floor(F.col("price") / 50_000))
+
+
+def _by_priority(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice")
+
+
+@query("running_totals_exact")
+def running_totals_exact(spark, sf_dir):
+    """Sums of fractions that come out the same however a group is split; here into steps and spans."""
+    orders = _by_priority(spark, sf_dir)
+    return running_totals(orders, "o_orderpriority", "o_orderdate", "o_totalprice", group_rows=200, exact=True)
+
+
+@query("totals_exact")
+def totals_exact(spark, sf_dir):
+    orders = _by_priority(spark, sf_dir)
+    return totals_over(orders, "o_orderpriority", "o_totalprice", form="window", exact=True)
 
 
 # Checks
@@ -426,6 +553,30 @@ def schema_violation_report(spark, sf_dir):
     return schema_violations(trades_raw(spark, sf_dir), TRADE_SCHEMA)
 
 
+@query("schema_violations_nested")
+def schema_violation_report_nested(spark, sf_dir):
+    """Violations inside a struct, an array of structs and a map."""
+    line = F.struct(
+        F.col("l_linenumber").alias("number"), F.col("l_returnflag").alias("flag"), F.col("l_quantity").alias("quantity")
+    )
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(line).alias("lines"))
+    orders = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    status = F.when(F.col("o_custkey") % 5 != 0, F.col("o_orderstatus"))
+    nested = orders.select(
+        "o_orderkey",
+        F.struct(F.col("o_custkey").alias("key"), status.alias("status")).alias("buyer"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("lines")).alias("lines"),
+        F.create_map("o_orderpriority", F.when(F.col("o_totalprice") > 100_000, F.col("o_totalprice"))).alias("marks"),
+    )
+    return schema_violations(nested, NESTED_SCHEMA)
+
+
+@query("quality_report_rough")
+def quality_rules_on_rough(spark, sf_dir):
+    """Rules on values that are negative, NULL or do not parse."""
+    return quality_report(trades_rough(spark, sf_dir), _rough_rules())
+
+
 @query("quality_report")
 def quality_rules(spark, sf_dir):
     trades = with_measures(trades_raw(spark, sf_dir))
@@ -454,6 +605,13 @@ def sample_keys(spark, sf_dir):
     return sample_by_key(table(spark, sf_dir, "lineitem"), "l_orderkey", 10)
 
 
+@query("sample_exact")
+def sample_of_exact_size(spark, sf_dir):
+    """Fifty lines of each return flag."""
+    lines = table(spark, sf_dir, "lineitem")
+    return sample_exact(lines, 50, ["l_orderkey", "l_linenumber"], "l_returnflag", "pick")
+
+
 # Pipelines
 
 
@@ -462,6 +620,13 @@ def silver_pipeline(spark, sf_dir):
     return silver(trades_raw(spark, sf_dir), options=BOUNDS)
 
 
+@query("silver_pipeline_split")
+def silver_pipeline_split(spark, sf_dir):
+    """The same with every join shuffled and every group split."""
+    options = SilverOptions(BOUNDS.low, BOUNDS.high, group_rows=1000, broadcast_bytes=0)
+    return silver(trades_raw(spark, sf_dir), options=options)
+
+
 @query("silver_pipeline_by_company")
 def silver_pipeline_by_company(spark, sf_dir):
     return silver_by_company(trades_raw(spark, sf_dir), options=BOUNDS)
@@ -481,3 +646,18 @@ def silver_job(spark, sf_dir):
     job = Job("trades_raw", target_root=root, day=RUN_DAY, format="csv", writer_options=CSV_OPTIONS, options=BOUNDS)
     run(spark, job)
     return spark.read.schema(SILVER_SCHEMA).options(**CSV_OPTIONS).csv(dated_path(root, RUN_DAY))
+
+
+@query("silver_job_judged")
+def silver_job_judged(spark, sf_dir):
+    """A job held against a schema, a number of rows and its rules; rows of the highest class are set aside."""
+    trades = trades_raw(spark, sf_dir)
+    trades.createOrReplaceTempView("trades_raw")
+    root = scratch.new_path(spark, "silver")
+    job = Job(
+        "trades_raw", target_root=root, day=RUN_DAY, options=BOUNDS, schema=trades.schema,
+        most_rows=100 * trades.count(), rules={"not the highest": F.col("PRICE_CATEGORY") != "High"},
+        rejects_root=f"{root}-rejects", most_failing={"not the highest": 0.9},
+    )
+    run(spark, job)
+    return spark.read.schema(SILVER_SCHEMA).parquet(dated_path(root, RUN_DAY))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -11,8 +12,9 @@ from pyspark.testing import assertDataFrameEqual
 
 from tapeloom.operators import ceil_sum, fanout_report, in_order, join_lookup
 from tapeloom.plans import Job, run, silver, silver_by_company
-from tapeloom.plans.silver_table import SILVER_SCHEMA, SilverOptions
+from tapeloom.plans.silver_table import SILVER_SCHEMA, SilverOptions, silver_rows
 from tapeloom.registry.inputs import trades_raw
+from tapeloom.sinks import Refused, folders, write_judged
 
 
 @pytest.fixture(scope="module")
@@ -42,8 +44,8 @@ def test_silver_is_sorted_before_it_is_multiplied(trades, capsys):
 
 
 def test_own_company_needs_no_join(spark):
-    rows = [(1, "2024-10-07 12:34:56", "A", "X", "10", "1%"), (2, "2024-10-07 12:34:56", "A", None, "20", "1%"),
-            (3, "2024-10-08 12:34:56", None, "X", "30", "1%"), (4, "2024-10-08 12:34:56", "B", "X", "40", "x")]
+    rows = [(1, "1999-12-31 23:59:59", "A", "X", "10", "1%"), (2, "1999-12-31 23:59:59", "A", None, "20", "1%"),
+            (3, "2000-01-01 00:00:00", None, "X", "30", "1%"), (4, "2000-01-01 00:00:00", "B", "X", "40", "x")]
     schema = "trade_id bigint, Time string, Company string, Exchange string, Price string, percentage_change string"
     trades = spark.createDataFrame(rows, schema)
     totals = ceil_sum(trades, ["Company", "Exchange"], "Price", "t").withColumn("own", F.col("Company"))
@@ -54,7 +56,7 @@ def test_own_company_needs_no_join(spark):
 
 
 def test_null_label_and_mask_are_options(spark):
-    rows = [(1, "2024-10-07 12:34:56", "A", "X", "n/a", "1%")]
+    rows = [(1, "1999-12-31 23:59:59", "A", "X", "n/a", "1%")]
     schema = "trade_id bigint, Time string, Company string, Exchange string, Price string, percentage_change string"
     got = silver(spark.createDataFrame(rows, schema), options=SilverOptions(null_label="Unknown", mask="#")).first()
     assert (got["PRICE_CATEGORY"], got["EARNING_RATIO"], got["TOTAL_PRICE"]) == ("Unknown", "#", None)
@@ -68,18 +70,95 @@ def source(spark, trades):
 
 
 def test_job_to_a_table(spark, trades, source):
+    some = trades.withColumn("Price", F.when(F.col("trade_id") % 10 != 0, F.col("Price")))
+    some.createOrReplaceTempView("trades_source")
     rules = {"no price": F.col("PRICE").isNotNull(), "over 100": F.col("PRICE") <= 100}
     seen = run(spark, Job(source, target_table="silver_target", rules=rules))
     written = spark.table("silver_target")
-    assert seen == {"rows": written.count(), "no price": 0, "over 100": written.count()}
-    assertDataFrameEqual(written, silver(trades))
+    rows, open_ones = written.count(), written.where("PRICE is null").count()
+    assert 0 < open_ones < rows
+    assert seen == {
+        "rows": rows, "no price": open_ones, "no price undecided": 0, "over 100": rows - open_ones, "over 100 undecided": open_ones
+    }
+    assertDataFrameEqual(written, silver(some))
     spark.sql("drop table silver_target")
 
 
+def test_a_refused_job_leaves_its_target(spark, source, trades, tmp_path):
+    table = Job(source, target_table="judged_target", plan="silver_by_company", rules={"cheap": F.col("PRICE") < 400_000})
+    run(spark, table)
+    before = sorted(map(tuple, spark.table("judged_target").collect()))
+    for change in (
+        {"most_failing": {"cheap": 0.0}}, {"most_rows": 1499}, {"schema": StructType.fromDDL("Price double, Time string")},
+        {"schema": StructType.fromDDL("Currency string")},
+    ):
+        with pytest.raises(Refused):
+            run(spark, replace(table, predicate="trade_id % 2 >= 0", **change))
+        assert sorted(map(tuple, spark.table("judged_target").collect())) == before
+    assert run(spark, replace(table, most_failing={"cheap": 0.9}, most_rows=1500, predicate="trade_id < 100"))["rows foreseen"] == 100
+    assert spark.table("judged_target").count() == 100
+    run(spark, replace(table, most_failing={"cheap": 1.0}, mode="append", predicate="trade_id < 10"))
+    assert spark.table("judged_target").count() == 110
+    spark.sql("drop table judged_target")
+
+    root = str(tmp_path / "files")
+    files = Job(source, target_root=root, day=date(2025, 3, 9), plan="flat")
+    run(spark, files)
+    with pytest.raises(Refused, match="cheap"):
+        run(spark, replace(files, rules={"cheap": F.col("Price") < 1}, most_failing={"cheap": 0.5}))
+    assert spark.read.parquet(f"{root}/2025-03-09").count() == 1500 and folders.names(spark, root) == ["2025-03-09"]
+
+
+def test_a_join_too_large_is_refused_without_running_it(spark, trades, source):
+    assert silver_rows(trades) == 37_500
+    with pytest.raises(Refused, match="37500") as refused:
+        run(spark, Job(source, target_table="never_made", most_rows=30_000))
+    assert refused.value.seen == {"rows foreseen": 37_500} and not spark.catalog.tableExists("never_made")
+
+
+def test_rows_that_fail_go_to_a_folder_of_their_own(spark, source, tmp_path):
+    rules = {"early": F.col("trade") < 1000, "even": F.col("trade") % 2 == 0}
+    df = spark.range(1500).select(F.when(F.col("id") != 5, F.col("id")).alias("trade"), F.lit("x").alias("name"))
+    target, rejects = str(tmp_path / "good"), str(tmp_path / "bad")
+    for mode, times in (("overwrite", 1), ("append", 2), ("overwrite", 1)):
+        seen = write_judged(df, rules, target, rejects=rejects, mode=mode)
+        assert seen == {"rows": 1500, "early": 500, "early undecided": 1, "even": 749, "even undecided": 1}
+        good = spark.read.schema(df.schema).parquet(target)
+        bad = {row["failed_rules"]: row["count"] for row in spark.read.parquet(rejects).groupBy("failed_rules").count().collect()}
+        assert good.count() == 500 * times and good.where("trade >= 1000 or trade % 2 = 1 or trade is null").isEmpty()
+        assert bad == {name: n * times for name, n in {"early": 250, "even": 499, "early,even": 250, "early undecided,even undecided": 1}.items()}
+    assert write_judged(df, rules, target, mode="ignore") == {}
+    with pytest.raises(FileExistsError):
+        write_judged(df, rules, target, mode="error")
+    none = write_judged(df, {"none": F.lit(False)}, target, rejects=rejects)
+    assert none["none"] == 1500 and spark.read.schema(df.schema).parquet(target).isEmpty()
+    all_of_them = write_judged(df, {"any": F.lit(True)}, target, rejects=rejects, format="csv")
+    assert all_of_them["any"] == 0 and spark.read.csv(target).count() == 1500 and folders.names(spark, rejects) == ["_SUCCESS"]
+    assert folders.names(spark, str(tmp_path)) == ["bad", "good"]
+    for bad_call in ({"rules": {}}, {"rules": rules, "most_failing": {"late": 0.1}}, {"rules": {"passed": F.lit(True)}}):
+        with pytest.raises(ValueError):
+            write_judged(df, path=target, **bad_call)
+
+
+def test_job_of_one_day_of_a_table(spark, source):
+    first, second = date(2025, 3, 9), date(2025, 3, 10)
+    job = Job(source, target_table="days_target", plan="silver_by_company", day_column="RUN_DAY", predicate="trade_id < 700")
+    assert run(spark, replace(job, day=first))["rows"] == 700
+    run(spark, replace(job, day=second))
+    before = sorted(map(tuple, spark.table("days_target").collect()), key=repr)
+    run(spark, replace(job, day=second))
+    assert sorted(map(tuple, spark.table("days_target").collect()), key=repr) == before
+    run(spark, replace(job, day=first, predicate="trade_id < 10"))
+    counts = lambda: {row["RUN_DAY"]: row["count"] for row in spark.table("days_target").groupBy("RUN_DAY").count().collect()}
+    assert counts() == {first: 10, second: 700}
+    assert run(spark, replace(job, day=first, predicate="false"))["rows"] == 0 and counts() == {second: 700}
+    spark.sql("drop table days_target")
+
+
 def test_job_to_dated_files(spark, source, tmp_path):
-    job = Job(source, target_root=str(tmp_path), day=date(2024, 10, 14), plan="flat", predicate="trade_id < 500")
+    job = Job(source, target_root=str(tmp_path), day=date(2025, 3, 9), plan="flat", predicate="trade_id < 500")
     assert run(spark, job)["rows"] == 500
-    assert spark.read.parquet(str(tmp_path / "2024-10-14")).count() == 500
+    assert spark.read.parquet(str(tmp_path / "2025-03-09")).count() == 500
 
 
 def test_job_of_own_company(spark, source):
@@ -95,6 +174,9 @@ def test_job_of_own_company(spark, source):
         ({"plan": "gold"}, "plan"),
         ({"row_key": ("no_key",)}, "no_key"),
         ({"target_table": None, "target_root": "/x"}, "day"),
+        ({"day_column": "d"}, "day"),
+        ({"day_column": "d", "day": date(2025, 3, 9), "most_failing": {"x": 0}}, "judged"),
+        ({"most_failing": {"x": 0}}, "no rules"),
     ],
 )
 def test_a_job_that_cannot_run_says_so(spark, source, change, message):

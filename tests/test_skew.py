@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import random
+from decimal import ROUND_HALF_UP, Decimal
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tapeloom.operators import join_lookup, rank_within, running_totals, totals_over
-from tapeloom.operators.skew import HASH, ROWS, SALT, hot_among, hot_keys, key_hash, salted
+from tapeloom.operators import join_lookup, join_rows, rank_within, running_totals, totals_over
+from tapeloom.operators.skew import CELL, HASH, ROWS, gridded, hot_among, hot_keys, key_hash
 from tapeloom.operators.windows import _sorted_spans
 from tapeloom.plans import flat, silver, silver_by_company
 from tapeloom.plans.silver_table import SilverOptions, checked_rank
@@ -50,7 +51,7 @@ def trades(spark):
     where = {"A": ["X", "Y"], "B": ["X", "Y"], "C": ["X"], "D": ["Y", "Z"], "E": ["Z"], None: ["Y", None]}
     prices = ["₹1,234.50", "1234.5", "-12.5", "n/a", "", None, "2000", "5000", "1e3", "₹250,000.25", "₹400,000"]
     changes = ["2%", "-1.5%", "0%", "x", None, "10%"]
-    times = ["2024-10-07 12:34:56", "2024-02-29 00:00:00", "2023-03-15 18:45:30", "2024-10-07 01:00:00"]
+    times = ["1999-12-31 23:59:59", "2024-02-29 00:00:00", "1970-01-01 00:00:01", "1999-12-31 01:00:00"]
     rows = []
     for i in range(600):
         company = rng.choice(["A"] * 5 + ["B", "C", "D", "E", None])
@@ -157,13 +158,74 @@ def test_lookup_join_is_a_plain_join(spark, skewed, null_safe, how, limits):
     assert rows_of(got) == rows_of(want)
 
 
+def cells_of(df):
+    return {tuple(row)[:2]: row["count"] for row in df.groupBy(*CELL).count().collect()}
+
+
 def test_copies_of_one_row_are_spread(spark):
     copies = spark.range(20_000).selectExpr("'hot' as k", "1 as v").repartition(16)
     lookup = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, x int")
-    dealt, repeated = salted(copies, lookup, ["k"], 1000, ["k", "v"])
-    assert repeated.where("k = 'hot'").count() == 21
-    per_salt = [row["count"] for row in dealt.groupBy(SALT).count().collect()]
-    assert sum(per_salt) == 20_000 and max(per_salt) < 10_000
+    grid = gridded(copies, lookup, ["k"], 1000, ["k", "v"])
+    assert grid.lookup.where("k = 'hot'").count() == 20
+    per_cell = cells_of(grid.rows)
+    assert sum(per_cell.values()) == 20_000 and max(per_cell.values()) < 10_000
+
+
+@pytest.mark.parametrize(("left", "right"), [(2, 10_000), (10_000, 2), (150, 150), (1, 20_000), (20_000, 0)])
+def test_a_key_hot_on_either_side_becomes_a_grid(spark, left, right):
+    rows = spark.range(left).selectExpr("'hot' as k", "id").union(spark.sql("select 'cold', -1L"))
+    lookup = spark.range(right).selectExpr("'hot' as k", "id as x").union(spark.sql("select 'cold', -1L")).union(spark.sql("select 'other', -2L"))
+    grid = gridded(rows, lookup, ["k"], 100, ["id"])
+    cells = -(-left * max(right, 1) // 100)
+    dealt, met = grid.rows.where("k = 'hot'"), grid.lookup.where("k = 'hot'")
+    parts = [max([1, *(row[0] + 1 for row in dealt.select(name).distinct().collect())]) for name in CELL]
+    assert 0.7 * cells <= parts[0] * parts[1] <= 1.5 * cells + 2
+    # Each side is copied once for each part of the other one, and the copies are as few as they can be.
+    assert dealt.count() == left * parts[1] and met.count() == right * parts[0]
+    assert dealt.count() + met.count() <= 2.5 * (left + right) + 3 * (cells * left * right) ** 0.5
+    assert grid.rows.where("k = 'cold'").count() == grid.lookup.where("k = 'cold'").count() == grid.lookup.where("k = 'other'").count() == 1
+    for how in ("left", "inner"):
+        got = join_lookup(rows, lookup, "k", how, spread_by=["id"], broadcast_bytes=0, hot_rows=100)
+        assert rows_of(got) == rows_of(rows.join(lookup, "k", how))
+
+
+def test_one_hot_key_among_many_is_dealt_out_before_it_is_multiplied(spark, capsys):
+    lookup = spark.range(2000).selectExpr("if(id < 100, -1, id) as k", "id as x")
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, -1, id) as k", "id")
+    got = join_lookup(rows, lookup, "k", "inner")
+    got.explain()
+    assert "REPARTITION" in capsys.readouterr().out
+    assert got.count() == 1000 * 100 + rows.join(lookup.where("k >= 0"), "k").count()
+
+
+def test_rows_of_a_join_are_foretold(spark, skewed):
+    lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("a", 4), (None, 5), ("none", 6)], "k string, x int")
+    for how in ("left", "inner"):
+        assert join_rows(skewed, lookup, "k", how) == skewed.join(lookup, "k", how).count()
+    assert join_rows(skewed.limit(0), lookup, "k") == 0
+    with pytest.raises(ValueError, match="full"):
+        join_rows(skewed, lookup, "k", "full")
+
+
+def test_nothing_is_written_where_nothing_is_hot(spark, skewed, monkeypatch):
+    monkeypatch.setattr("tapeloom.scratch.keep", lambda *_: pytest.fail("a table was written"))
+    assert hot_keys(skewed, ["k"], 10_000) is None
+
+
+@pytest.mark.parametrize("group_rows", [1, 50, 10**9])
+def test_exact_sums_do_not_depend_on_the_split(spark, group_rows):
+    rng = random.Random(3)
+    rows = [(i, rng.choice(["hot", "hot", "a", None]), rng.randint(1, 40), rng.choice([None, 0.1, 1e-7, 1234567.891, -0.3, 1 / 3])) for i in range(600)]
+    df = spark.createDataFrame(rows, "id bigint, k string, step int, v double").repartition(5)
+    wide = lambda v: Decimal(repr(v)).quantize(Decimal(1).scaleb(-18), ROUND_HALF_UP)
+    got = running_totals(df, "k", "step", "v", group_rows=group_rows, exact=True)
+    for row in got.collect():
+        met = [wide(v) for _, k, step, v in rows if k == row["k"] and step <= row["step"] and v is not None]
+        assert row["total"] == (float(sum(met)) if met else None) and row["average"] == (float(sum(met)) / len(met) if met else None)
+    for form in ("join", "window"):
+        for row in totals_over(df, "k", "v", form=form, group_rows=group_rows, exact=True).collect():
+            met = [wide(v) for _, k, _, v in rows if k == row["k"] and v is not None]
+            assert (row["total"], row["average"]) == (float(sum(met)), float(sum(met)) / len(met))
 
 
 @pytest.mark.parametrize("spread_by", [None, ["id"]])
