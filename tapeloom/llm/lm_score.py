@@ -5,8 +5,10 @@ other words belong to classes by their shape. The network gives each token's cla
 class for the vocabulary; within a shape class a word has its share of the training counts. The counts cover
 all training documents and are joined to the texts, never sent whole to a task.
 
-The network is trained in numpy by truncated backpropagation, on tasks that each start from the last round's
-mean and learn from their own documents. Its state goes on from window to window to the end of a document.
+Texts become arrays of small numbers once, in a written table that training and scoring read. The network is
+trained in numpy by truncated backpropagation, on tasks that each start from the last round's mean and learn
+from their own documents, laid back to back in lanes of equal length. In scoring its state goes on from window
+to window to the end of a document.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +26,12 @@ from pyspark.sql import functions as F
 
 from tapeloom import scratch
 from tapeloom.llm.common import id_and_text, residue, slices
-from tapeloom.operators.joins import join_lookup
 
 # Shapes of words outside the vocabulary: eight lengths, each with and without a character that is no letter.
 SHAPES = 16
 SMOOTHING = 0.1
+# Rows of a softmax at once, few enough to stay in a core's cache.
+ROWS = 4096
 _LOG10 = np.float64(np.log(10))
 
 
@@ -35,9 +39,9 @@ _LOG10 = np.float64(np.log(10))
 class Settings:
     """``vocabulary`` words in classes of ``class_words``; ``hidden`` is the size of state and embedding.
 
-    ``window`` tokens are one step of backpropagation. In each of ``rounds`` rounds every training task
-    learns from one in ``one_in`` of its training documents, another part each round. With as many rounds as
-    parts every training document is learnt from once; with fewer the rest is left out. ``lanes`` documents are run side by side. ``known`` bounds the table of frequent words.
+    ``window`` tokens of each of ``lanes`` lanes are one step of backpropagation. Training documents are dealt
+    into ``rounds`` parts, and each round learns from one of them, so that every document is learnt from
+    once. A task holds up to about ``held`` tokens at a time. ``known`` bounds the table of frequent words.
     """
 
     vocabulary: int = 2048
@@ -45,12 +49,16 @@ class Settings:
     hidden: int = 16
     window: int = 16
     rounds: int = 4
-    one_in: int = 4
-    lanes: int = 64
+    lanes: int = 1024
+    held: int = 4_000_000
     rate: float = 0.01
     seed: int = 7
     known: int = 1 << 19
 
+    def __post_init__(self) -> None:
+        if 1 + self.vocabulary + SHAPES > 1 << 16:
+            raise ValueError("ids are two bytes each, so the vocabulary is smaller")
+
 
 def tokens_of(text: str | None) -> list[bytes]:
     """Words, A-Z in lower case; white space is space and \\t to \\r."""
@@ -68,6 +76,31 @@ def shape_of(word: bytes) -> int:
     return 2 * length + (not word.isalpha())
 
 
+def _sigmoid(values: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)), in place; far below 0 it is 0."""
+    np.negative(values, out=values)
+    with np.errstate(over="ignore"):
+        np.exp(values, out=values)
+    values += 1
+    return np.reciprocal(values, out=values)
+
+
+def _log_softmax_at(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The logarithm of the softmax of each column in the row ``chosen``; ``logits`` are used up."""
+    logits -= logits.max(axis=0)
+    own = logits[chosen, np.arange(len(chosen))].astype(np.float64)
+    return own - np.log(np.exp(logits, out=logits).sum(axis=0))
+
+
+def _softmax_less(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The softmax of each column, in place, less 1 in the row ``chosen``."""
+    logits -= logits.max(axis=0)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=0)
+    logits[chosen, np.arange(len(chosen))] -= 1
+    return logits
+
+
 class Network:
     """Weights by name, and the passes over them. Classes: the end, the vocabulary's, then the shapes."""
 
@@ -107,164 +140,176 @@ class Network:
         shape = ids - vocabulary + self.word_classes
         return np.where(ids == 0, 0, np.where(ids <= vocabulary, 1 + (ids - 1) // size, shape))
 
+    # States, gates and logits have a column for each text: numpy then works along many texts at once.
+
     def step(self, inputs: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
-        """One token further: reset and update gate, candidate and new state. ``inputs``: rows of the gates."""
+        """One token further: reset and update gate, candidate and new state. ``inputs``: columns of the gates."""
         h = self.settings.hidden
-        gates = 1 / (1 + np.exp(-(inputs[:, : 2 * h] + state @ self.w["from_state"])))
-        reset, update = gates[:, :h], gates[:, h:]
-        new = np.tanh(inputs[:, 2 * h :] + (reset * state) @ self.w["to_new"])
+        gates = _sigmoid(self.w["from_state"].T @ state + inputs[: 2 * h])
+        reset, update = gates[:h], gates[h:]
+        new = _sigmoid(2 * (self.w["to_new"].T @ (reset * state) + inputs[2 * h :]))  # tanh, by way of exp
+        new *= 2
+        new -= 1
         return reset, update, new, state + update * (new - state)
 
-    def log_class(self, states: np.ndarray) -> np.ndarray:
-        logits = states @ self.w["to_class"] + self.w["class_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    def class_logits(self, states: np.ndarray) -> np.ndarray:
+        logits = self.w["to_class"].T @ states
+        logits += self.w["class_bias"][:, None]
+        return logits
 
-    def log_words(self, states: np.ndarray, word_class: int) -> np.ndarray:
-        logits = states @ self.w["to_word"][word_class] + self.w["word_bias"][word_class]
-        logits -= logits.max(axis=1, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    def word_logits(self, states: np.ndarray, word_class: int) -> np.ndarray:
+        logits = self.w["to_word"][word_class].T @ states
+        logits += self.w["word_bias"][word_class][:, None]
+        return logits
 
-    def log_prob(self, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Natural logarithm of each id's class, and of the word in it for the vocabulary."""
-        classes = self.class_of(ids)
-        found = self.log_class(states)[np.arange(len(ids)), classes].astype(np.float64)
+    def _by_class(self, ids: np.ndarray, classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Each class of the vocabulary that ids are in, and their places."""
         inside = np.flatnonzero((ids > 0) & (ids <= self.settings.vocabulary))
-        order = inside[np.argsort(classes[inside], kind="stable")]
+        order = inside[np.argsort(classes[inside].astype(np.uint16), kind="stable")]
         cuts = np.flatnonzero(np.diff(classes[order])) + 1
         for part in np.split(order, cuts) if len(order) else []:
-            own = int(classes[part[0]]) - 1
-            found[part] += self.log_words(states[part], own)[np.arange(len(part)), (ids[part] - 1) % self.settings.class_words]
+            yield int(classes[part[0]]) - 1, part
+
+    def log_prob(self, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Natural logarithm of each id's class, and of the word in it for the vocabulary."""
+        classes, found = self.class_of(ids), np.empty(len(ids))
+        for at in range(0, len(ids), ROWS):
+            part = slice(at, at + ROWS)
+            found[part] = _log_softmax_at(self.class_logits(np.ascontiguousarray(states[:, part])), classes[part])
+        for own, part in self._by_class(ids, classes):
+            words = (ids[part] - 1) % self.settings.class_words
+            found[part] += _log_softmax_at(self.word_logits(states[:, part], own), words)
         return found
 
     def input_rows(self) -> np.ndarray:
-        return self.w["embed"] @ self.w["to_gates"] + self.w["gate_bias"]
+        """What each input adds to the gates, in columns."""
+        return np.ascontiguousarray((self.w["embed"] @ self.w["to_gates"] + self.w["gate_bias"]).T)
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """Log-likelihood of whole id sequences; the network reads the token before, at first the end."""
         order = np.argsort([-len(ids) for ids in texts], kind="stable")
         lengths = np.array([len(texts[i]) for i in order])
         total = np.zeros(len(texts))
-        state = np.zeros((len(texts), self.settings.hidden), np.float32)
+        state = np.zeros((self.settings.hidden, len(texts)), np.float32)
         rows, window = self.input_rows(), self.settings.window
-        flat = np.concatenate([texts[i] for i in order]) if len(texts) else np.zeros(0, np.int32)
+        flat = np.concatenate([texts[i] for i in order]).astype(np.int64) if len(texts) else np.zeros(0, np.int64)
         heads = np.cumsum(lengths) - lengths
         at = 0
         while at < (lengths[0] if len(lengths) else 0):
-            most = 1 if at else 0
+            most = at
             states, wanted, owners = [], [], []
             # As many steps at once as keep the states that wait for the softmax few.
             active = int(np.searchsorted(-lengths, -at, side="left"))
-            for step in range(at, min(at + max(window, 4096 // max(1, active)), int(lengths[0]))):
+            for step in range(at, min(at + max(1, min(window, 65536 // active), ROWS // active), int(lengths[0]))):
                 active = int(np.searchsorted(-lengths, -step, side="left"))
                 before = flat[heads[:active] + step - 1] if step else np.zeros(active, np.int64)
-                state[:active] = self.step(rows[before], state[:active])[3]
-                states.append(state[:active].copy())
+                state[:, :active] = self.step(np.take(rows, before, axis=1), state[:, :active])[3]
+                states.append(state[:, :active].copy())
                 wanted.append(flat[heads[:active] + step])
                 owners.append(np.arange(active))
                 most = step + 1
-            found = self.log_prob(np.concatenate(states), np.concatenate(wanted))
+            found = self.log_prob(np.concatenate(states, axis=1), np.concatenate(wanted))
             total += np.bincount(np.concatenate(owners), found, len(texts))
             at = most
         result = np.zeros(len(texts))
         result[order] = total
         return result
 
-    def learn(self, ids: np.ndarray, state: np.ndarray, before: np.ndarray, mask: np.ndarray, adam: dict) -> np.ndarray:
-        """One step of truncated backpropagation over a window, ids and mask of (lanes, window).
+    def learn(self, ids: np.ndarray, state: np.ndarray, before: np.ndarray, adam: dict) -> np.ndarray:
+        """One step of truncated backpropagation over a window, ids of (window, lanes).
 
-        Returns the state after it. ``before`` is the token in front of the window.
+        Returns the state after it. ``before`` is the token in front of the window. After the end of a
+        document the next one starts from no state.
         """
         w, h = self.w, self.settings.hidden
-        lanes, window = ids.shape
-        inputs = np.column_stack([before, ids[:, :-1]])
-        embedded = w["embed"][inputs]
-        rows = embedded @ w["to_gates"] + w["gate_bias"]
-        trace = []
+        window, lanes = ids.shape
+        inputs = np.vstack([before[None], ids[:-1]])
+        used, place = np.unique(inputs, return_inverse=True)
+        place = place.ravel()
+        embedded = w["embed"][used]
+        rows = np.take(np.ascontiguousarray((embedded @ w["to_gates"] + w["gate_bias"]).T), place, axis=1)
+        goes_on = (inputs != 0).astype(state.dtype)
+        trace, states = [], np.empty((h, window * lanes), state.dtype)
         for t in range(window):
-            reset, update, new, after = self.step(rows[:, t], state)
-            after = np.where(mask[:, t, None], after, state)
-            trace.append((state, reset, update, new))
-            state = after
-        states = np.stack([entry[0] for entry in trace[1:]] + [state], axis=1)
-
-        live = mask.ravel()
-        flat_states, flat_ids = states.reshape(-1, h)[live], ids.ravel()[live]
-        count = max(1, len(flat_ids))
-        grads = {name: np.zeros_like(value) for name, value in w.items()}
+            own = slice(t * lanes, (t + 1) * lanes)
+            old = state * goes_on[t]
+            reset, update, new, state = self.step(rows[:, own], old)
+            trace.append((old, reset, update, new))
+            states[:, own] = state
+
+        flat_ids, count = ids.ravel(), ids.size
+        grads = {name: np.zeros_like(w[name]) for name in ("to_word", "word_bias", "to_new", "from_state", "embed")}
         classes = self.class_of(flat_ids)
-        out = np.exp(self.log_class(flat_states))
-        out[np.arange(len(flat_ids)), classes] -= 1
-        grads["to_class"] += flat_states.T @ out
-        grads["class_bias"] += out.sum(axis=0)
-        back = out @ w["to_class"].T
-        inside = np.flatnonzero((flat_ids > 0) & (flat_ids <= self.settings.vocabulary))
-        order = inside[np.argsort(classes[inside], kind="stable")]
-        for part in np.split(order, np.flatnonzero(np.diff(classes[order])) + 1) if len(order) else []:
-            own = int(classes[part[0]]) - 1
-            word = np.exp(self.log_words(flat_states[part], own))
-            word[np.arange(len(part)), (flat_ids[part] - 1) % self.settings.class_words] -= 1
-            grads["to_word"][own] += flat_states[part].T @ word
-            grads["word_bias"][own] += word.sum(axis=0)
-            back[part] += word @ w["to_word"][own].T
-        d_states = np.zeros((lanes * window, h), np.float32)
-        d_states[live] = back
-        d_states = d_states.reshape(lanes, window, h)
-
-        d_rows = np.zeros_like(rows)
-        carried = np.zeros((lanes, h), np.float32)
+        back = np.empty_like(states)
+        grads["to_class"], grads["class_bias"] = np.zeros_like(w["to_class"]), np.zeros_like(w["class_bias"])
+        for at in range(0, count, ROWS):
+            some = slice(at, at + ROWS)
+            held = np.ascontiguousarray(states[:, some])
+            out = _softmax_less(self.class_logits(held), classes[some])
+            grads["to_class"] += held @ out.T
+            grads["class_bias"] += out.sum(axis=1)
+            back[:, some] = w["to_class"] @ out
+        for own, part in self._by_class(flat_ids, classes):
+            held = states[:, part]
+            word = _softmax_less(self.word_logits(held, own), (flat_ids[part] - 1) % self.settings.class_words)
+            grads["to_word"][own] = held @ word.T
+            grads["word_bias"][own] = word.sum(axis=1)
+            back[:, part] += w["to_word"][own] @ word
+
+        d_rows = np.empty_like(rows)
+        carried = np.zeros((h, lanes), state.dtype)
         for t in reversed(range(window)):
+            own = slice(t * lanes, (t + 1) * lanes)
             old, reset, update, new = trace[t]
-            through = d_states[:, t] + carried
-            on = mask[:, t, None]
-            d_new = np.where(on, through * update * (1 - new * new), 0)
-            d_update = np.where(on, through * (new - old) * update * (1 - update), 0)
-            d_mixed = d_new @ w["to_new"].T
-            d_reset = d_mixed * old * reset * (1 - reset)
-            d_gates = np.concatenate([d_reset, d_update], axis=1)
-            grads["to_new"] += (reset * old).T @ d_new
-            grads["from_state"] += old.T @ d_gates
-            d_rows[:, t] = np.concatenate([d_gates, d_new], axis=1)
-            kept = through * (1 - update) + d_mixed * reset + d_gates @ w["from_state"].T
-            carried = np.where(on, kept, carried)
-        grads["gate_bias"] += d_rows.sum(axis=(0, 1))
-        grads["to_gates"] += embedded.reshape(-1, h).T @ d_rows.reshape(-1, 3 * h)
-        np.add.at(grads["embed"], inputs.ravel(), d_rows.reshape(-1, 3 * h) @ w["to_gates"].T)
+            through = back[:, own] + carried
+            d_new = through * update
+            d_new *= 1 - new * new
+            d_mixed = w["to_new"] @ d_new
+            d_gates = d_rows[: 2 * h, own]
+            d_gates[:h] = d_mixed * old * reset * (1 - reset)
+            d_gates[h:] = through * (new - old) * update * (1 - update)
+            d_rows[2 * h :, own] = d_new
+            grads["to_new"] += (reset * old) @ d_new.T
+            grads["from_state"] += old @ d_gates.T
+            carried = (through * (1 - update) + d_mixed * reset + w["from_state"] @ d_gates) * goes_on[t]
+        # Gradients of the rows are added up for each input that was met; only those embeddings move.
+        order = np.argsort(place.astype(np.uint16), kind="stable")
+        heads = np.searchsorted(place[order], np.arange(len(used)))
+        d_used = np.add.reduceat(np.take(d_rows, order, axis=1), heads, axis=1)
+        grads["gate_bias"] = d_used.sum(axis=1)
+        grads["to_gates"] = (d_used @ embedded).T
+        grads["embed"][used] = (w["to_gates"] @ d_used).T
 
         adam["t"] = adam.get("t", 0) + 1
+        scale = self.settings.rate * (1 - 0.99 ** adam["t"]) ** 0.5 / (1 - 0.9 ** adam["t"])
         for name, grad in grads.items():
             grad /= count
             np.clip(grad, -1, 1, out=grad)
             first, second = adam.setdefault(name, (np.zeros_like(grad), np.zeros_like(grad)))
             first += 0.1 * (grad - first)
             second += 0.01 * (grad * grad - second)
-            scale = self.settings.rate * np.sqrt(1 - 0.99 ** adam["t"]) / (1 - 0.9 ** adam["t"])
             w[name] -= scale * first / (np.sqrt(second) + 1e-8)
         return state
 
-    def train(self, texts: list[np.ndarray], adam: dict) -> int:
-        """Learn from id sequences, side by side in lanes of about one length; returns their tokens."""
-        window, lanes = self.settings.window, self.settings.lanes
-        ordered = sorted(texts, key=len, reverse=True)
-        first = 0
-        while first < len(ordered):
-            # Fewer lanes for long documents, so that a group stays small in memory.
-            group = ordered[first : first + max(1, min(lanes, 4_000_000 // len(ordered[first])))]
-            first += len(group)
-            longest = -(-len(group[0]) // window) * window
-            ids = np.zeros((len(group), longest), np.int64)
-            mask = np.zeros(ids.shape, bool)
-            for lane, text in enumerate(group):
-                ids[lane, : len(text)] = text
-                mask[lane, : len(text)] = True
-            state = np.zeros((len(group), self.settings.hidden), np.float32)
-            before = np.zeros(len(group), np.int64)
-            for at in range(0, longest, window):
-                on = mask[:, at].nonzero()[0]
-                part = slice(at, at + window)
-                state[on] = self.learn(ids[on, part], state[on], before[on], mask[on, part], adam)
-                before[on] = ids[on, at + window - 1]
-        return sum(map(len, texts))
+    def train(self, flat: np.ndarray, adam: dict) -> None:
+        """Learn from documents laid back to back, each with its end.
+
+        They are cut into lanes of about equal length, so that every step has all lanes to work on. A lane
+        that begins inside a document knows its last token, but starts from no state there.
+        """
+        lanes = max(1, min(self.settings.lanes, len(flat) // self.settings.window))
+        bounds = np.arange(lanes + 1) * len(flat) // lanes
+        starts, size = bounds[:-1], len(flat) // lanes
+        before = np.where(starts > 0, flat[starts - 1], 0).astype(np.int64)
+        state = np.zeros((self.settings.hidden, lanes), np.float32)
+        for at in range(0, size, self.settings.window):
+            places = starts + np.arange(at, min(at + self.settings.window, size))[:, None]
+            ids = flat[places].astype(np.int64)
+            state = self.learn(ids, state, before, adam)
+            before = ids[-1]
+        longer = np.flatnonzero(np.diff(bounds) > size)  # by one token
+        if len(longer):
+            self.learn(flat[starts[longer] + size].astype(np.int64)[None], state[:, longer], before[longer], adam)
 
     def packed(self) -> bytes:
         return np.concatenate([self.w[name].ravel() for name in sorted(self.w)]).tobytes()
@@ -278,17 +323,6 @@ class Network:
         return Network(weights, self.settings)
 
 
-class _Ids(dict):
-    """Network ids of words: the vocabulary's, or those of the shapes."""
-
-    def __init__(self, vocabulary: dict[bytes, int], size: int):
-        super().__init__(vocabulary)
-        self.size = size
-
-    def __missing__(self, word: bytes) -> int:
-        return 1 + self.size + shape_of(word)
-
-
 def word_counts(docs: DataFrame, learn: str) -> DataFrame:
     """word_key, word, shape and count of every distinct word in rows where ``learn`` holds.
 
@@ -318,22 +352,29 @@ def word_counts(docs: DataFrame, learn: str) -> DataFrame:
     return rows.groupBy("word_key", "word", "shape").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, learn: str, vocabulary: dict[bytes, int], network: Network) -> Network:
-    """Rounds of training on all tasks at once; the mean of their weights, by tokens, starts the next."""
+def train(sequences: DataFrame, network: Network) -> Network:
+    """Rounds of training on all tasks at once; the mean of their weights, by tokens, starts the next.
+
+    ``sequences`` has ``row``, ``turn`` and ``ids``, a document's ids in two bytes each.
+    """
     settings = network.settings
-    spark = docs.sparkSession
-    draw = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(settings.one_in))
+    spark = sequences.sparkSession
     for turn in range(settings.rounds):
-        shared = spark.sparkContext.broadcast((network.packed(), vocabulary))
+        shared = spark.sparkContext.broadcast(network.packed())
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            packed, words = shared.value
-            own = Network.new(settings)
-            own = own.unpacked(np.frombuffer(packed, np.float32))
-            ids, adam, tokens = _Ids(words, settings.vocabulary), {}, 0
-            for part in slices(batches):
-                texts = [_sequence(tokens_of(text), ids) for text in part.column("text").to_pylist()]
-                tokens += own.train(texts, adam)
+            own = Network.new(settings).unpacked(np.frombuffer(shared.value, np.float32))
+            adam, tokens, held, waiting = {}, 0, [], 0
+            for batch in batches:
+                for data in batch.column("ids").to_pylist():
+                    held.append(np.frombuffer(data, np.uint16))
+                    waiting += len(held[-1])
+                    if waiting >= settings.held:
+                        own.train(np.concatenate(held), adam)
+                        tokens, held, waiting = tokens + waiting, [], 0
+            if waiting:
+                own.train(np.concatenate(held), adam)
+                tokens += waiting
             if tokens:
                 sums = np.frombuffer(own.packed(), np.float32) * np.float64(tokens)
                 yield pa.RecordBatch.from_arrays([pa.array([tokens]), pa.array([sums.tobytes()], pa.binary())], ["tokens", "sums"])
@@ -349,7 +390,7 @@ def train(docs: DataFrame, learn: str, vocabulary: dict[bytes, int], network: Ne
 
         schema = "tokens bigint, sums binary"
         parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        chosen = docs.where(learn).where(draw == turn % settings.one_in).select("text").repartition(parts)
+        chosen = sequences.where(F.col("turn") == turn).repartition(parts, "row").select("ids")
         trained = chosen.mapInArrow(run, schema)
         # Sums of about as many tables as tasks, in two steps: no task and not the driver gets all of them.
         merged = trained.repartition(max(1, int(parts**0.5))).mapInArrow(add, schema)
@@ -363,9 +404,132 @@ def train(docs: DataFrame, learn: str, vocabulary: dict[bytes, int], network: Ne
     return network
 
 
-def _sequence(words: list[bytes], ids: _Ids) -> np.ndarray:
-    """Ids of the words and then the end."""
-    return np.fromiter([*map(ids.__getitem__, words), 0], np.int32, len(words) + 1)
+@dataclass(frozen=True)
+class Counts:
+    """What the training documents hold, as far as a task needs it.
+
+    ``place``: frequent words by their number, the most frequent first; ``log``: log10 of their counts with
+    0.1 added; ``shape`` of each. ``tail``: log10 of what a count of a word outside the vocabulary is
+    divided by, for each shape. ``ends`` is the number of training documents.
+    """
+
+    place: dict[bytes, int]
+    log: np.ndarray
+    shape: np.ndarray
+    tail: np.ndarray
+    ends: int
+    total: int
+    floor: float
+
+    def sequence(self, words: list[bytes], vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each word its number, -1 where it is not frequent, its shape, and the network's id."""
+        place = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        shape = self.shape[place] if len(self.shape) else np.zeros(len(words), np.int64)
+        for i in np.flatnonzero(place < 0).tolist():
+            shape[i] = shape_of(words[i])
+        ids = np.where((place >= 0) & (place < vocabulary), place + 1, 1 + vocabulary + shape)
+        return place, shape, ids
+
+
+def counted(counts: DataFrame, ends: int, settings: Settings) -> tuple[Counts, Network]:
+    """The counts of words, a written table, as tasks need them, and a network that starts from them."""
+    sums = counts.groupBy("shape").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()
+    total, distinct = sum(row["n"] for row in sums) + ends, sum(row["words"] for row in sums) + bool(ends)
+    # Fewer than ``known`` words can each have more than one in ``known`` tokens.
+    often = counts.where(F.col("n") * settings.known > total).select("word", "shape", "n").collect()
+    table = sorted(often, key=lambda row: (-row["n"], bytes(row["word"])))
+    # Words in the vocabulary are no longer words of their shape.
+    tail, words = np.zeros(SHAPES), np.zeros(SHAPES)
+    for row in sums:
+        tail[row["shape"]], words[row["shape"]] = row["n"], row["words"]
+    for row in table[: settings.vocabulary]:
+        tail[row["shape"]] -= row["n"]
+        words[row["shape"]] -= 1
+    numbers = np.array([row["n"] for row in table], np.float64)
+    shared = Counts(
+        {bytes(row["word"]): i for i, row in enumerate(table)}, np.log10(numbers + SMOOTHING),
+        np.array([row["shape"] for row in table], np.int64), np.log10(tail + SMOOTHING * (words + 1)),
+        ends, total, float(np.log10(total + SMOOTHING * (distinct + 1))),
+    )
+    first = [row["n"] for row in table[: settings.vocabulary]]
+    return shared, Network.new(settings).start_from(ends, first, tail.tolist())
+
+
+def encoded(rows: DataFrame, shared, settings: Settings) -> DataFrame:
+    """A written table of all rows with their ids, and what the counts alone say of them.
+
+    ``base`` and ``inside`` are sums of log10 over frequent words: of their share of all tokens, and, outside the
+    vocabulary, of their share of their shape. Words that are not frequent are listed by key, and how often.
+    """
+    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "inside", "keys", "times", "ids", "turn"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counts = shared.value
+        end = float(np.log10(counts.ends + SMOOTHING))
+        for part in slices(batches):
+            each = [tokens_of(text) for text in part.column("text").to_pylist()]
+            sizes = np.array([len(words) for words in each], np.int64)
+            words = list(chain.from_iterable(each))
+            owner = np.repeat(np.arange(len(each)), sizes)
+            place, shape, ids = counts.sequence(words, settings.vocabulary)
+            known, outside = place >= 0, ids > settings.vocabulary
+            log = np.zeros(len(words))
+            log[known] = counts.log[place[known]]
+
+            def per_row(values: np.ndarray) -> np.ndarray:
+                return np.bincount(owner, values, len(each))
+
+            inside = per_row(np.where(outside, log - counts.tail[shape], 0))
+            base = per_row(log) + end - (sizes + 1) * counts.floor
+            rare = np.flatnonzero(~known)
+            keys = np.array([word_key(words[i]) for i in rare.tolist()], np.int64)
+            order = np.lexsort((keys, owner[rare]))
+            keys, owners = keys[order], owner[rare][order]
+            first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])])) if len(keys) else rare
+            times = np.diff(np.concatenate([first, [len(keys)]]))
+            ends = np.concatenate([[0], np.cumsum(np.bincount(owners[first], minlength=len(each)))]).astype(np.int32)
+            bounds = np.cumsum(sizes) - sizes
+            whole = ids.astype(np.uint16)
+            sequences = [
+                np.append(whole[a : a + n], np.uint16(0)).tobytes() for a, n in zip(bounds.tolist(), sizes.tolist())
+            ]
+            arrays = [
+                part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(sizes + 1),
+                pa.array(per_row(known.astype(float)).astype(np.int64) + (1 if counts.ends else 0)), pa.array(base), pa.array(inside),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[first])),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(times.astype(np.int32))),
+                pa.array(sequences, pa.binary()), part.column("turn"),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    schema = (
+        "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, inside double, "
+        "keys array<bigint>, times array<int>, ids binary, turn int"
+    )
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    dealt = numbered.withColumn("turn", F.pmod(F.xxhash64("row"), F.lit(settings.rounds)).cast("int"))
+    return scratch.keep(dealt.select("row", "doc_id", "text", "held_out", "turn").mapInArrow(run, schema), "sequences")
+
+
+@dataclass(frozen=True)
+class Fitted:
+    """A trained model, the counts it goes with, of all words, and the documents as ids."""
+
+    network: Network
+    counts: Counts
+    words: DataFrame
+    sequences: DataFrame
+
+
+def fitted(docs: DataFrame, settings: Settings = Settings(), hold_out: int = 0, modulus: int = 10) -> Fitted:
+    """Learn from all but one fold of ``docs``."""
+    rows = id_and_text(docs).withColumn("held_out", residue("doc_id", modulus) == hold_out)
+    words = scratch.keep(word_counts(rows, "not held_out"), "words")
+    counts, network = counted(words, rows.where("not held_out").count(), settings)
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    sequences = encoded(rows, shared, settings)
+    shared.unpersist()
+    return Fitted(train(sequences.where("not held_out").select("row", "turn", "ids"), network), counts, words, sequences)
 
 
 def scored(docs: DataFrame, settings: Settings = Settings(), hold_out: int = 0, modulus: int = 10) -> DataFrame:
@@ -380,85 +544,37 @@ def scored(docs: DataFrame, settings: Settings = Settings(), hold_out: int = 0,
     table that can have no more words than that. The others go by word to the counts and come back as one
     sum for each row; none of them has many rows.
     """
-    spark = docs.sparkSession
-    fold = residue("doc_id", modulus)
-    rows = id_and_text(docs).withColumn("held_out", fold == hold_out)
-    counts = scratch.keep(word_counts(rows, "not held_out"), "words")
-    ends = rows.where("not held_out").count()
-    sums = counts.groupBy("shape").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()
-    total, distinct = sum(row["n"] for row in sums) + ends, sum(row["words"] for row in sums) + bool(ends)
-    # Fewer than ``known`` words can each have more than one in ``known`` tokens.
-    often = counts.where(F.col("n") * settings.known > total).select("word", "n").collect()
-    table = sorted(often, key=lambda row: (-row["n"], bytes(row["word"])))
-    vocabulary = {bytes(row["word"]): 1 + i for i, row in enumerate(table[: settings.vocabulary])}
-    frequent = {bytes(row["word"]): row["n"] for row in table}
-    # Words in the vocabulary are no longer words of their shape.
-    tail = {shape: [0, 0] for shape in range(SHAPES)}
-    for row in sums:
-        tail[row["shape"]] = [row["n"], row["words"]]
-    for word in vocabulary:
-        tail[shape_of(word)][0] -= frequent[word]
-        tail[shape_of(word)][1] -= 1
-
-    words = [row["n"] for row in table[: settings.vocabulary]]
-    first = Network.new(settings).start_from(ends, words, [tail[shape][0] for shape in range(SHAPES)])
-    network = train(rows, "not held_out", vocabulary, first)
-    floor = np.log10(total + SMOOTHING * (distinct + 1))
-    in_shape = {shape: float(np.log10(n + SMOOTHING * (words + 1))) for shape, (n, words) in tail.items()}
-    known = {word: (float(np.log10(n + SMOOTHING)), n) for word, n in frequent.items()}
-    model = spark.sparkContext.broadcast((network.packed(), vocabulary, known, ends, float(floor), in_shape))
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed, vocabulary, known, ends, floor, in_shape = model.value
-        network = Network.new(settings).unpacked(np.frombuffer(packed, np.float32))
-        ids = _Ids(vocabulary, settings.vocabulary)
-        end = float(np.log10(ends + SMOOTHING))
-        names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "keys", "times"]
+    return apply(fitted(docs, settings, hold_out, modulus))
+
+
+def apply(model: Fitted) -> DataFrame:
+    """The scores of the documents that ``model`` has as ids."""
+    settings = model.network.settings
+    local = model.sequences
+    shared = local.sparkSession.sparkContext.broadcast(model.network.packed())
+    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network = Network.new(settings).unpacked(np.frombuffer(shared.value, np.float32))
         for part in batches:  # whole batches: the more documents side by side, the fewer steps
-            entries, sequences = [], []
-            for row, key, text, held in zip(*(part.column(n).to_pylist() for n in ("row", "doc_id", "text", "held_out"))):
-                words = tokens_of(text)
-                sequences.append(_sequence(words, ids))
-                base, inside, found, keys, times = end, 0.0, 1 if ends else 0, [], []
-                for word, n in Counter(words).items():
-                    entry = known.get(word)
-                    if word not in vocabulary:
-                        inside -= n * in_shape[shape_of(word)]
-                    if entry is None:
-                        keys.append(word_key(word))
-                        times.append(n)
-                    else:
-                        base += n * entry[0]
-                        found += n
-                        if word not in vocabulary:
-                            inside += n * entry[0]
-                entries.append([row, key, held, len(words) + 1, found, base - (len(words) + 1) * floor, inside, keys, times])
-            likely = network.score(sequences) / _LOG10
-            for entry, value in zip(entries, likely):
-                entry[6] += float(value)
-            kinds = (
-                pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                pa.list_(pa.int64()), pa.list_(pa.int32()),
-            )
-            yield pa.RecordBatch.from_arrays([pa.array([e[i] for e in entries], k) for i, k in enumerate(kinds)], names)
+            likely = network.score([np.frombuffer(data, np.uint16) for data in part.column("ids").to_pylist()]) / _LOG10
+            own = part.column("inside").to_numpy() + likely
+            yield pa.RecordBatch.from_arrays([*(part.column(name) for name in names[:-1]), pa.array(own)], names)
 
-    schema = (
-        "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, "
-        "keys array<bigint>, times array<int>"
-    )
-    numbered = rows.withColumn("row", F.monotonically_increasing_id())
-    local = scratch.keep(numbered.select("row", "doc_id", "text", "held_out").mapInArrow(read, schema), "scores")
+    schema = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double"
+    likely = local.select(*names[:-1], "inside", "ids").mapInArrow(run, schema)
     rare = local.select("row", F.explode(F.arrays_zip("keys", "times")).alias("entry"))
     rare = rare.select("row", F.col("entry.keys").alias("word_key"), F.col("entry.times").alias("times"))
-    met = rare.join(counts.groupBy("word_key").agg(F.sum("n").alias("n")), "word_key", "left")
+    met = rare.join(model.words.groupBy("word_key").agg(F.sum("n").alias("n")), "word_key", "left")
     seen = F.coalesce("n", F.lit(0))
     back = met.groupBy("row").agg(
         F.sum(F.col("times") * F.log10(seen + F.lit(SMOOTHING))).alias("log"),
         F.sum(F.when(seen > 0, F.col("times").cast("bigint")).otherwise(F.lit(0))).alias("known"),
     )
-    joined = local.drop("keys", "times").join(back, "row", "left")
+    joined = likely.join(back, "row", "left")
     log = F.coalesce("log", F.lit(0.0))
     return joined.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("bigint").alias("train_tokens"), (F.col("base") + log).alias("base_score"), (F.col("score") + log).alias("score"),
+        F.lit(model.counts.total).cast("bigint").alias("train_tokens"), (F.col("base") + log).alias("base_score"),
+        (F.col("score") + log).alias("score"),
     )

@@ -6,13 +6,14 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tapeloom import scratch
 from tapeloom.llm import byte_bpe, lm_score, quality_rules
 from tests.llm import data
 
-SMALL = lm_score.Settings(vocabulary=64, class_words=8, hidden=8, window=4, one_in=2, lanes=8)
+SMALL = lm_score.Settings(vocabulary=64, class_words=8, hidden=8, window=4, lanes=8)
 
 
 def base_scores(rows):
@@ -45,34 +46,53 @@ def test_model_is_better_than_the_base_on_held_out_documents(spark, testdata):
     assert held["sum(score)"] > held["sum(base_score)"]
 
 
-def test_every_training_document_reaches_the_network(spark):
-    settings = lm_score.Settings()
-    assert {turn % settings.one_in for turn in range(settings.rounds)} == set(range(settings.one_in))
-    own = lm_score.Settings(**{**SMALL.__dict__, "rounds": settings.rounds, "one_in": settings.one_in})
-    start = lm_score.Network.new(own).packed()
-    for key in range(4):
-        docs = spark.createDataFrame([(key, "a b a c")], "doc_id bigint, text string")
-        assert lm_score.train(docs, "true", {b"a": 1, b"b": 2}, lm_score.Network.new(own)).packed() != start
+def test_every_training_document_is_learnt_from_once(awkward):
+    settings = lm_score.Settings(**{**SMALL.__dict__, "rounds": 3})
+    rows = lm_score.fitted(awkward, settings).sequences.collect()
+    assert {row["turn"] for row in rows} == {0, 1, 2} and len({row["row"] for row in rows}) == len(rows) == awkward.count()
+    assert all(len(row["ids"]) == 2 * row["n_tokens"] for row in rows)
+    one = awkward.sparkSession.createDataFrame([(5, turn, bytearray(b"\3\0\0\0")) for turn in (0,)], "row bigint, turn int, ids binary")
+    start = lm_score.Network.new(settings)
+    for turn in range(3):
+        moved = lm_score.train(one.withColumn("turn", F.lit(turn)), lm_score.Network.new(settings))
+        assert moved.packed() != start.packed()
+    assert lm_score.train(one.withColumn("turn", F.lit(3)), lm_score.Network.new(settings)).packed() == start.packed()
+
+
+@pytest.mark.parametrize("lanes", [1, 3, 8])
+def test_lanes_hold_every_token_once(monkeypatch, lanes):
+    met = []
+
+    def learn(self, ids, state, before, adam):
+        met.append((ids.copy(), before.copy()))
+        return state
+
+    monkeypatch.setattr(lm_score.Network, "learn", learn)
+    settings = lm_score.Settings(**{**SMALL.__dict__, "lanes": lanes})
+    flat = np.arange(1, 104).astype(np.uint16)
+    lm_score.Network.new(settings).train(flat, {})
+    assert sorted(np.concatenate([ids.ravel() for ids, _ in met]).tolist()) == flat.tolist()
+    for ids, before in met:
+        assert (np.vstack([before[None], ids[:-1]]) + 1 == ids).all()
 
 
 def test_gradients():
     settings = lm_score.Settings(vocabulary=8, class_words=4, hidden=3, window=3, rate=0.0)
     network = lm_score.Network.new(settings)
     network.w = {name: value.astype(np.float64) for name, value in network.w.items()}
-    ids, before, mask = np.array([[3, 0, 12], [8, 9, 0]]), np.array([0, 1]), np.array([[1, 1, 1], [1, 1, 0]], bool)
-    state = np.full((2, 3), 0.1)
+    ids, before = np.array([[3, 8], [0, 9], [12, 12]]), np.array([0, 1])
+    state = np.full((3, 2), 0.1)
 
     def loss():
-        rows, held, total = network.w["embed"] @ network.w["to_gates"] + network.w["gate_bias"], state, 0.0
-        inputs = np.column_stack([before, ids[:, :-1]])
+        rows, held, total = network.input_rows(), state, 0.0
+        inputs = np.vstack([before[None], ids[:-1]])
         for t in range(3):
-            held = np.where(mask[:, t, None], network.step(rows[inputs[:, t]], held)[3], held)
-            live = mask[:, t]
-            total -= network.log_prob(held[live], ids[live, t]).sum()
-        return total / mask.sum()
+            held = network.step(rows[:, inputs[t]], held * (inputs[t] != 0))[3]
+            total -= network.log_prob(held, ids[t]).sum()
+        return total / ids.size
 
     adam = {}
-    network.learn(ids, state, before, mask, adam)
+    network.learn(ids, state, before, adam)
     for name, value in network.w.items():
         place = tuple(np.unravel_index(int(np.abs(adam[name][0]).argmax()), value.shape))
         kept, step = value[place], 1e-5
@@ -84,6 +104,60 @@ def test_gradients():
         assert adam[name][0][place] == pytest.approx(0.1 * (up - down) / (2 * step), rel=1e-3, abs=1e-7)
 
 
+def plain_score(network, ids):
+    """One text at a time and one token at a time, in double precision."""
+    w, settings = {name: value.astype(float) for name, value in network.w.items()}, network.settings
+    h, state, before, total = settings.hidden, np.zeros(settings.hidden), 0, 0.0
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    softmax = lambda x: np.exp(x) / np.exp(x).sum()
+    for token in ids:
+        row = w["embed"][before] @ w["to_gates"] + w["gate_bias"]
+        gates = sigmoid(row[: 2 * h] + state @ w["from_state"])
+        new = np.tanh(row[2 * h :] + (gates[:h] * state) @ w["to_new"])
+        state = (1 - gates[h:]) * state + gates[h:] * new
+        classes = softmax(state @ w["to_class"] + w["class_bias"])
+        if token == 0:
+            total += np.log(classes[0])
+        elif token > settings.vocabulary:
+            total += np.log(classes[network.word_classes + token - settings.vocabulary])
+        else:
+            own, word = divmod(token - 1, settings.class_words)
+            total += np.log(classes[1 + own]) + np.log(softmax(state @ w["to_word"][own] + w["word_bias"][own])[word])
+        before = token
+    return total
+
+
+@pytest.mark.parametrize("known", [40, 1 << 19])
+def test_scores_are_those_of_a_plain_pass(awkward, known):
+    model = lm_score.fitted(awkward, lm_score.Settings(**{**SMALL.__dict__, "vocabulary": 16, "known": known}))
+    learnt, counts = Counter(), {}
+    rows = [(row["doc_id"], row["text"]) for row in awkward.collect()]
+    held = [zlib.crc32(("" if key is None else str(key)).encode()) % 10 == 0 for key, _ in rows]
+    for (_, text), out in zip(rows, held):
+        if not out:
+            learnt.update(word.encode() for word in data.words_of(text))
+    first = [word for word, _ in sorted(learnt.items(), key=lambda entry: (-entry[1], entry[0]))][:16]
+    for word, n in learnt.items():
+        if word not in first:
+            shape = counts.setdefault(lm_score.shape_of(word), [0, 0])
+            shape[0], shape[1] = shape[0] + n, shape[1] + 1
+    want = []
+    for key, text in rows:
+        words = [word.encode() for word in data.words_of(text)]
+        ids = [1 + first.index(word) if word in first else 17 + lm_score.shape_of(word) for word in words]
+        total = plain_score(model.network, [*ids, 0]) / math.log(10)
+        for word in words:
+            if word not in first:
+                n, distinct = counts.get(lm_score.shape_of(word), (0, 0))
+                total += math.log10((learnt[word] + 0.1) / (n + 0.1 * (distinct + 1)))
+        want.append((key, total))
+    got = [(row["doc_id"], row["score"]) for row in lm_score.apply(model).collect()]
+    order = lambda entry: (entry[0] is not None, entry[0] or 0, entry[1])
+    got, want = sorted(got, key=order), sorted(want, key=order)
+    assert [key for key, _ in got] == [key for key, _ in want]
+    assert [score for _, score in got] == pytest.approx([score for _, score in want], rel=2e-4)
+
+
 def test_scores_do_not_depend_on_the_batch():
     network = lm_score.Network.new(SMALL)
     draw = np.random.default_rng(1)
@@ -91,8 +165,7 @@ def test_scores_do_not_depend_on_the_batch():
     together = network.score(texts)
     assert together == pytest.approx([network.score([text])[0] for text in texts], rel=1e-4)
     assert len(network.score([])) == 0
-    states = draw.standard_normal((5, SMALL.hidden)).astype(np.float32)
-    assert np.exp(network.log_class(states)).sum(axis=1) == pytest.approx(np.ones(5), rel=1e-5)
+    assert together == pytest.approx([plain_score(network, text) for text in texts], rel=1e-4)
 
 
 def test_stages(spark, testdata):
