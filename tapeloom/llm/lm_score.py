@@ -30,6 +30,8 @@ from tapeloom.llm.common import id_and_text, residue, slices
 # Shapes of words outside the vocabulary: eight lengths, each with and without a character that is no letter.
 SHAPES = 16
 SMOOTHING = 0.1
+# Words that a task remembers.
+REMEMBERED = 300_000
 # Rows of a softmax at once, few enough to stay in a core's cache.
 ROWS = 4096
 _LOG10 = np.float64(np.log(10))
@@ -65,15 +67,16 @@ def tokens_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def word_key(word: bytes) -> int:
-    """64 bits that stand for a word in joins, signed."""
-    number = xxhash.xxh64_intdigest(word)
-    return number - (1 << 64) if number >> 63 else number
+def word_keys(words: list[bytes]) -> np.ndarray:
+    """64 bits that stand for each word in joins, signed."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
 
-def shape_of(word: bytes) -> int:
-    length = min(7, (len(word) - 1) // 2)
-    return 2 * length + (not word.isalpha())
+def shapes_of(words: list[bytes]) -> np.ndarray:
+    """The shape of each word."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    letters = np.fromiter(map(bytes.isalpha, words), np.int64, len(words))
+    return 2 * np.minimum(7, (lengths - 1) // 2) + 1 - letters
 
 
 def _sigmoid(values: np.ndarray) -> np.ndarray:
@@ -85,18 +88,28 @@ def _sigmoid(values: np.ndarray) -> np.ndarray:
     return np.reciprocal(values, out=values)
 
 
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray | float]:
+    """The sum of each column's exponentials, which take the place of ``logits``, and what was taken off before."""
+    top = logits.max()
+    if top < 60 and logits.min() > -60:  # all of them fit in a float, and none of their sums is 0
+        top = 0.0
+    else:
+        top = logits.max(axis=0)
+        logits -= top
+    return np.exp(logits, out=logits).sum(axis=0), top
+
+
 def _log_softmax_at(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """The logarithm of the softmax of each column in the row ``chosen``; ``logits`` are used up."""
-    logits -= logits.max(axis=0)
     own = logits[chosen, np.arange(len(chosen))].astype(np.float64)
-    return own - np.log(np.exp(logits, out=logits).sum(axis=0))
+    sums, top = _exponentials(logits)
+    return own - np.log(sums) - top
 
 
 def _softmax_less(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """The softmax of each column, in place, less 1 in the row ``chosen``."""
-    logits -= logits.max(axis=0)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=0)
+    sums, _ = _exponentials(logits)
+    logits *= 1 / sums
     logits[chosen, np.arange(len(chosen))] -= 1
     return logits
 
@@ -162,13 +175,13 @@ class Network:
         logits += self.w["word_bias"][word_class][:, None]
         return logits
 
-    def _by_class(self, ids: np.ndarray, classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Each class of the vocabulary that ids are in, and their places."""
+    def _by_class(self, ids: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+        """Places of ids in the vocabulary, in order of class, and each class with where it stands there."""
         inside = np.flatnonzero((ids > 0) & (ids <= self.settings.vocabulary))
         order = inside[np.argsort(classes[inside].astype(np.uint16), kind="stable")]
-        cuts = np.flatnonzero(np.diff(classes[order])) + 1
-        for part in np.split(order, cuts) if len(order) else []:
-            yield int(classes[part[0]]) - 1, part
+        cuts = [0, *(np.flatnonzero(np.diff(classes[order])) + 1).tolist(), len(order)]
+        spans = [slice(a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
+        return order, [(int(classes[order[span.start]]) - 1, span) for span in spans]
 
     def log_prob(self, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural logarithm of each id's class, and of the word in it for the vocabulary."""
@@ -176,9 +189,11 @@ class Network:
         for at in range(0, len(ids), ROWS):
             part = slice(at, at + ROWS)
             found[part] = _log_softmax_at(self.class_logits(np.ascontiguousarray(states[:, part])), classes[part])
-        for own, part in self._by_class(ids, classes):
-            words = (ids[part] - 1) % self.settings.class_words
-            found[part] += _log_softmax_at(self.word_logits(states[:, part], own), words)
+        order, spans = self._by_class(ids, classes)
+        held, words, inside = np.take(states, order, axis=1), (ids[order] - 1) % self.settings.class_words, np.empty(len(order))
+        for own, span in spans:
+            inside[span] = _log_softmax_at(self.word_logits(held[:, span], own), words[span])
+        found[order] += inside
         return found
 
     def input_rows(self) -> np.ndarray:
@@ -249,12 +264,15 @@ class Network:
             grads["to_class"] += held @ out.T
             grads["class_bias"] += out.sum(axis=1)
             back[:, some] = w["to_class"] @ out
-        for own, part in self._by_class(flat_ids, classes):
-            held = states[:, part]
-            word = _softmax_less(self.word_logits(held, own), (flat_ids[part] - 1) % self.settings.class_words)
-            grads["to_word"][own] = held @ word.T
+        order, spans = self._by_class(flat_ids, classes)
+        held, words = np.take(states, order, axis=1), (flat_ids[order] - 1) % self.settings.class_words
+        through = np.empty_like(held)
+        for own, span in spans:
+            word = _softmax_less(self.word_logits(held[:, span], own), words[span])
+            grads["to_word"][own] = held[:, span] @ word.T
             grads["word_bias"][own] = word.sum(axis=1)
-            back[:, part] += w["to_word"][own] @ word
+            through[:, span] = w["to_word"][own] @ word
+        back[:, order] += through
 
         d_rows = np.empty_like(rows)
         carried = np.zeros((h, lanes), state.dtype)
@@ -335,8 +353,8 @@ def word_counts(docs: DataFrame, learn: str) -> DataFrame:
         def flush() -> pa.RecordBatch:
             words = list(counts)
             arrays = [
-                pa.array([word_key(word) for word in words], pa.int64()), pa.array(words, pa.binary()),
-                pa.array([shape_of(word) for word in words], pa.int32()), pa.array(list(counts.values()), pa.int64()),
+                pa.array(word_keys(words)), pa.array(words, pa.binary()),
+                pa.array(shapes_of(words).astype(np.int32)), pa.array(list(counts.values()), pa.int64()),
             ]
             return pa.RecordBatch.from_arrays(arrays, ["word_key", "word", "shape", "n"])
 
@@ -421,14 +439,31 @@ class Counts:
     total: int
     floor: float
 
-    def sequence(self, words: list[bytes], vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each word its number, -1 where it is not frequent, its shape, and the network's id."""
-        place = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
-        shape = self.shape[place] if len(self.shape) else np.zeros(len(words), np.int64)
-        for i in np.flatnonzero(place < 0).tolist():
-            shape[i] = shape_of(words[i])
-        ids = np.where((place >= 0) & (place < vocabulary), place + 1, 1 + vocabulary + shape)
-        return place, shape, ids
+
+
+class _Seen(dict):
+    """Numbers of the words that a task has met: those of frequent words, and from -1 down those of others."""
+
+    def __init__(self, place: dict[bytes, int]):
+        super().__init__()
+        self.place, self.rare = place, []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self.place.get(word)
+        if number is None:
+            self.rare.append(word)
+            number = -len(self.rare)
+        self[word] = number
+        return number
+
+    def numbers(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The number of each word, and the shapes and keys of all others met, the last one first."""
+        if len(self) > REMEMBERED:
+            self.clear()
+            self.rare.clear()
+        found = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        others = self.rare[::-1]
+        return found, shapes_of(others), word_keys(others)
 
 
 def counted(counts: DataFrame, ends: int, settings: Settings) -> tuple[Counts, Network]:
@@ -465,16 +500,18 @@ def encoded(rows: DataFrame, shared, settings: Settings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counts = shared.value
-        end = float(np.log10(counts.ends + SMOOTHING))
+        end, seen, vocabulary = float(np.log10(counts.ends + SMOOTHING)), _Seen(counts.place), settings.vocabulary
         for part in slices(batches):
             each = [tokens_of(text) for text in part.column("text").to_pylist()]
             sizes = np.array([len(words) for words in each], np.int64)
             words = list(chain.from_iterable(each))
             owner = np.repeat(np.arange(len(each)), sizes)
-            place, shape, ids = counts.sequence(words, settings.vocabulary)
-            known, outside = place >= 0, ids > settings.vocabulary
-            log = np.zeros(len(words))
-            log[known] = counts.log[place[known]]
+            place, other_shapes, other_keys = seen.numbers(words)
+            # Places from the end of these tables are those of words that are not frequent.
+            shape = np.concatenate([counts.shape, other_shapes])[place]
+            log = np.concatenate([counts.log, np.zeros(len(other_keys))])[place]
+            known, outside = place >= 0, (place < 0) | (place >= vocabulary)
+            ids = np.where(outside, 1 + vocabulary + shape, place + 1)
 
             def per_row(values: np.ndarray) -> np.ndarray:
                 return np.bincount(owner, values, len(each))
@@ -482,7 +519,7 @@ def encoded(rows: DataFrame, shared, settings: Settings) -> DataFrame:
             inside = per_row(np.where(outside, log - counts.tail[shape], 0))
             base = per_row(log) + end - (sizes + 1) * counts.floor
             rare = np.flatnonzero(~known)
-            keys = np.array([word_key(words[i]) for i in rare.tolist()], np.int64)
+            keys = other_keys[place[rare]]
             order = np.lexsort((keys, owner[rare]))
             keys, owners = keys[order], owner[rare][order]
             first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])])) if len(keys) else rare

@@ -139,16 +139,16 @@ def test_scores_are_those_of_a_plain_pass(awkward, known):
     first = [word for word, _ in sorted(learnt.items(), key=lambda entry: (-entry[1], entry[0]))][:16]
     for word, n in learnt.items():
         if word not in first:
-            shape = counts.setdefault(lm_score.shape_of(word), [0, 0])
+            shape = counts.setdefault(int(lm_score.shapes_of([word])[0]), [0, 0])
             shape[0], shape[1] = shape[0] + n, shape[1] + 1
     want = []
     for key, text in rows:
         words = [word.encode() for word in data.words_of(text)]
-        ids = [1 + first.index(word) if word in first else 17 + lm_score.shape_of(word) for word in words]
+        ids = [1 + first.index(word) if word in first else 17 + int(lm_score.shapes_of([word])[0]) for word in words]
         total = plain_score(model.network, [*ids, 0]) / math.log(10)
         for word in words:
             if word not in first:
-                n, distinct = counts.get(lm_score.shape_of(word), (0, 0))
+                n, distinct = counts.get(int(lm_score.shapes_of([word])[0]), (0, 0))
                 total += math.log10((learnt[word] + 0.1) / (n + 0.1 * (distinct + 1)))
         want.append((key, total))
     got = [(row["doc_id"], row["score"]) for row in lm_score.apply(model).collect()]
