@@ -1,8 +1,8 @@
 """Byte-level BPE: text to ids and ids to bytes, by the tokenizers library over Arrow batches.
 
 Bytes are written as characters, one each, so that the library can hold any byte in a string. A rank file
-gives the vocabulary; the merges follow from the ranks. Texts are cut into pieces at spaces, and a piece
-seen before in the same Python worker is not encoded again.
+gives the vocabulary; the merges follow from the ranks. Texts are cut into pieces at spaces, and pieces into
+matches of the pattern; what a task has seen before is not encoded again.
 """
 
 from __future__ import annotations
@@ -16,19 +16,20 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import regex
 from pyspark.sql import DataFrame
 from tokenizers import Regex, Tokenizer
 from tokenizers.models import BPE
 from tokenizers.pre_tokenizers import ByteLevel, Split
 from tokenizers.pre_tokenizers import Sequence as InTurn
 
-from tapeloom.llm.common import id_and_text, slices
+from tapeloom.llm.common import id_and_text, released, slices
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
-# Pieces a worker remembers; when they are more it starts anew.
-REMEMBERED = 500_000
-# Characters that are a match of their own where they end a word.
-ENDS = ".,;:!?"
+# Pieces, and matches, that a task remembers; when they are more it starts anew.
+REMEMBERED = 200_000
+# Characters below this one are sorted into letters, digits and others alike by all three libraries, which tests check.
+CHECKED = "\u3100"
 
 
 def byte_characters() -> list[str]:
@@ -115,27 +116,32 @@ class _Whole(Exception):
     """The text must be encoded in one piece."""
 
 
-class _Pieces(dict):
-    """Ids of pieces that follow a space, worked out when first asked for."""
+class _Matches(dict):
+    """Ids of single matches of the pattern, straight from the library's model when first asked for."""
 
     def __init__(self, tokenizer: Tokenizer, dtype: type):
         super().__init__()
-        self.tokenizer, self.model, self.code = tokenizer, tokenizer.model, np.dtype(dtype).char
-        self.shown = dict(enumerate(byte_characters()))
-        self.ends = {end: self._match(end) for end in ENDS}
+        self.model, self.code, self.shown = tokenizer.model, np.dtype(dtype).char, dict(enumerate(byte_characters()))
+
+    def __missing__(self, match: str) -> bytes:
+        written = match.encode().decode("latin-1").translate(self.shown)
+        ids = self[match] = array(self.code, [token.id for token in self.model.tokenize(written)]).tobytes()
+        return ids
+
 
-    def _match(self, text: str) -> bytes:
-        """Ids of text that is one match of the pattern, straight from the library's model."""
-        written = text.encode().decode("latin-1").translate(self.shown)
-        return array(self.code, [token.id for token in self.model.tokenize(written)]).tobytes()
+class _Pieces(dict):
+    """Ids of pieces that follow a space, put together from those of their matches."""
+
+    def __init__(self, tokenizer: Tokenizer, dtype: type):
+        super().__init__()
+        self.tokenizer, self.code = tokenizer, np.dtype(dtype).char
+        self.cut, self.matches = regex.compile(public_tokenizers.PATTERN).findall, _Matches(tokenizer, dtype)
 
     def __missing__(self, piece: str) -> bytes:
         if not piece or piece[0].isspace():
             raise _Whole
-        if piece.isalpha():
-            ids = self._match(f" {piece}")
-        elif piece[-1] in self.ends and piece[:-1].isalpha():
-            ids = self[piece[:-1]] + self.ends[piece[-1]]
+        if piece.isascii() or max(piece) < CHECKED:
+            ids = b"".join(map(self.matches.__getitem__, self.cut(f" {piece}")))
         else:
             ids = array(self.code, self.tokenizer.encode(f" {piece}", add_special_tokens=False).ids).tobytes()
         self[piece] = ids
@@ -147,14 +153,15 @@ class PieceEncoder:
 
     A text may be cut before a space that stands before a character other than white space: no match of
     the pattern goes over such a cut, and the matches on both sides are the same without the other side.
-    A text in which a space stands elsewhere is encoded in one piece. A space and letters are one match,
-    and one of ENDS after letters is another.
+    A text in which a space stands elsewhere is encoded in one piece. A piece is cut into the matches of the
+    pattern, which both tokenizers share, and the model is asked for each of those.
     """
 
     def __init__(self, tokenizer: Tokenizer, remembered: int = REMEMBERED):
         self.tokenizer, self.remembered = tokenizer, remembered
         self.dtype = np.uint16 if tokenizer.get_vocab_size() <= 65536 else np.uint32
         self.pieces = _Pieces(tokenizer, self.dtype)
+        self.caches = (self.pieces, self.pieces.matches)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -162,8 +169,9 @@ class PieceEncoder:
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         found = []
         for text in texts:
-            if len(self.pieces) > self.remembered:
-                self.pieces.clear()
+            for seen in self.caches:
+                if len(seen) > self.remembered:
+                    seen.clear()
             head, *tail = text.split(" ")
             try:
                 ids = self._whole(head) + b"".join(map(self.pieces.__getitem__, tail))
@@ -188,12 +196,13 @@ def encoded(docs: DataFrame, serialized: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, _, _ = encoder(shared.value)
-        for part in slices(batches):
-            ids = pieces.encode([text or "" for text in part.column("text").to_pylist()])
-            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            flat = np.concatenate([*ids, np.zeros(0, pieces.dtype)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "ids"])
+        with released(*pieces.caches):
+            for part in slices(batches):
+                ids = pieces.encode([text or "" for text in part.column("text").to_pylist()])
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                flat = np.concatenate([*ids, np.zeros(0, pieces.dtype)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "ids"])
 
     return id_and_text(docs).mapInArrow(run, "doc_id bigint, ids array<int>")
 
@@ -209,17 +218,18 @@ def round_trip(docs: DataFrame, serialized: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, table, decimals = encoder(shared.value)
-        for part in slices(batches):
-            counts, written, decoded = [], [], []
-            for ids in pieces.encode([text or "" for text in part.column("text").to_pylist()]):
-                listed = ids.tolist()
-                counts.append(len(listed))
-                written.append(hashlib.sha256(" ".join(map(decimals.__getitem__, listed)).encode()).hexdigest())
-                decoded.append(hashlib.sha256(decode(listed, table)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(written), pa.array(decoded)],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+        with released(*pieces.caches):
+            for part in slices(batches):
+                counts, written, decoded = [], [], []
+                for ids in pieces.encode([text or "" for text in part.column("text").to_pylist()]):
+                    listed = ids.tolist()
+                    counts.append(len(listed))
+                    written.append(hashlib.sha256(" ".join(map(decimals.__getitem__, listed)).encode()).hexdigest())
+                    decoded.append(hashlib.sha256(decode(listed, table)).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(written), pa.array(decoded)],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
 
     columns = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     return id_and_text(docs).mapInArrow(run, columns)

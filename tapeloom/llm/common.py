@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,13 +33,15 @@ def residue(key: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(
+    batches: Iterator[pa.RecordBatch], text: str = "text", chars: int = SLICE_CHARS
+) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, by rows and by length of the text column."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         start, held = 0, 0
         for i, length in enumerate(lengths):
-            if i > start and (i - start >= SLICE_ROWS or held + length > SLICE_CHARS):
+            if i > start and (i - start >= SLICE_ROWS or held + length > chars):
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += length
@@ -46,6 +49,17 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
             yield batch.slice(start)
 
 
+@contextmanager
+def released(*caches: dict) -> Iterator[None]:
+    """Empty what a task remembers when it ends, as its Python worker goes on to other tasks."""
+    try:
+        yield
+    finally:
+        for cache in caches:
+            cache.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def id_bounds(docs: DataFrame, key: str = "doc_id", parts: int | None = None) -> list[int]:
     """Up to ``parts - 1`` values that cut a numeric key into ranges of about equal numbers of rows.
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tapeloom import scratch
 from tapeloom.llm.byte_bpe import encoder
-from tapeloom.llm.common import id_and_text, id_bounds, slices
+from tapeloom.llm.common import id_and_text, id_bounds, released, slices
 
 TOKENIZER_FILE = public_tokenizers.path("byte_bpe_50k.json")
 # Fixed value: the id that ends each document.
@@ -55,11 +55,12 @@ def train_dictionary(arrays: list[bytes], size: int = DICTIONARY_BYTES) -> bytes
 
 
 def sample_texts(docs: DataFrame, sample: int = SAMPLE) -> list[str]:
-    """About ``sample`` texts for the dictionary, the same ones on every run, at most twice as many."""
+    """About ``sample`` texts for the dictionary, at most twice as many, by a hash: the same ones on every run."""
     short = id_and_text(docs).where(F.length("text") <= LONGEST)
     every = max(1, docs.count() // sample)
     chosen = short.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
-    return sorted(row["text"] for row in chosen.select("text").limit(2 * sample).collect())
+    first = chosen.orderBy(F.xxhash64("doc_id", "text"), "text").limit(2 * sample)  # each task keeps its own first ones
+    return sorted(row["text"] for row in first.select("text").collect())
 
 
 def write_tokens(
@@ -87,16 +88,17 @@ def write_tokens(
         pieces, _, _ = encoder(serialized)
         zstd = zstandard.ZstdCompressor(level=LEVEL, dict_data=_zstd_dictionary(dictionary), write_dict_id=False)
         end = np.array([end_id], pieces.dtype).tobytes()
-        for part in slices(batches):
-            ids = pieces.encode([text or "" for text in part.column("text").to_pylist()])
-            frames = [zstd.compress(array.tobytes() + end) for array in ids]
-            keys = part.column("doc_id").to_pylist()
-            places = np.searchsorted(bounds, [-(2**63) if key is None else key for key in keys], side="right")
-            counts = pa.array([len(array) + 1 for array in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(places.astype(np.int32)), part.column("doc_id"), counts, pa.array(frames, pa.binary())],
-                ["part", "doc_id", "n_tokens", "frame"],
-            )
+        with released(*pieces.caches):
+            for part in slices(batches):
+                ids = pieces.encode([text or "" for text in part.column("text").to_pylist()])
+                frames = [zstd.compress(array.tobytes() + end) for array in ids]
+                keys = part.column("doc_id").to_pylist()
+                places = np.searchsorted(bounds, [-(2**63) if key is None else key for key in keys], side="right")
+                counts = pa.array([len(array) + 1 for array in ids], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(places.astype(np.int32)), part.column("doc_id"), counts, pa.array(frames, pa.binary())],
+                    ["part", "doc_id", "n_tokens", "frame"],
+                )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def shard() -> pa.RecordBatch:

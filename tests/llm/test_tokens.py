@@ -43,9 +43,19 @@ def test_pieces_give_the_ids_of_whole_texts(rank_encoding, library):
 
 
 def test_every_character_splits_as_in_the_other_library(rank_encoding):
-    texts = [f"a{chr(c)}b {chr(c)}1{chr(c)} ,{chr(c)}  {chr(c)}" for c in range(0x3100) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{chr(c)}b {chr(c)}1{chr(c)} ,{chr(c)}  {chr(c)}" for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    checked = texts[: ord(byte_bpe.CHECKED)]
     encoder = byte_bpe.PieceEncoder(Tokenizer.from_str(byte_bpe.serialized_ranks()))
-    assert [ids.tolist() for ids in encoder.encode(texts)] == [rank_encoding.encode_ordinary(text) for text in texts]
+    assert [ids.tolist() for ids in encoder.encode(checked)] == [rank_encoding.encode_ordinary(text) for text in checked]
+
+
+def test_pieces_with_every_character_are_those_of_the_library(library):
+    texts = [f"a {chr(c)}b.{chr(c)}\nc{chr(c)}1 x" for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    found = byte_bpe.PieceEncoder(library).encode(texts)
+    for at in range(0, len(texts), 50_000):
+        part = slice(at, at + 50_000)
+        want = [entry.ids for entry in library.encode_batch(texts[part], add_special_tokens=False)]
+        assert [ids.tolist() for ids in found[part]] == want
 
 
 def test_decoding_and_split_characters(rank_encoding):
