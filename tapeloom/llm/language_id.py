@@ -14,9 +14,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.llm.common import fresh, residue, slices
+from tapeloom.llm.common import fresh, released, residue, slices
 
 UNKNOWN = "und"
+# Characters whose n-grams are counted at once; each takes some tens of bytes.
+CHARS = 500_000
 
 
 @dataclass(frozen=True)
@@ -88,7 +90,7 @@ def train(docs: DataFrame, settings: Settings = Settings(), learn_from: Column |
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(place), settings.buckets), np.int64)
-        for part in slices(batches):
+        for part in slices(batches, chars=CHARS):
             buckets, owner = grams(part.column("text").to_pylist(), settings)
             which = np.array([place[name] for name in part.column("lang").to_pylist()], np.int64)
             counts += np.bincount(which[owner] * settings.buckets + buckets, minlength=counts.size).reshape(counts.shape)
@@ -138,10 +140,11 @@ def with_language(docs: DataFrame, model: Model, lang: str = "lang_pred", score_
     read = fresh(kept, "_read")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, read):
-            names, shares = score(part.column(read).to_pylist(), shared.value)
-            rest = [part.column(name) for name in kept]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(names), pa.array(shares)], [*kept, lang, score_name])
+        with released():
+            for part in slices(batches, read, CHARS):
+                names, shares = score(part.column(read).to_pylist(), shared.value)
+                rest = [part.column(name) for name in kept]
+                yield pa.RecordBatch.from_arrays([*rest, pa.array(names), pa.array(shares)], [*kept, lang, score_name])
 
     rows = docs.select(*[F.col(f"`{name}`") for name in kept], F.col("text").cast("string").alias(read))
     schema = docs.select(*[F.col(f"`{name}`") for name in kept]).schema

@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from tapeloom.llm.common import fresh
 from tapeloom.llm.quality_rules import SPACE, SPACES
+from tapeloom.operators.joins import BROADCAST_BYTES, join_lookup
+from tapeloom.operators.skew import GROUP_ROWS
 
 LEVELS = ("domain", "lang", "source")
 # Documents of a leaf in one piece of its order, about.
-PIECE = 5_000
+PIECE = 1_000
 _BIG = "decimal(38,0)"
 
 
@@ -57,7 +59,8 @@ def _share(children: DataFrame, parents: list[str], own: Sequence[str]) -> DataF
     """Split each parent's ``budget`` among its children by ``weight``, up to the ``capacity`` of each.
 
     Children are full from the least capacity for their weight on, until the rest gets less than it holds;
-    that rest is split by weight alone, rounded down.
+    that rest is split by weight alone, rounded down. The children of one parent are one task, at the top all
+    names of the first level: rows of names, not of documents.
     """
     # capacity / weight in whole numbers: parts of a billionth keep the order, names decide ties.
     ratio = F.col("capacity").cast(_BIG) * 1_000_000_000 / F.col("weight")
@@ -111,7 +114,13 @@ def budgets(docs: DataFrame, targets: Targets = Targets(), levels: Sequence[str]
 
 
 def selected(
-    docs: DataFrame, targets: Targets = Targets(), levels: Sequence[str] = LEVELS, keep: Sequence[str] = (), piece: int = PIECE
+    docs: DataFrame,
+    targets: Targets = Targets(),
+    levels: Sequence[str] = LEVELS,
+    keep: Sequence[str] = (),
+    piece: int = PIECE,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    hot_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """doc_id, the levels, ``epoch``, ``tokens`` and ``taken``: each use of a document, and how many tokens of it.
 
@@ -121,20 +130,23 @@ def selected(
     along. NULL ids and repeated rows are documents like others.
 
     No leaf is sorted as a whole: its order is cut into pieces of about ``piece`` documents by the leading
-    bits, the pieces are summed up first, and documents are only ordered inside a piece.
+    bits, the pieces are summed up first, and documents are only ordered inside a piece. The budgets are
+    written and measured; ``broadcast_bytes`` and ``hot_rows`` are those of ``join_lookup``, by which
+    documents meet them.
     """
     levels = list(levels)
     leaves = budgets(docs, targets, levels)
     pieces = F.expr(f"documents div {piece} + 1")
     plan = leaves.select(
-        *[F.col(name).alias(f"_{name}") for name in levels],
+        *levels,
         pieces.alias("_pieces"),
         F.expr("if(tokens > 0, budget div tokens, 0L)").alias("_epochs"),
         F.expr("if(tokens > 0, budget % tokens, 0L)").alias("_rest"),
     )
     same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in levels]
-    rows = docs.select("doc_id", *levels, "tokens", *keep).where(F.col("tokens") > 0).join(plan, same)
-    rows = rows.drop(*[f"_{name}" for name in levels])
+    rows = docs.select("doc_id", *levels, "tokens", *keep).where(F.col("tokens") > 0)
+    limits = {"broadcast_bytes": broadcast_bytes, "hot_rows": hot_rows}
+    rows = join_lookup(rows, plan, levels, "inner", null_safe=True, spread_by=["doc_id"], unique=True, **limits)
 
     name = F.concat_ws("|", F.lit(targets.seed), F.col("_epochs").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     rows = rows.withColumn("_order", F.md5(name))

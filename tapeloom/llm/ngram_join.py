@@ -28,9 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom import scratch
-from tapeloom.llm.common import id_and_text, slices
+from tapeloom.llm.common import fresh, id_and_text, released, slices
 from tapeloom.llm.components import components
-from tapeloom.operators.joins import join_lookup
+from tapeloom.operators.joins import BROADCAST_BYTES, join_lookup
+from tapeloom.operators.skew import GROUP_ROWS
 
 # Odd multipliers that spread bits.
 SPREAD = np.array(
@@ -39,8 +40,10 @@ SPREAD = np.array(
 # 64-bit words of the bitmap that goes into a tile.
 SKETCH = 8
 SKETCHES = [f"sketch_{i}" for i in range(SKETCH)]
-# Words whose hashes a Python worker remembers.
-REMEMBERED = 500_000
+# Words whose hashes a task remembers.
+REMEMBERED = 200_000
+# Partners that one copy of a document's set is sent out for, and bytes of sets that leave a task at once.
+SENDS, SENT_BYTES = 1_000, 8 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -49,7 +52,8 @@ class Settings:
 
     ``often``: a shingle is noted as frequent in a task when it is in that many of its documents, and
     fewer than ``noted`` such shingles are put last in the order. Both only move work, never results.
-    ``members``: rows of a group, block or pivot in one task, about.
+    ``members``: rows of a group, block or pivot in one task, about. ``broadcast_bytes`` and ``hot_rows`` are
+    those of ``join_lookup``.
     """
 
     words: int = 4
@@ -57,6 +61,15 @@ class Settings:
     often: int = 2
     noted: int = 1 << 20
     members: int = 4_000
+    broadcast_bytes: int = BROADCAST_BYTES
+    hot_rows: int = GROUP_ROWS
+
+    def met(
+        self, rows: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "inner", **options: object
+    ) -> DataFrame:
+        """``join_lookup`` to a table that has each key once."""
+        limits = {"unique": True, "broadcast_bytes": self.broadcast_bytes, "hot_rows": self.hot_rows, **options}
+        return join_lookup(rows, lookup, on, how, **limits)
 
     def least_overlap(self, sizes: np.ndarray | int) -> np.ndarray | int:
         """The intersection that two sets need whose sizes add up to ``sizes``."""
@@ -150,14 +163,15 @@ def frequent_shingles(docs: DataFrame, settings: Settings) -> tuple[np.ndarray,
                 [_signed(values[often]), pa.array(times[often].astype(np.int64))], ["shingle", "times"]
             )
 
-        for part in slices(batches):
-            for text in part.column("text").to_pylist():
-                held.append(shingle_set(text, settings.words))
-                size += len(held[-1])
-            if size > 4_000_000:
-                yield flush()
-                held, size = [], 0
-        yield flush()
+        with released(_hashes):
+            for part in slices(batches):
+                for text in part.column("text").to_pylist():
+                    held.append(shingle_set(text, settings.words))
+                    size += len(held[-1])
+                if size > 4_000_000:
+                    yield flush()
+                    held, size = [], 0
+            yield flush()
 
     counted = id_and_text(docs).mapInArrow(count, "shingle bigint, times bigint")
     summed = scratch.keep(counted.groupBy("shingle").agg(F.sum("times").alias("times")), "frequent")
@@ -178,8 +192,11 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, settings))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, times = shared.value
+        with released(_hashes):
+            yield from signed_slices(batches)
 
+    def signed_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, times = shared.value
         for part in slices(batches):
             sizes, digests, bitmaps, firsts, spreads, sketches, alone = [], [], [], [], [], [], []
             for text in part.column("text").to_pylist():
@@ -289,12 +306,15 @@ def _bounded(pairs: DataFrame, signed: DataFrame, settings: Settings) -> DataFra
             yield batch.select(["a", "b"]).filter(pa.array(open_ones, pa.bool_()))
 
     met = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    signed = join_lookup(signed.select("doc_id", "n", "bitmap"), met, "doc_id", "inner")
+    signed = settings.met(signed.select("doc_id", "n", "bitmap"), met, "doc_id")
+    signed, size, _ = scratch.keep_measured(signed, "bitmaps", ["doc_id"])
 
-    def side(name: str) -> DataFrame:
-        return signed.select(F.col("doc_id").alias(name), F.col("n").alias(f"n_{name}"), F.col("bitmap").alias(f"bits_{name}"))
+    def with_side(rows: DataFrame, name: str) -> DataFrame:
+        own = signed.select(F.col("doc_id").alias(name), F.col("n").alias(f"n_{name}"), F.col("bitmap").alias(f"bits_{name}"))
+        # The head of a group stands in as many pairs as the group has classes.
+        return settings.met(rows, own, name, size=size, spread_by=["a", "b"], hot_rows=min(settings.members, settings.hot_rows))
 
-    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    both = with_side(with_side(pairs.select("a", "b"), "a"), "b")
     return scratch.keep(both.mapInArrow(run, "a bigint, b bigint").distinct(), "pairs")
 
 
@@ -302,27 +322,43 @@ def _linked(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     """The pairs (a, b) that link, by the intersection of their sets.
 
     The sets of all partners of ``a`` go where its own set is, one copy for each pair. Partners of one
-    document in large numbers are spread over several copies of it.
+    document in large numbers are spread over several copies of it, and a document that goes out to many
+    others does so from several rows, a few sets at a time.
     """
     counts = pairs.groupBy("a").agg(F.expr(f"count(1) div {settings.members} + 1").alias("copies"))
-    members = join_lookup(pairs, counts, "a", "inner").select(
+    members = settings.met(pairs, counts, "a").select(
         F.col("b").alias("doc_id"), F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), F.col("copies")).alias("copy"), F.lit(True).alias("member")
     )
     pivots = counts.select(
         F.col("a").alias("doc_id"), F.col("a").alias("pivot"), F.explode(F.expr("sequence(0L, copies - 1)")).alias("copy"), F.lit(False).alias("member")
     )
-    sends = members.unionByName(pivots).groupBy("doc_id").agg(F.collect_list(F.struct("pivot", "copy", "member")).alias("sends"))
-    sent = join_lookup(id_and_text(docs), sends, "doc_id", "inner", broadcast_bytes=16 * 1024 * 1024)
+    each = scratch.keep(members.unionByName(pivots), "sends")
+    many = each.groupBy("doc_id").agg(F.expr(f"count(1) div {SENDS} + 1").alias("parts")).where("parts > 1")
+    part = F.pmod(F.xxhash64("pivot", "copy", "member"), F.coalesce("parts", F.lit(1)))
+    dealt = settings.met(each, many, "doc_id", "left", spread_by=["pivot", "copy"]).withColumn("part", part)
+    sends = dealt.groupBy("doc_id", "part").agg(F.collect_list(F.struct("pivot", "copy", "member")).alias("sends")).drop("part")
+    least = min(16 * 1024 * 1024, settings.broadcast_bytes)
+    sent = settings.met(id_and_text(docs), sends, "doc_id", broadcast_bytes=least, spread_by=["doc_id"])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            rows = []
-            for key, text, sends in zip(*(part.column(name).to_pylist() for name in ("doc_id", "text", "sends"))):
-                own = shingle_set(text, settings.words).tobytes()
-                rows += [(to["pivot"], to["copy"], to["member"], key, own) for to in sends]
-            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary())
-            arrays = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(arrays, ["pivot", "copy", "member", "doc_id", "shingles"])
+        kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary())
+        names = ["pivot", "copy", "member", "doc_id", "shingles"]
+
+        def copies(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)], names)
+
+        rows, size = [], 0
+        with released(_hashes):
+            for part in slices(batches):
+                for key, text, sends in zip(*(part.column(name).to_pylist() for name in ("doc_id", "text", "sends"))):
+                    own = shingle_set(text, settings.words).tobytes()
+                    for to in sends:
+                        rows.append((to["pivot"], to["copy"], to["member"], key, own))
+                        size += len(own)
+                        if size > SENT_BYTES:
+                            yield copies(rows)
+                            rows, size = [], 0
+            yield copies(rows)
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot, sets = None, []
@@ -367,7 +403,7 @@ def _tiles(groups: DataFrame, labels: DataFrame, signed: DataFrame, settings: Se
     """
     band = F.floor(F.log(F.col("n")) / math.log(100 / settings.percent)).cast("bigint")
     known = labels.select(F.col("node").alias("rep"), "label")
-    rows = join_lookup(groups.select("shingle", "n", "rep", "at"), known, "rep", "left")
+    rows = settings.met(groups.select("shingle", "n", "rep", "at"), known, "rep", "left")
     rows = rows.withColumns({"label": F.coalesce("label", "rep"), "own": band})
     # Rounding may put equal sizes a band apart, never two; so the two bands below are looked at.
     below = F.expr("sequence(own, own + 2)")
@@ -378,12 +414,12 @@ def _tiles(groups: DataFrame, labels: DataFrame, signed: DataFrame, settings: Se
     )
     # The larger one of a pair is of the tile's own band, so a tile without such a row has no pairs.
     mixed = mixed.where("least != largest and highest = band").drop("least", "largest", "highest")
-    tiled = join_lookup(placed, mixed, ["shingle", "band"], "inner")
+    tiled = settings.met(placed, mixed, ["shingle", "band"])
     tiled = tiled.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     other = F.explode(F.expr("sequence(0L, blocks - 1)"))
     tiled = tiled.select("*", other.alias("other"))
     bits = signed.select(F.col("doc_id").alias("rep"), *SKETCHES, F.col("n").alias("size")).distinct()
-    tiled = join_lookup(tiled, bits, "rep", "inner").where("n = size").drop("size")
+    tiled = settings.met(tiled, bits, "rep").where("n = size").drop("size")
     tiled = tiled.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
     names = ["shingle", "band", "low", "high", "n", "rep", "at", "label", "own", "block", *SKETCHES]
     keys = names[:4]
@@ -455,9 +491,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     filled = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     kinds = scratch.keep(filled.groupBy("digest", "n").agg(F.min("doc_id").alias("rep")), "kinds")
     # A class is represented by the document with its smallest id; its other documents go no further.
-    own = join_lookup(filled.select("doc_id", "digest", "n"), kinds, ["digest", "n"], "inner")
+    own = settings.met(filled.select("doc_id", "digest", "n"), kinds, ["digest", "n"])
     copies = own.where("doc_id <> rep").select("doc_id", "digest", F.lit(True).alias("is_copy")).distinct()
-    firsts = join_lookup(filled.select("doc_id", "digest", "n", "first", "spread", "alone"), copies, ["doc_id", "digest"], "left")
+    firsts = settings.met(filled.select("doc_id", "digest", "n", "first", "spread", "alone"), copies, ["doc_id", "digest"], "left")
     posted = firsts.where(F.col("is_copy").isNull()).select(
         F.col("doc_id").alias("rep"), "n", "alone", F.posexplode(F.arrays_zip("first", "spread")).alias("at", "entry")
     )
@@ -479,18 +515,32 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     more = scratch.keep(_linked(_bounded(second, filled, settings), docs, settings), "links")
     final = components(links.unionByName(more)) if not more.isEmpty() else labels
 
-    joined = join_lookup(kinds, final.withColumnRenamed("node", "rep"), "rep", "left")
+    joined = settings.met(kinds, final.withColumnRenamed("node", "rep"), "rep", "left")
     joined = joined.select("digest", "n", F.coalesce("label", "rep").alias("label"))
-    met = join_lookup(signed.select("doc_id", "n", "digest"), joined, ["digest", "n"], "left")
+    met = settings.met(signed.select("doc_id", "n", "digest"), joined, ["digest", "n"], "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("label")).otherwise(F.col("doc_id"))
     return met.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component, with their own columns.
+    """One row of each component of ``docs``, with its own columns: the first by doc_id, text's digest and place.
 
-    Rows with a NULL doc_id stay.
+    Rows are told apart by their place in a written table, not by doc_id: repeated rows, rows that share an
+    id and rows without one, which come last, are rows like others. A text without words, NULL or empty, is
+    near to nothing, and its row stays. No rows: no rows. A clash of column names does not matter.
     """
-    found = near_duplicates(docs, settings)
-    gone = found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(scratch.keep(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)
+    row = fresh(docs.columns, "_row")
+    numbered = scratch.keep(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(numbered.select(F.col(row).alias("doc_id"), F.col("text")), settings)
+    found = scratch.keep(found.select("doc_id", "component_id"), "components")
+    several = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id")
+    members = settings.met(found, several, "component_id", spread_by=["doc_id"])
+    key = F.col("doc_id").cast("bigint")
+    names = numbered.select(F.col(row).alias("doc_id"), F.struct(key.isNull().alias("none"), key.alias("key"), F.md5(F.col("text")).alias("digest")).alias("name"))
+    named = scratch.keep(members.join(names, "doc_id"), "members")
+    first = named.groupBy("component_id").agg(F.min(F.struct("name", "doc_id")).alias("first"))
+    stays = first.select("component_id", F.col("first.doc_id").alias("stays"))
+    gone = settings.met(named, stays, "component_id", spread_by=["doc_id"]).where("doc_id <> stays")
+    away = fresh(docs.columns, "_gone")
+    marked = settings.met(numbered, gone.select(F.col("doc_id").alias(row), F.lit(True).alias(away)), row, "left")
+    return marked.where(F.col(away).isNull()).select(*[F.col(f"`{name}`") for name in docs.columns])

@@ -49,7 +49,8 @@ def test_one_of_each_keeps_columns_and_rows(awkward):
     kept = one_of_each(awkward)
     assert kept.columns == awkward.columns
     keys = [row["doc_id"] for row in kept.collect()]
-    assert 1 in keys and 2 not in keys and 3 not in keys and keys.count(None) == 2 and 5 in keys and 8 in keys and 9 not in keys
+    # Of the two rows without an id one is a copy of document 1, and the other has no words.
+    assert 1 in keys and 2 not in keys and 3 not in keys and keys.count(None) == 1 and 5 in keys and 8 in keys and 9 not in keys
 
 
 def test_bounds_hold():
@@ -132,3 +133,32 @@ def test_fingerprints_of_equal_texts(awkward):
     for row in lz.fingerprints(awkward).collect():
         made.setdefault(row["doc_id"], set()).add(row["fingerprint"])
     assert made[1] == made[2] and made[8] == made[9] == made[19] and made[1] != made[3]
+
+
+SPLIT = [Settings(members=3, noted=8, broadcast_bytes=0, hot_rows=5), Settings(words=5, percent=80, members=2, broadcast_bytes=0, hot_rows=3)]
+
+
+@pytest.mark.parametrize("settings", SPLIT)
+def test_families_without_broadcasts(spark, settings, monkeypatch):
+    monkeypatch.setattr("tapeloom.llm.ngram_join.SENDS", 2)
+    monkeypatch.setattr("tapeloom.llm.ngram_join.SENT_BYTES", 2_000)
+    rows = families(3)[:60]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert sorted(map(tuple, near_duplicates(docs, settings).collect())) == sorted(
+        data.components(rows, settings.words, settings.percent)
+    )
+
+
+@pytest.mark.parametrize("settings", [Settings(), SPLIT[0]])
+def test_one_row_of_each_component_stays(spark, settings):
+    a, b, c = (data.prose(random.Random(seed), 40) for seed in range(3))
+    near = c + " more"
+    rows = [(1, a, "x"), (1, a, "y"), (2, b, "x"), (2, a, "x"), (None, c, "x"), (None, c, "y"), (7, near, "z"), (3, None, "n"), (3, None, "n"), (4, "", "n")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _row string").repartition(2)
+    kept = one_of_each(docs, settings)
+    assert kept.columns == docs.columns
+    got = sorted(((row["doc_id"], row["text"]) for row in kept.collect()), key=repr)
+    # Copies and the near one of c: the one with an id comes first.
+    assert got == sorted([(1, a), (2, b), (7, near), (3, None), (3, None), (4, "")], key=repr)
+    two = docs.where("doc_id is null or doc_id < 3")
+    assert sorted(((row["doc_id"], row["text"]) for row in one_of_each(two, settings).collect()), key=repr) == sorted([(1, a), (2, b), (None, c)], key=repr)
