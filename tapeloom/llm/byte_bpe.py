@@ -2,7 +2,7 @@
 
 Bytes are written as characters, one each, so that the library can hold any byte in a string. A rank file
 gives the vocabulary; the merges follow from the ranks. Texts are cut into pieces at spaces, and pieces into
-matches of the pattern; what a task has seen before is not encoded again.
+matches of the pattern; what a Python worker has seen before is not encoded again.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ from tokenizers.pre_tokenizers import Sequence as InTurn
 from tapeloom.llm.common import id_and_text, released, slices
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
-# Pieces, and matches, that a task remembers; when they are more it starts anew.
-REMEMBERED = 200_000
+# Pieces, and matches, that a worker remembers; when they are more it starts anew.
+REMEMBERED = 500_000
 # Characters below this one are sorted into letters, digits and others alike by all three libraries, which tests check.
 CHECKED = "\u3100"
 
@@ -141,7 +141,8 @@ class _Pieces(dict):
         if not piece or piece[0].isspace():
             raise _Whole
         if piece.isascii() or max(piece) < CHECKED:
-            ids = b"".join(map(self.matches.__getitem__, self.cut(f" {piece}")))
+            own = (f" {piece}",) if piece.isalpha() else self.cut(f" {piece}")
+            ids = b"".join(map(self.matches.__getitem__, own))
         else:
             ids = array(self.code, self.tokenizer.encode(f" {piece}", add_special_tokens=False).ids).tobytes()
         self[piece] = ids
@@ -191,7 +192,10 @@ def encoder(serialized: str) -> tuple[PieceEncoder, list[bytes], list[str]]:
 
 
 def encoded(docs: DataFrame, serialized: str) -> DataFrame:
-    """doc_id and ids (array of int) of every whole text; a NULL text counts as empty and has no ids."""
+    """doc_id and ids (array of int) of every whole text; a NULL text counts as empty and has no ids.
+
+    Tasks forget what they have seen, as their workers go on to other stages.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(serialized)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,18 +222,17 @@ def round_trip(docs: DataFrame, serialized: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, table, decimals = encoder(shared.value)
-        with released(*pieces.caches):
-            for part in slices(batches):
-                counts, written, decoded = [], [], []
-                for ids in pieces.encode([text or "" for text in part.column("text").to_pylist()]):
-                    listed = ids.tolist()
-                    counts.append(len(listed))
-                    written.append(hashlib.sha256(" ".join(map(decimals.__getitem__, listed)).encode()).hexdigest())
-                    decoded.append(hashlib.sha256(decode(listed, table)).hexdigest())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(written), pa.array(decoded)],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+        for part in slices(batches):
+            counts, written, decoded = [], [], []
+            for ids in pieces.encode([text or "" for text in part.column("text").to_pylist()]):
+                listed = ids.tolist()
+                counts.append(len(listed))
+                written.append(hashlib.sha256(" ".join(map(decimals.__getitem__, listed)).encode()).hexdigest())
+                decoded.append(hashlib.sha256(decode(listed, table)).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(written), pa.array(decoded)],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
     columns = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     return id_and_text(docs).mapInArrow(run, columns)
