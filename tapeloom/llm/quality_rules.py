@@ -58,6 +58,8 @@ class Policy:
 
 BASE = Policy("base", 1, ("few_words", "repeated_words"))
 STANDARD = Policy("standard", 1, tuple(rule.name for rule in RULES))
+# The second version leaves out the lengths of words, which differ from language to language.
+ANY_LANGUAGE = Policy("standard", 2, ("few_words", "repeated_words", "symbols", "repeated_lines"))
 
 
 def _count(array: Column) -> Column:
@@ -171,7 +173,7 @@ def kept_documents(docs: DataFrame, policy: Policy = STANDARD) -> DataFrame:
 
 
 # The same for DuckDB.
-ORACLE_SQL = r"""
+_LEDGER_SQL = r"""
 with bare as (
   select doc_id, coalesce(text, '') as whole,
          trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as t
@@ -209,5 +211,18 @@ bits as (
     + case when word_chars < 2 * n_words then 32 else 0 end)::bigint as failed_bits
   from measures
 )
-select *, (failed_bits & 3) <> 0 as base_failed, failed_bits = 0 as kept from bits
+"""
+ORACLE_SQL = f"{_LEDGER_SQL} select *, (failed_bits & 3) <> 0 as base_failed, failed_bits = 0 as kept from bits"
+ABLATION_SQL = f"""
+{_LEDGER_SQL},
+policies as (
+  select * from (values ('base', 1, 3), ('standard', 1, 63), ('standard', 2, 15)) as p(policy, version, mask)
+),
+rules as (
+  select unnest(['few_words', 'repeated_words', 'symbols', 'repeated_lines', 'long_words', 'short_words']) as rule,
+         unnest([1, 2, 4, 8, 16, 32]) as bit
+)
+select policy, version, rule, count(*) filter (failed_bits & mask & bit <> 0) as fail,
+       count(*) filter (failed_bits & mask = bit) as fail_only_this, count(*) filter (failed_bits & mask <> 0) as rejected
+from bits, policies, rules where mask & bit <> 0 group by policy, version, rule
 """

@@ -65,6 +65,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(_table(spark, sf_dir, "documents"))
 
 
+def quality_rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule rejects alone, under the base rules and two versions of a policy, from one ledger."""
+    entries = quality_rules.ledger(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return quality_rules.ablation(entries, [quality_rules.BASE, quality_rules.STANDARD, quality_rules.ANY_LANGUAGE])
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predicted(_table(spark, sf_dir, "documents"))
 
@@ -99,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op11_filter_audit": op11_filter_audit,
     "op12_whitening": op12_whitening,
     "op13_decontamination": op13_decontamination,
+    "quality_rule_ablation": quality_rule_ablation,
 }
 
 ORACLE: dict[str, str] = {
@@ -106,4 +113,5 @@ ORACLE: dict[str, str] = {
     "op8_quality_rules": quality_rules.ORACLE_SQL,
     "op11_filter_audit": filter_audit.ORACLE_SQL,
     "op13_decontamination": decontamination.ORACLE_SQL,
+    "quality_rule_ablation": quality_rules.ABLATION_SQL,
 }

@@ -143,7 +143,7 @@ held as (
 ),
 keyed as (
   select page_id, url, fetched_at,
-         unnest(list_concat([page], list_transform(range(1, least(len(string_split(host, '.')), 8) + 1),
+         unnest(list_concat([page], list_transform(range(1, len(string_split(host, '.')) + 1),
            lambda k: array_to_string(string_split(host, '.')[-k:], '.')))) as key
   from captures where host <> ''
 ),

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 from datetime import datetime
 from string import ascii_lowercase, ascii_uppercase
@@ -276,3 +278,44 @@ def test_mixed_documents_keep_columns(awkward):
     mixed = mixing.mixed_documents(awkward, mixing.Targets(epochs=1))
     assert mixed.columns == awkward.columns
     assert mixed.count() == sum(bool(data.words_of(row["text"])) for row in awkward.collect())
+
+
+def plain_language(rows, settings):
+    """Naive Bayes one n-gram at a time; rows of id, text and label, of which all but one fold teach."""
+
+    def buckets(text):
+        points, found = [ord(c) for c in f" {text.lower()} "], []
+        for order in settings.orders:
+            for at in range(len(points) - order + 1):
+                mixed = order
+                for point in points[at : at + order]:
+                    mixed = ((mixed ^ point) * 0x9E3779B97F4A7C15) % 2**64
+                    mixed ^= mixed >> 29
+                found.append(mixed % settings.buckets)
+        return found
+
+    counts, texts = {}, Counter()
+    for key, text, lang in rows:
+        if text is not None and lang is not None and zlib.crc32(("" if key is None else str(key)).encode()) % 4 != 2:
+            counts.setdefault(lang, Counter()).update(buckets(text))
+            texts[lang] += 1
+    for key, text, _ in rows:
+        held_out = zlib.crc32(("" if key is None else str(key)).encode()) % 4 == 2
+        if not any(c.isalpha() for c in text or ""):
+            yield key, held_out, "und", 0.0
+            continue
+        found, sums = buckets(text), {}
+        for lang, own in sorted(counts.items()):
+            total = sum(own.values()) + settings.smoothing * settings.buckets
+            sums[lang] = math.log(texts[lang] / sum(texts.values())) + sum(math.log((own[b] + settings.smoothing) / total) for b in found)
+        best, scale = max(sums, key=sums.get), min(1, settings.evidence / len(found))
+        yield key, held_out, best, 1 / sum(math.exp((value - sums[best]) * scale) for value in sums.values())
+
+
+def test_languages_are_those_of_a_plain_model(awkward):
+    settings = language_id.Settings(buckets=512)
+    rows = [(row["doc_id"], row["text"], row["lang"]) for row in awkward.collect()]
+    want = sorted(plain_language(rows, settings), key=repr)
+    got = sorted(map(tuple, language_id.predicted(awkward, settings).collect()), key=repr)
+    assert [row[:3] for row in got] == [row[:3] for row in want]
+    assert [row[3] for row in got] == pytest.approx([row[3] for row in want], rel=1e-3)

@@ -29,6 +29,8 @@ def test_awkward_and_empty_tables(spark, folders, name):
         assert rows == 6
     elif name == "op11_filter_audit":
         assert rows == 120 * 5 * 4  # four sources
+    elif name == "quality_rule_ablation":
+        assert rows == 2 + 6 + 4  # rules of three policies
     elif name == "op12_whitening":
         assert rows == 5 * 3  # usable vectors, and their length
     elif name not in ("op7_mixing", "pipeline"):
