@@ -447,6 +447,7 @@ class _Seen(dict):
     def __init__(self, place: dict[bytes, int]):
         super().__init__()
         self.place, self.rare = place, []
+        self.shapes, self.keys = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def __missing__(self, word: bytes) -> int:
         number = self.place.get(word)
@@ -461,9 +462,11 @@ class _Seen(dict):
         if len(self) > REMEMBERED:
             self.clear()
             self.rare.clear()
+            self.shapes, self.keys = self.shapes[:0], self.keys[:0]
         found = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        others = self.rare[::-1]
-        return found, shapes_of(others), word_keys(others)
+        new = self.rare[len(self.keys) :]
+        self.shapes, self.keys = np.concatenate([self.shapes, shapes_of(new)]), np.concatenate([self.keys, word_keys(new)])
+        return found, self.shapes[::-1], self.keys[::-1]
 
 
 def counted(counts: DataFrame, ends: int, settings: Settings) -> tuple[Counts, Network]:
