@@ -479,14 +479,8 @@ def _with_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.Rec
         yield True, held
 
 
-def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """doc_id, n_shingles and component_id of each row of ``docs``.
-
-    Words are runs of anything but white space, A-Z in lower case. With fewer words than a shingle has,
-    all of them are one shingle. ``component_id`` is the smallest doc_id that links lead to. A text
-    without words, NULL or empty, links with nothing. Repeated rows stay, and rows that share a doc_id go
-    by their own texts. A NULL doc_id has a NULL component and links nothing. Other columns are not read.
-    """
+def _prepared(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Signatures of all rows, of those that may link, their classes, and the groups of first shingles."""
     signed = scratch.keep(signatures(docs, settings), "signatures")
     filled = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     kinds = scratch.keep(filled.groupBy("digest", "n").agg(F.min("doc_id").alias("rep")), "kinds")
@@ -501,7 +495,64 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         F.col("entry.first").alias("shingle"), F.pmod(F.xxhash64("rep"), F.col("entry.spread")).alias("salt"),
         "alone", "n", "rep", "at", F.col("entry.spread").alias("spread"),
     )
-    groups = scratch.keep(_groups(postings, settings), "groups")
+    return signed, filled, kinds, scratch.keep(_groups(postings, settings), "groups")
+
+
+def _links(filled: DataFrame, groups: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+    """A written table of all pairs (a, b) of classes that link, each once; no pair is spared as in components."""
+    apart = docs.sparkSession.createDataFrame([], "node bigint, label bigint")
+    pairs = scratch.keep(_tiles(groups, apart, filled, settings), "candidates")
+    found = _linked(_bounded(pairs, filled, settings), docs, settings)
+    return scratch.keep(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+
+
+def linked_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """a and b, a < b, for every link between two different sets: the smallest doc_id of each of the two classes.
+
+    Rows with one and the same set are one class, so copies are not expanded into pairs; ``link_counts`` says
+    which class a row is in. There are as many rows as there are links, so a group of edited copies of one
+    text has about half its square. Nulls, empty texts and ties are as in ``near_duplicates``; doc_ids are
+    taken to be unique, and rows that share one share its links.
+    """
+    _, filled, _, groups = _prepared(docs, settings)
+    return _links(filled, groups, docs, settings)
+
+
+def link_counts(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """doc_id, n_shingles, class_id and n_links of each row of ``docs``.
+
+    ``class_id`` is the smallest doc_id with the same set, and ``n_links`` counts the other rows that a row links
+    with: those of its own class, and all rows of each class that links with it. A text without words and a
+    NULL doc_id have no links. Otherwise as ``linked_classes``.
+    """
+    signed, filled, kinds, groups = _prepared(docs, settings)
+    links = _links(filled, groups, docs, settings)
+    sizes = filled.groupBy("digest", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size"))
+    of_rep = scratch.keep(sizes.groupBy("rep").agg(F.sum("size").alias("size")), "sizes")
+    both = links.select(F.col("a").alias("from"), F.col("b").alias("rep")).unionByName(
+        links.select(F.col("b").alias("from"), F.col("a").alias("rep"))
+    )
+    beyond = settings.met(both, of_rep, "rep", spread_by=["from"]).groupBy("from").agg(F.sum("size").alias("beyond"))
+    known = settings.met(kinds, of_rep, "rep")
+    known = settings.met(known, beyond.withColumnRenamed("from", "rep"), "rep", "left")
+    known = known.select("digest", "n", "rep", (F.col("size") - 1 + F.coalesce("beyond", F.lit(0))).alias("n_links"))
+    met = settings.met(signed.select("doc_id", "n", "digest"), known, ["digest", "n"], "left")
+    links_here = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+    return met.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(links_here, F.col("rep")).otherwise(F.col("doc_id")).alias("class_id"),
+        F.when(links_here, F.col("n_links")).otherwise(F.lit(0)).cast("bigint").alias("n_links"),
+    )
+
+
+def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """doc_id, n_shingles and component_id of each row of ``docs``.
+
+    Words are runs of anything but white space, A-Z in lower case. With fewer words than a shingle has,
+    all of them are one shingle. ``component_id`` is the smallest doc_id that links lead to. A text
+    without words, NULL or empty, links with nothing. Repeated rows stay, and rows that share a doc_id go
+    by their own texts. A NULL doc_id has a NULL component and links nothing. Other columns are not read.
+    """
+    signed, filled, kinds, groups = _prepared(docs, settings)
 
     # The first round takes for each class the one partner that it shares most with.
     shared = groups.where(F.col("partner").isNotNull()).groupBy("rep", "partner").agg(F.count(F.lit(1)).alias("n"))

@@ -6,7 +6,17 @@ import pytest
 
 from tapeloom.llm import lz_fingerprint as lz
 from tapeloom.llm.components import components
-from tapeloom.llm.ngram_join import Settings, bitmap, most_overlap, near_duplicates, one_of_each, overlap, shingle_set
+from tapeloom.llm.ngram_join import (
+    Settings,
+    bitmap,
+    link_counts,
+    linked_classes,
+    most_overlap,
+    near_duplicates,
+    one_of_each,
+    overlap,
+    shingle_set,
+)
 from tests.llm import data
 
 SETTINGS = [Settings(), Settings(often=1, members=3, noted=8), Settings(words=5, percent=80), Settings(words=2, percent=50, members=4)]
@@ -45,6 +55,40 @@ def test_families_of_copies(spark, settings):
     )
 
 
+def plain_links(rows, settings):
+    """Pairs of classes and each row's class and number of links, by comparing all sets."""
+    sets = {key: frozenset(shingle_set(text, settings.words).tolist()) for key, text in rows}
+    first = {key: min((other for other in sets if sets[other] == own), default=key) if own else key for key, own in sets.items()}
+
+    def links(a, b):
+        common = len(sets[a] & sets[b])
+        return common > 0 and 100 * common >= settings.percent * len(sets[a] | sets[b])
+
+    reps = sorted({first[key] for key, own in sets.items() if own})
+    pairs = [(a, b) for i, a in enumerate(reps) for b in reps[i + 1 :] if links(a, b)]
+    counts = [(key, len(own), first[key], sum(links(key, other) for other in sets if other != key)) for key, own in sets.items()]
+    return pairs, sorted(counts)
+
+
+@pytest.mark.parametrize("settings", SETTINGS[:2])
+def test_links_of_families(spark, settings):
+    rows = [*families(4)[10:70], (900, ""), (901, None)]
+    pairs, counts = plain_links(rows, settings)
+    assert len(pairs) > 20 and any(row[3] > 1 for row in counts)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert sorted(map(tuple, linked_classes(docs, settings).collect())) == pairs
+    assert sorted(map(tuple, link_counts(docs, settings).collect())) == counts
+
+
+def test_links_of_awkward_documents(awkward, nothing):
+    counts = link_counts(awkward)
+    for row in counts.collect():
+        if row["doc_id"] is None or row["n_shingles"] == 0:
+            assert row["n_links"] == 0 and row["class_id"] == row["doc_id"]
+    assert counts.count() == awkward.count()
+    assert link_counts(nothing).count() == 0
+
+
 def test_one_of_each_keeps_columns_and_rows(awkward):
     kept = one_of_each(awkward)
     assert kept.columns == awkward.columns
