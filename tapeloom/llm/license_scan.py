@@ -97,6 +97,9 @@ FAMILIES: tuple[tuple[str, tuple[str, ...], tuple[str, ...]], ...] = (
     ("rpl", ("reciprocal public", "rpl"), ("1 1", "1 5")),
 )
 
+# Names that are everyday words: a license of that name has "under" before it or "agreement" behind it, or a version.
+COMMON = ("artistic", "curl", "elastic", "fair", "json", "php", "python", "ruby", "vim")
+
 # SPDX identifiers as words, of families whose names do not have them. EDL, OpenRAIL and Llama have none there.
 SPDX = {"bsd": ("0bsd",), "cpl": ("cpl",), "nasa": ("nasa",), "spl": ("spl", "sissl")}
 
@@ -158,7 +161,11 @@ def rules_of(
         for name in names:
             keyword, number = name.split()[0], "|".join(sorted(versions, key=len, reverse=True))
             own = "" if keyword == "unlicense" else f" {_LICENSE}"
-            made.append(Rule(label, keyword, f"{name}{own}", NAMED))
+            if name in COMMON:
+                made.append(Rule(label, "under", f"under (?:the )?(?:terms of (?:the )?)?{name}{own}", NAMED))
+                made.append(Rule(label, keyword, f"{name}{own} agreement", NAMED))
+            else:
+                made.append(Rule(label, keyword, f"{name}{own}", NAMED))
             if versions:
                 made.append(Rule(label, keyword, f"{name}(?: {_LICENSE})? {_V}(?:{number})", VERSIONED))
                 made.append(Rule(label, keyword, f"{name}(?: {_LICENSE})? {_V}(?:{number}) (?:only|or (?:any )?later)", EXACT))

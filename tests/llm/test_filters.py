@@ -123,11 +123,22 @@ def test_license_scan_against_all_rules_everywhere(spark, awkward):
     assert got[1]["labels"] == "cc-by-nc,gpl,lgpl" and got[1]["base_labels"] == "gpl" and got[0]["labels"] == "mit"
 
 
-def test_every_rule_can_pass_the_gate():
+def test_rules_start_with_their_keyword():
     for rule in license_scan.RULES:
         assert re.match(r"\w+", rule.pattern)[0] == rule.keyword
 
 
+def test_everyday_words_need_a_neighbour(spark):
+    cases = [
+        ("a fair license plate", ""), ("the json license field", ""), ("a python license test", ""), ("poets take artistic license", ""),
+        ("Available under the JSON License.", "json"), ("under the terms of the Fair License", "fair"), ("Python License Agreement", "psf"),
+        ("Artistic License 2.0", "artistic"), ("Elastic License 2.0", "elastic"), ("zlib license", "zlib"),
+    ]
+    docs = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(cases)], "doc_id int, text string")
+    got = {row["doc_id"]: row["labels"] for row in license_scan.scanned(docs).collect()}
+    assert [(text, got[i]) for i, (text, _) in enumerate(cases)] == cases
+
+
 def least_match(parsed) -> str:
     """A text that a parsed pattern matches, without anything optional in it."""
     text = ""
