@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -112,6 +113,12 @@ def encode_with_offsets(tokenizer: Tokenizer, text: str) -> tuple[list[int], lis
     return encoded.ids, encoded.offsets
 
 
+def ascii_pattern(pattern: str) -> str:
+    """The pattern for ASCII text, where letters and numbers are those of the alphabet and ten digits."""
+    inside = pattern.replace(r"\p{L}\p{N}]", "A-Za-z0-9]")
+    return inside.replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
+
+
 class _Whole(Exception):
     """The text must be encoded in one piece."""
 
@@ -121,11 +128,18 @@ class _Matches(dict):
 
     def __init__(self, tokenizer: Tokenizer, dtype: type):
         super().__init__()
-        self.model, self.code, self.shown = tokenizer.model, np.dtype(dtype).char, dict(enumerate(byte_characters()))
+        self.tokenize, shown = tokenizer.model.tokenize, byte_characters()
+        self.shown, self.space = dict(enumerate(shown)), shown[ord(" ")]
+        size = max(tokenizer.get_vocab().values(), default=-1) + 1
+        self.packed = [number.tobytes() for number in np.arange(size, dtype=dtype)]
+
+    def of_word(self, word: str) -> bytes:
+        """Ids of a space and an ASCII word after it, whose characters stand for themselves; not remembered."""
+        return b"".join([self.packed[token.id] for token in self.tokenize(self.space + word)])
 
     def __missing__(self, match: str) -> bytes:
         written = match.encode().decode("latin-1").translate(self.shown)
-        ids = self[match] = array(self.code, [token.id for token in self.model.tokenize(written)]).tobytes()
+        ids = self[match] = b"".join([self.packed[token.id] for token in self.tokenize(written)])
         return ids
 
 
@@ -136,11 +150,20 @@ class _Pieces(dict):
         super().__init__()
         self.tokenizer, self.code = tokenizer, np.dtype(dtype).char
         self.cut, self.matches = regex.compile(public_tokenizers.PATTERN).findall, _Matches(tokenizer, dtype)
+        self.cut_ascii = re.compile(ascii_pattern(public_tokenizers.PATTERN), re.ASCII).findall
 
     def __missing__(self, piece: str) -> bytes:
         if not piece or piece[0].isspace():
             raise _Whole
-        if piece.isascii() or max(piece) < CHECKED:
+        if piece.isascii():
+            if piece.isalpha():
+                ids = self.matches.of_word(piece)
+            else:
+                first, *own = self.cut_ascii(f" {piece}")
+                word = first[1:]
+                start = self[word] if word.isalpha() else self.matches[first]
+                ids = start + b"".join(map(self.matches.__getitem__, own))
+        elif max(piece) < CHECKED:
             own = (f" {piece}",) if piece.isalpha() else self.cut(f" {piece}")
             ids = b"".join(map(self.matches.__getitem__, own))
         else:
