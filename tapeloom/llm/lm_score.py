@@ -88,27 +88,33 @@ def _sigmoid(values: np.ndarray) -> np.ndarray:
     return np.reciprocal(values, out=values)
 
 
-def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray | float]:
+def _small(weights: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether no logit of a state can leave -60 to 60, as states are within -1 to 1.
+
+    Then all exponentials fit in a float, and no sum of them is 0.
+    """
+    return bool((np.abs(weights).sum(axis=-2) + np.abs(bias)).max(initial=0) < 60)
+
+
+def _exponentials(logits: np.ndarray, small: bool) -> tuple[np.ndarray, np.ndarray | float]:
     """The sum of each column's exponentials, which take the place of ``logits``, and what was taken off before."""
-    top = logits.max()
-    if top < 60 and logits.min() > -60:  # all of them fit in a float, and none of their sums is 0
-        top = 0.0
-    else:
+    top = 0.0
+    if not small:
         top = logits.max(axis=0)
         logits -= top
     return np.exp(logits, out=logits).sum(axis=0), top
 
 
-def _log_softmax_at(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+def _log_softmax_at(logits: np.ndarray, chosen: np.ndarray, small: bool) -> np.ndarray:
     """The logarithm of the softmax of each column in the row ``chosen``; ``logits`` are used up."""
     own = logits[chosen, np.arange(len(chosen))].astype(np.float64)
-    sums, top = _exponentials(logits)
+    sums, top = _exponentials(logits, small)
     return own - np.log(sums) - top
 
 
-def _softmax_less(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+def _softmax_less(logits: np.ndarray, chosen: np.ndarray, small: bool) -> np.ndarray:
     """The softmax of each column, in place, less 1 in the row ``chosen``."""
-    sums, _ = _exponentials(logits)
+    sums, _ = _exponentials(logits, small)
     logits *= 1 / sums
     logits[chosen, np.arange(len(chosen))] -= 1
     return logits
@@ -183,16 +189,21 @@ class Network:
         spans = [slice(a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
         return order, [(int(classes[order[span.start]]) - 1, span) for span in spans]
 
-    def log_prob(self, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    def small_logits(self) -> tuple[bool, bool]:
+        """Whether the logits of classes, and of words, are small for any state."""
+        return _small(self.w["to_class"], self.w["class_bias"]), _small(self.w["to_word"], self.w["word_bias"])
+
+    def log_prob(self, states: np.ndarray, ids: np.ndarray, small: tuple[bool, bool] | None = None) -> np.ndarray:
         """Natural logarithm of each id's class, and of the word in it for the vocabulary."""
+        small = small or self.small_logits()
         classes, found = self.class_of(ids), np.empty(len(ids))
         for at in range(0, len(ids), ROWS):
             part = slice(at, at + ROWS)
-            found[part] = _log_softmax_at(self.class_logits(np.ascontiguousarray(states[:, part])), classes[part])
+            found[part] = _log_softmax_at(self.class_logits(np.ascontiguousarray(states[:, part])), classes[part], small[0])
         order, spans = self._by_class(ids, classes)
         held, words, inside = np.take(states, order, axis=1), (ids[order] - 1) % self.settings.class_words, np.empty(len(order))
         for own, span in spans:
-            inside[span] = _log_softmax_at(self.word_logits(held[:, span], own), words[span])
+            inside[span] = _log_softmax_at(self.word_logits(held[:, span], own), words[span], small[1])
         found[order] += inside
         return found
 
@@ -206,7 +217,7 @@ class Network:
         lengths = np.array([len(texts[i]) for i in order])
         total = np.zeros(len(texts))
         state = np.zeros((self.settings.hidden, len(texts)), np.float32)
-        rows, window = self.input_rows(), self.settings.window
+        rows, window, small = self.input_rows(), self.settings.window, self.small_logits()
         flat = np.concatenate([texts[i] for i in order]).astype(np.int64) if len(texts) else np.zeros(0, np.int64)
         heads = np.cumsum(lengths) - lengths
         at = 0
@@ -223,7 +234,7 @@ class Network:
                 wanted.append(flat[heads[:active] + step])
                 owners.append(np.arange(active))
                 most = step + 1
-            found = self.log_prob(np.concatenate(states, axis=1), np.concatenate(wanted))
+            found = self.log_prob(np.concatenate(states, axis=1), np.concatenate(wanted), small)
             total += np.bincount(np.concatenate(owners), found, len(texts))
             at = most
         result = np.zeros(len(texts))
@@ -252,7 +263,7 @@ class Network:
             trace.append((old, reset, update, new))
             states[:, own] = state
 
-        flat_ids, count = ids.ravel(), ids.size
+        flat_ids, count, small = ids.ravel(), ids.size, self.small_logits()
         grads = {name: np.zeros_like(w[name]) for name in ("to_word", "word_bias", "to_new", "from_state", "embed")}
         classes = self.class_of(flat_ids)
         back = np.empty_like(states)
@@ -260,7 +271,7 @@ class Network:
         for at in range(0, count, ROWS):
             some = slice(at, at + ROWS)
             held = np.ascontiguousarray(states[:, some])
-            out = _softmax_less(self.class_logits(held), classes[some])
+            out = _softmax_less(self.class_logits(held), classes[some], small[0])
             grads["to_class"] += held @ out.T
             grads["class_bias"] += out.sum(axis=1)
             back[:, some] = w["to_class"] @ out
@@ -268,7 +279,7 @@ class Network:
         held, words = np.take(states, order, axis=1), (flat_ids[order] - 1) % self.settings.class_words
         through = np.empty_like(held)
         for own, span in spans:
-            word = _softmax_less(self.word_logits(held[:, span], own), words[span])
+            word = _softmax_less(self.word_logits(held[:, span], own), words[span], small[1])
             grads["to_word"][own] = held[:, span] @ word.T
             grads["word_bias"][own] = word.sum(axis=1)
             through[:, span] = w["to_word"][own] @ word
@@ -281,15 +292,19 @@ class Network:
             old, reset, update, new = trace[t]
             through = back[:, own] + carried
             d_new = through * update
+            past = through - d_new
             d_new *= 1 - new * new
-            d_mixed = w["to_new"] @ d_new
+            mixed, d_mixed = reset * old, w["to_new"] @ d_new
+            d_mixed *= reset
             d_gates = d_rows[: 2 * h, own]
-            d_gates[:h] = d_mixed * old * reset * (1 - reset)
-            d_gates[h:] = through * (new - old) * update * (1 - update)
+            d_gates[:h] = d_mixed * (old - mixed)
+            d_gates[h:] = past * (states[:, own] - old)  # the state less the one before is update * (new - old)
             d_rows[2 * h :, own] = d_new
-            grads["to_new"] += (reset * old) @ d_new.T
+            grads["to_new"] += mixed @ d_new.T
             grads["from_state"] += old @ d_gates.T
-            carried = (through * (1 - update) + d_mixed * reset + w["from_state"] @ d_gates) * goes_on[t]
+            carried = past + d_mixed
+            carried += w["from_state"] @ d_gates
+            carried *= goes_on[t]
         # Gradients of the rows are added up for each input that was met; only those embeddings move.
         order = np.argsort(place.astype(np.uint16), kind="stable")
         heads = np.searchsorted(place[order], np.arange(len(used)))
