@@ -189,6 +189,19 @@ def test_a_key_hot_on_either_side_becomes_a_grid(spark, left, right):
         assert rows_of(got) == rows_of(rows.join(lookup, "k", how))
 
 
+@pytest.mark.parametrize("hot_rows", [100, 10**9])
+def test_a_lookup_too_large_to_send_is_never_sent(spark, hot_rows, capsys):
+    """The planner's own estimate of a grid's copies is that of the few rows they are copied from."""
+    rows = spark.range(5000).selectExpr("id % 2 as k", "id")
+    lookup = spark.range(10).selectExpr("id % 2 as k", "id as x")
+    got = join_lookup(rows, lookup, "k", spread_by=["id"], broadcast_bytes=0, hot_rows=hot_rows)
+    assert len(rows_of(got)) == 25_000
+    got.explain()
+    plan = capsys.readouterr().out
+    top = min(plan.index(kind) for kind in ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin") if kind in plan)
+    assert plan[top:].startswith("SortMergeJoin")
+
+
 def test_one_hot_key_among_many_is_dealt_out_before_it_is_multiplied(spark, capsys):
     lookup = spark.range(2000).selectExpr("if(id < 100, -1, id) as k", "id as x")
     rows = spark.range(3000).selectExpr("if(id % 3 = 0, -1, id) as k", "id")
