@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from tapeloom import scratch
 from tapeloom.sinks import folders
-from tapeloom.sinks.writers import MODES
+from tapeloom.sinks.writers import MODES, setting
 
 # The column and folder that names the rules a row fails, and its value where there are none.
 FAILED, PASSED = "failed_rules", "passed"
+# A task holds up to this many folders open at once, so that rows need no sort by folder; past that it sorts the rest.
+FOLDERS_OPEN = 8
 
 
 class Refused(ValueError):
@@ -108,7 +110,8 @@ def write_judged(
     judged = judged.observe(observation, *[count.alias(name) for name, count in counts_of(rules).items()])
     try:
         writer = judged.write.format(format).options(**options)
-        (writer.partitionBy(FAILED) if rejects else writer).save(staged)
+        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(FOLDERS_OPEN)):
+            (writer.partitionBy(FAILED) if rejects else writer).save(staged)
         seen = observation.get
         over = over_bounds(seen, bounds)
         if over:

@@ -100,7 +100,7 @@ def write_days(
         rows = rows.observe(observation, *[c.alias(name) for name, c in {**counts, **per_day}.items()])
     rows = rows.select(*[F.col(f"`{name}`") for name in [*order, own]])
     if there:
-        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
             rows.write.options(**(options or {})).insertInto(table, overwrite=True)
     else:
         rows.write.format(format).options(**(options or {})).partitionBy(own).saveAsTable(table)
@@ -112,7 +112,7 @@ def write_days(
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """A session setting for as long as the block runs."""
     before = spark.conf.get(key, None)
     spark.conf.set(key, value)

@@ -140,6 +140,24 @@ def test_rows_that_fail_go_to_a_folder_of_their_own(spark, source, tmp_path):
             write_judged(df, path=target, **bad_call)
 
 
+def test_rows_are_not_sorted_by_the_rules_they_fail(spark, tmp_path):
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    target, rejects = str(tmp_path / "good"), str(tmp_path / "bad")
+    df = spark.range(0, 4000, 1, 1).selectExpr("id", "id % 7 as k")
+    runs = spark._jsparkSession.sharedState().statusStore()
+    seen = runs.executionsCount()
+    write_judged(df, {"even": F.col("id") % 2 == 0}, target, rejects=rejects)
+    plans = [runs.executionsList().apply(i).physicalPlanDescription() for i in range(seen, runs.executionsCount())]
+    assert any("WriteFiles" in plan for plan in plans) and not any("Sort" in plan for plan in plans)
+    many = {f"over {n}": F.col("k") > n for n in range(9)}  # more folders than a task holds open
+    write_judged(df, many, str(tmp_path / "none"), rejects=str(tmp_path / "many"))
+    assert [row["id"] for row in spark.read.parquet(target).collect()] == list(range(0, 4000, 2))
+    assert [row["id"] for row in spark.read.parquet(rejects).collect()] == list(range(1, 4000, 2))
+    assert spark.read.parquet(str(tmp_path / "many")).groupBy("failed_rules").count().count() == 7
+    assert spark.read.parquet(str(tmp_path / "many")).count() == 4000
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+
+
 def test_job_of_one_day_of_a_table(spark, source):
     first, second = date(2025, 3, 9), date(2025, 3, 10)
     job = Job(source, target_table="days_target", plan="silver_by_company", day_column="RUN_DAY", predicate="trade_id < 700")
