@@ -19,12 +19,19 @@ from tapeloom.sources import read_table, table_exists
 
 # The columns raw trades have.
 RAW_COLUMNS = ["Time", "Company", "Exchange", "Price", "percentage_change"]
+# What files of text are written with unless the job says otherwise. A trade's rows are alike but for the
+# company, so they take a small part of the disk; such files are read by one task each, and so hold a bounded number of rows.
+TEXT_FORMATS = {"csv", "json", "xml"}
+TEXT_OPTIONS = {"compression": "gzip", "maxRecordsPerFile": 4_000_000}
 
 
 @dataclass(frozen=True)
 class Job:
     """What to read, which pipeline to run, and where to write.
 
+    Text (csv, json, xml) is written compressed, in files of bounded size; ``writer_options`` that name a
+    ``compression`` (``none`` for plain text) or ``maxRecordsPerFile`` come first.
+
     With ``target_table`` the result is saved as a table; otherwise as files in a folder of the day
     below ``target_root``. With ``day_column`` the table is partitioned by that column, which holds ``day``,
     and only that day is replaced; ``mode`` does not count then.
@@ -104,16 +111,23 @@ def run(spark: SparkSession, job: Job) -> dict[str, int]:
     return {**_written(result, job), **foreseen}
 
 
+def _options(job: Job) -> dict[str, object]:
+    """The writer's options, with those of text that the job does not name; names go without regard to case."""
+    named = {name.lower() for name in job.writer_options} | {"compression" for name in job.writer_options if name.lower() == "codec"}
+    text = TEXT_OPTIONS if job.format.lower() in TEXT_FORMATS else {}
+    return {**{name: value for name, value in text.items() if name.lower() not in named}, **job.writer_options}
+
+
 def _written(result: DataFrame, job: Job) -> dict[str, int]:
-    observe = counts_of(job.rules)
+    observe, options = counts_of(job.rules), _options(job)
     if job.day_column:
         dated = result.withColumn(job.day_column, F.lit(job.day))
-        return write_days(dated, job.target_table, job.day_column, [job.day], job.format, job.writer_options, observe)
+        return write_days(dated, job.target_table, job.day_column, [job.day], job.format, options, observe)
     path = dated_path(job.target_root, job.day) if job.target_root else None
     if job.most_failing or job.rejects_root:
         rejects = dated_path(job.rejects_root, job.day) if job.rejects_root else None
-        judged = {"most_failing": job.most_failing, "mode": job.mode, "format": job.format, "options": job.writer_options}
+        judged = {"most_failing": job.most_failing, "mode": job.mode, "format": job.format, "options": options}
         return write_judged(result, job.rules, path, job.target_table, rejects, **judged)
     if job.target_table:
-        return write_table(result, job.target_table, job.mode, job.format, job.writer_options, observe)
-    return write_files(result, path, job.mode, job.format, job.writer_options, observe)
+        return write_table(result, job.target_table, job.mode, job.format, options, observe)
+    return write_files(result, path, job.mode, job.format, options, observe)

@@ -179,6 +179,21 @@ def test_job_to_dated_files(spark, source, tmp_path):
     assert spark.read.parquet(str(tmp_path / "2025-03-09")).count() == 500
 
 
+def test_files_of_text_are_compressed_unless_told_otherwise(spark, source, tmp_path):
+    def written(name, **options):
+        target = tmp_path / name
+        run(spark, Job(source, target_root=str(target), day=date(2025, 3, 9), format="csv", writer_options={"header": "true", **options}))
+        files = [path for path in (target / "2025-03-09").iterdir() if path.name.startswith("part-")]
+        rows = spark.read.schema(SILVER_SCHEMA).csv(str(target / "2025-03-09"), header=True)
+        return files, sum(path.stat().st_size for path in files), rows
+
+    files, small, rows = written("packed", maxrecordsperfile=9000)
+    plain_files, large, plain = written("plain", Compression="none")
+    assert {path.suffix for path in files} == {".gz"} and {path.suffix for path in plain_files} == {".csv"}
+    assert 6 * small < large and len(files) >= 37_500 / 9000
+    assertDataFrameEqual(rows, plain)
+
+
 def test_job_of_own_company(spark, source):
     assert run(spark, Job(source, target_table="own_target", plan="silver_by_company"))["rows"] == 1500
     spark.sql("drop table own_target")
