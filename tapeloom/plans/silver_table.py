@@ -98,7 +98,8 @@ def silver(
     ``row_key`` is a unique key that orders the rank and is not in the result. Where there is none, pass
     ``()`` and the rank follows the other columns.
     """
-    rows = typed_trades(trades, row_key)
+    # Counted, sampled for spans and sorted: the source is read and its text cleaned once.
+    rows = scratch.keep(typed_trades(trades, row_key), "typed")
     companies, size, largest = scratch.keep_measured(
         companies_by_exchange(rows), "companies", ["Exchange", "_set"], largest="_set_rows"
     )
@@ -168,7 +169,7 @@ def silver_by_company(
     That join finds exactly one match where company and exchange are known and none elsewhere, so it
     comes down to a condition. A trade without a match has a NULL company, as in any left join.
     """
-    rows = typed_trades(trades, row_key)
+    rows = scratch.keep(typed_trades(trades, row_key), "typed")
     matched = rows.withColumn("Company", F.when(F.col("Exchange").isNotNull(), F.col("Stock")))
     price = F.round("Price")
     per_company = matched.groupBy("Company").agg(

@@ -194,6 +194,18 @@ def test_files_of_text_are_compressed_unless_told_otherwise(spark, source, tmp_p
     assertDataFrameEqual(rows, plain)
 
 
+def test_the_source_is_read_once(spark, trades):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    got = silver(trades.mapInArrow(seen, trades.schema), options=SilverOptions(group_rows=100))
+    assert got.count() == 37_500 and read.value == 1500
+
+
 def test_job_of_own_company(spark, source):
     assert run(spark, Job(source, target_table="own_target", plan="silver_by_company"))["rows"] == 1500
     spark.sql("drop table own_target")
