@@ -218,6 +218,7 @@ class Network:
         total = np.zeros(len(texts))
         state = np.zeros((self.settings.hidden, len(texts)), np.float32)
         rows, window, small = self.input_rows(), self.settings.window, self.small_logits()
+        falling = -lengths
         flat = np.concatenate([texts[i] for i in order]).astype(np.int64) if len(texts) else np.zeros(0, np.int64)
         heads = np.cumsum(lengths) - lengths
         at = 0
@@ -225,9 +226,9 @@ class Network:
             most = at
             states, wanted, owners = [], [], []
             # As many steps at once as keep the states that wait for the softmax few.
-            active = int(np.searchsorted(-lengths, -at, side="left"))
+            active = int(np.searchsorted(falling, -at, side="left"))
             for step in range(at, min(at + max(1, min(window, 65536 // active), ROWS // active), int(lengths[0]))):
-                active = int(np.searchsorted(-lengths, -step, side="left"))
+                active = int(np.searchsorted(falling, -step, side="left"))
                 before = flat[heads[:active] + step - 1] if step else np.zeros(active, np.int64)
                 state[:, :active] = self.step(np.take(rows, before, axis=1), state[:, :active])[3]
                 states.append(state[:, :active].copy())
