@@ -326,7 +326,8 @@ def _linked(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     others does so from several rows, a few sets at a time.
     """
     counts = pairs.groupBy("a").agg(F.expr(f"count(1) div {settings.members} + 1").alias("copies"))
-    members = settings.met(pairs, counts, "a").select(
+    counts, size, _ = scratch.keep_measured(counts, "counts", ["a"])
+    members = settings.met(pairs, counts, "a", size=size).select(
         F.col("b").alias("doc_id"), F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), F.col("copies")).alias("copy"), F.lit(True).alias("member")
     )
     pivots = counts.select(
@@ -483,9 +484,10 @@ def _prepared(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame
     """Signatures of all rows, of those that may link, their classes, and the groups of first shingles."""
     signed = scratch.keep(signatures(docs, settings), "signatures")
     filled = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    kinds = scratch.keep(filled.groupBy("digest", "n").agg(F.min("doc_id").alias("rep")), "kinds")
+    sets = filled.groupBy("digest", "n").agg(F.min("doc_id").alias("rep"))
+    kinds, size, _ = scratch.keep_measured(sets, "kinds", ["digest", "n"])
     # A class is represented by the document with its smallest id; its other documents go no further.
-    own = settings.met(filled.select("doc_id", "digest", "n"), kinds, ["digest", "n"])
+    own = settings.met(filled.select("doc_id", "digest", "n"), kinds, ["digest", "n"], size=size)
     copies = own.where("doc_id <> rep").select("doc_id", "digest", F.lit(True).alias("is_copy")).distinct()
     firsts = settings.met(filled.select("doc_id", "digest", "n", "first", "spread", "alone"), copies, ["doc_id", "digest"], "left")
     posted = firsts.where(F.col("is_copy").isNull()).select(

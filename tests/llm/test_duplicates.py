@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from tapeloom import scratch
 from tapeloom.llm import lz_fingerprint as lz
 from tapeloom.llm.components import components
 from tapeloom.llm.ngram_join import (
@@ -112,6 +113,15 @@ def test_components_of_a_chain(spark):
     assert found == {**{i: 0 for i in range(41)}, 80: 80, 90: 80}
 
 
+def test_components_write_no_copy_of_their_labels(spark, monkeypatch):
+    written, new_path = [], scratch.new_path
+    monkeypatch.setattr(scratch, "new_path", lambda spark, label: written.append(label) or new_path(spark, label))
+    links = spark.createDataFrame([(i, i + 1) for i in range(1, 20)] + [(40, 30), (41, 30)], "a bigint, b bigint")
+    found = {row["node"]: row["label"] for row in components(links).collect()}
+    assert found == {**dict.fromkeys(range(1, 21), 1), **dict.fromkeys((30, 40, 41), 30)}
+    assert set(written) == {"ends", "labels"}
+
+
 def plain_phrases(text: str) -> set[str]:
     seen, phrase = set(), ""
     for character in text:
